@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.casting import lenient_date
 from ..schema import CORRECTION, IDENTITY, KEY, OPEN_END, TRACKED, UPDATE
 from ..session import cut_lineage
-from .numbering import number_rows
+from .numbering import number_and_count
 
 OPEN = F.lit(OPEN_END).cast("date")
 
@@ -101,6 +102,19 @@ def scd2_build(
     )
 
 
+@dataclass(frozen=True)
+class HistoryStep:
+    """Outcome of one batch: all current versions, those it closed, the versions of
+    the batch's keys with their dates, how many versions it opened, and whether it
+    closed any."""
+
+    current: DataFrame
+    closed: DataFrame
+    of_batch: DataFrame
+    opened: int
+    changed: bool
+
+
 def scd2_apply(
     current: DataFrame,
     entities: DataFrame,
@@ -113,12 +127,10 @@ def scd2_apply(
     identity: Sequence[str] = IDENTITY,
     starts: Column | None = None,
     record_type: str = "record_type",
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> HistoryStep:
     """Apply one batch to the current versions; closed versions are never read.
 
     Every known key has exactly one current version, so an unmatched key is new.
-    Returns `(current, closed, opened)`: the new current versions, the versions this
-    batch closed, and the versions it opened (also part of `current`).
 
     The matched rows are at most as many as the batch and are written out once; the
     large side is only probed and filtered, so a small batch is broadcast and the
@@ -164,13 +176,20 @@ def scd2_apply(
         first_seen.select(key, "_new", F.col("_new.starts").alias("_from"))
         .unionByName(changed.select(key, "_new", batch_date.alias("_from")))
     )
-    numbered = number_rows(to_open, [key], "_sk", last_sk)
+    numbered, count = number_and_count(to_open, [key], "_sk", last_sk)
     opened = version(numbered, {**opening, sk: F.col("_sk"), "valid_from": F.col("_from")})
     closed = version(changed, {**old, "valid_to": batch_date, "is_current": F.lit(False)})
     fixed = version(corrected, {**old, **new, "touched_seq": F.lit(batch_seq)})
     replaced = corrected.select(key).unionByName(changed.select(key))
     kept = current.join(replaced, key, "left_anti").select(*current.columns)
-    return kept.unionByName(fixed).unionByName(opened), closed, opened
+    untouched = matched.join(changed.select(key), key, "left_anti")
+    return HistoryStep(
+        kept.unionByName(fixed).unionByName(opened),
+        closed,
+        version(untouched, old).unionByName(closed).unionByName(opened),
+        count,
+        not changed.isEmpty(),
+    )
 
 
 def asof_link(

@@ -19,7 +19,7 @@ from ..operators.facts import (
     with_unknown_member,
 )
 from ..operators.history import asof_link, scd2_apply, scd2_build
-from ..operators.numbering import number_rows
+from ..operators.numbering import number_and_count, number_rows
 from ..schema import (
     DIM_EMPLOYER,
     DIM_TAXPAYER,
@@ -52,11 +52,12 @@ class State:
 
 @dataclass(frozen=True)
 class Step:
-    """Result of one batch: the next state and what the batch added to it."""
+    """Result of one batch: the next state, and the versions it closed and values it
+    logged, or None if there are none."""
 
     state: State
-    closed: DataFrame
-    corrections: DataFrame
+    closed: DataFrame | None
+    corrections: DataFrame | None
 
 
 def empty_state(spark: SparkSession, employers: DataFrame | None = None) -> State:
@@ -79,12 +80,6 @@ def _facts(returns: DataFrame, versions: DataFrame, employers: DataFrame) -> Dat
     )
 
 
-def _corrections(audited: DataFrame, start: int, order: list[str]) -> DataFrame:
-    return number_rows(audited, order, "correction_id", start).select(
-        *column_names(FACT_CORRECTIONS)
-    )
-
-
 def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> State:
     """All tables from the whole batch log in one pass.
 
@@ -101,7 +96,9 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
         dim.where("NOT is_current"),
         members,
         _facts(latest_facts(returns), dim, members),
-        _corrections(audited, 0, ["batch_seq", KEY, PERIOD]),
+        number_rows(audited, ["batch_seq", KEY, PERIOD], "correction_id").select(
+            *column_names(FACT_CORRECTIONS)
+        ),
     )
 
 
@@ -141,7 +138,7 @@ def apply_batch(
     """Advance the state by one batch: history, then audit, then facts.
 
     `batch` holds canonical rows plus `order`. The result is a plan over `state`;
-    the small per-batch parts are checkpointed, so the plan does not grow with the
+    the small per-batch parts are written out, so the plan does not grow with the
     number of rows already stored.
     """
     day = (
@@ -150,29 +147,36 @@ def apply_batch(
         else batch_date
     )
     rows = batch.withColumn("batch_seq", F.lit(batch_seq))
-    current, closed, opened = scd2_apply(
+    history = scd2_apply(
         state.current, batch_entities(rows, order), batch_seq, day, state.last_taxpayer_sk
     )
     returns = cut_lineage(typed_returns(batch_returns(rows, order), day))
     keys = [KEY, PERIOD]
     newer = state.facts.where(F.col("batch_seq") > F.lit(batch_seq)).select(*keys)
     fresh = returns.join(newer, keys, "left_anti").select(*returns.columns)
-    logged = audit_apply(state.facts, fresh, state.corrections)
-    new_corrections = _corrections(logged, state.last_correction_id, keys)
-
-    people = fresh.select(KEY).distinct()
-    versions = (
-        current.unionByName(state.closed).unionByName(closed).join(people, KEY, "left_semi")
+    logged, corrected = number_and_count(
+        audit_apply(state.facts, fresh, state.corrections),
+        keys,
+        "correction_id",
+        state.last_correction_id,
     )
+    logged = logged.select(*column_names(FACT_CORRECTIONS))
+
+    # A fact can only link to versions of its own key: the few this batch met or
+    # opened, and older closed ones. The current versions are not read again.
+    earlier = state.closed.join(returns.select(KEY).distinct(), KEY, "left_semi")
+    versions = history.of_batch.unionByName(earlier.select(*history.of_batch.columns))
     facts = replace_by_key(state.facts, _facts(fresh, versions, state.employers), keys)
 
     next_state = replace(
         state,
-        current=current,
-        closed=state.closed.unionByName(closed),
+        current=history.current,
+        closed=state.closed.unionByName(history.closed),
         facts=facts,
-        corrections=state.corrections.unionByName(new_corrections),
-        last_taxpayer_sk=state.last_taxpayer_sk + opened.count(),
-        last_correction_id=state.last_correction_id + new_corrections.count(),
+        corrections=state.corrections.unionByName(logged),
+        last_taxpayer_sk=state.last_taxpayer_sk + history.opened,
+        last_correction_id=state.last_correction_id + corrected,
+    )
+    return Step(
+        next_state, history.closed if history.changed else None, logged if corrected else None
     )
-    return Step(next_state, closed, new_corrections)

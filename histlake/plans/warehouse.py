@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import copy
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import lenient_date, load_int
@@ -24,7 +26,7 @@ from .state import State, apply_batch, rebuild
 FIRST_YEAR, LAST_YEAR = 1900, 2100
 
 
-def year_part(year):
+def year_part(year: Column) -> Column:
     """Storage partition of a fact: its year, or 0 for years out of the ordinary, so
     that garbage years cannot create partitions without end."""
     return F.when(year.between(FIRST_YEAR, LAST_YEAR), year).otherwise(F.lit(0)).cast("int")
@@ -109,13 +111,17 @@ class Warehouse:
         history = {r.batch: r for r in log.collect()}  # one row per batch
         known = history.get(batch)
         seq = known.batch_seq if known else 1 + max([r.batch_seq for r in history.values()], default=0)
+        # One pass over the batch: size, date, and the storage partitions it falls
+        # into (sets bounded by the layout).
+        usable = loadable()
+        year = year_part(load_int(F.col(PERIOD)))
         facts = validated.agg(
-            F.count(F.lit(1)).alias("n"), lenient_date(F.min("batch_date")).alias("day")
+            F.count(F.lit(1)).alias("n"),
+            lenient_date(F.min("batch_date")).alias("day"),
+            F.collect_set(F.when(usable, year)).alias("years"),
+            F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
         ).first()
-
-        usable = validated.where(loadable())
-        years = _values(usable.select(year_part(load_int(F.col(PERIOD)))))
-        buckets = _values(usable.select(self._bucket()))
+        years, buckets = facts.years, facts.buckets
         state = State(
             self._part(before, "dim_taxpayer", [f"current/{b}" for b in buckets]),
             self.store.read(
@@ -130,29 +136,6 @@ class Warehouse:
         day = F.lit(facts.day).cast("date")
         step = apply_batch(state, validated, seq, day)
 
-        self._replace_split(
-            listing,
-            "dim_taxpayer",
-            step.state.current.withColumn("bucket", self._bucket()),
-            "bucket",
-            "current/",
-            buckets,
-        )
-        if not step.closed.isEmpty():
-            closed = self.store.write("dim_taxpayer", step.closed, f"closed/{batch}")
-            with_parts(listing, "dim_taxpayer", [], closed)
-        self._replace_split(
-            listing,
-            "fact_tax_returns",
-            step.state.facts.withColumn("year_part", year_part(F.col(PERIOD))),
-            "year_part",
-            "",
-            years,
-        )
-        if step.state.last_correction_id > state.last_correction_id:
-            logged = self.store.write("fact_corrections", step.corrections, batch)
-            with_parts(listing, "fact_corrections", [], logged)
-
         # A replay replaces the batch's own scores and rejects.
         metrics = score(validated).select(
             F.lit(batch).alias("batch"),
@@ -162,13 +145,9 @@ class Warehouse:
             "total_count",
             F.lit(computed_at).alias("computed_at"),
         )
-        name = "agg_data_quality_metrics"
-        with_parts(listing, name, [batch], self.store.write(name, metrics, batch))
         refused = rejects(validated.withColumn("batch_seq", F.lit(seq)), "row_pos").select(
             F.lit(batch).alias("batch"), "reason", KEY, PERIOD
         )
-        with_parts(listing, "rejects", [batch], self.store.write("rejects", refused, batch))
-
         entry = (
             batch,
             seq,
@@ -178,8 +157,22 @@ class Warehouse:
             step.state.last_correction_id,
         )
         entries = [tuple(r) for r in history.values() if r.batch != batch] + [entry]
-        entries = self.spark.createDataFrame(entries, BATCH_LOG)
-        with_parts(listing, "batch_log", ["all"], self.store.write("batch_log", entries, "all"))
+        current = step.state.current.withColumn("bucket", self._bucket())
+        returns = step.state.facts.withColumn("year_part", year_part(F.col(PERIOD)))
+        writes = [
+            self._split("dim_taxpayer", current, "bucket", "current/", buckets),
+            self._split("fact_tax_returns", returns, "year_part", "", years),
+            self._whole("agg_data_quality_metrics", metrics, batch, replace=True),
+            self._whole("rejects", refused, batch, replace=True),
+            self._whole(
+                "batch_log", self.spark.createDataFrame(entries, BATCH_LOG), "all", replace=True
+            ),
+        ]
+        if step.closed:
+            writes.append(self._whole("dim_taxpayer", step.closed, f"closed/{batch}"))
+        if step.corrections:
+            writes.append(self._whole("fact_corrections", step.corrections, batch))
+        self._write(listing, writes)
         self.store.publish(version + 1, listing)
 
     def backfill(
@@ -202,64 +195,77 @@ class Warehouse:
         version, _ = self.store.latest()
         validated = cut_lineage(apply_rules(log, self.rules))
         state = rebuild(validated, employers)
-        listing: dict = {}
-
-        def put(table: str, df: DataFrame, part: str) -> None:
-            with_parts(listing, table, [], self.store.write(table, df, part))
-
-        put("dim_employer", state.employers, "all")
-        current = state.current.withColumn("bucket", self._bucket())
-        self._replace_split(listing, "dim_taxpayer", current, "bucket", "current/", [])
-        put("dim_taxpayer", state.closed, "closed/rebuild")
-        facts = state.facts.withColumn("year_part", year_part(F.col(PERIOD)))
-        self._replace_split(listing, "fact_tax_returns", facts, "year_part", "", [])
-        put("fact_corrections", state.corrections, "rebuild")
         last_sk = state.versions.agg(F.max("taxpayer_sk")).first()[0] or 0
         last_id = state.corrections.agg(F.max("correction_id")).first()[0] or 0
         batches = validated.groupBy("batch", "batch_seq").agg(
             lenient_date(F.min("batch_date")).alias("batch_date"),
             F.count(F.lit(1)).alias("total_rows"),
+            F.lit(last_sk).cast("bigint").alias("last_taxpayer_sk"),
+            F.lit(last_id).cast("bigint").alias("last_correction_id"),
         )
-        put(
-            "batch_log",
-            batches.select(
-                "*",
-                F.lit(last_sk).cast("bigint").alias("last_taxpayer_sk"),
-                F.lit(last_id).cast("bigint").alias("last_correction_id"),
-            ),
-            "all",
+        metrics = score(validated, by=["batch", "batch_seq"]).withColumn(
+            "computed_at", F.lit(computed_at)
+        )
+        refused = rejects(validated, "row_pos").select("batch", "reason", KEY, PERIOD, "batch_seq")
+        current = state.current.withColumn("bucket", self._bucket())
+        returns = state.facts.withColumn("year_part", year_part(F.col(PERIOD)))
+        # One row per batch. Scores and rejects are stored by batch, so that a later
+        # replay of one batch replaces only its own.
+        names = {str(r.batch_seq): r.batch for r in batches.collect()}
+        listing: dict = {}
+        self._write(
+            listing,
+            [
+                self._whole("dim_employer", state.employers, "all"),
+                self._split("dim_taxpayer", current, "bucket", "current/", []),
+                self._whole("dim_taxpayer", state.closed, "closed/rebuild"),
+                self._split("fact_tax_returns", returns, "year_part", "", []),
+                self._whole("fact_corrections", state.corrections, "rebuild"),
+                self._whole("batch_log", batches, "all"),
+                self._split("agg_data_quality_metrics", metrics, "batch_seq", "", [], names),
+                self._split("rejects", refused, "batch_seq", "", [], names),
+            ],
         )
-        # Split by batch, so that a later replay of one batch replaces only its rows.
-        by_batch = {
-            "agg_data_quality_metrics": score(validated, by=["batch", "batch_seq"]).withColumn(
-                "computed_at", F.lit(computed_at)
-            ),
-            "rejects": rejects(validated, "row_pos").select(
-                "batch", "reason", KEY, PERIOD, "batch_seq"
-            ),
-        }
-        names = {str(r.batch_seq): r.batch for r in batches.select("batch_seq", "batch").collect()}
-        for table, df in by_batch.items():
-            new = self.store.write_split(table, df, "batch_seq")
-            with_parts(listing, table, [], {names[seq]: folders for seq, folders in new.items()})
         self.store.publish(version + 1, listing)
 
     # ---- helpers ------------------------------------------------------------
 
-    def _bucket(self):
+    def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(KEY), F.lit(self.buckets)).cast("int")
 
     def _part(self, listing: dict, table: str, parts: Sequence[str]) -> DataFrame:
         wanted = set(parts)
         return self.store.read(listing, table, TABLES[table], lambda p: p in wanted)
 
-    def _replace_split(
-        self, listing: dict, table: str, df: DataFrame, column: str, prefix: str, values: Sequence
-    ) -> None:
-        new = self.store.write_split(table, df, column, prefix)
-        with_parts(listing, table, [f"{prefix}{v}" for v in values], new)
+    def _whole(self, table: str, df: DataFrame, part: str, replace: bool = False) -> Write:
+        return Write(table, [part] if replace else [], lambda: self.store.write(table, df, part))
 
-
-def _values(df: DataFrame) -> list[int]:
-    """Distinct storage partitions of a batch, bounded by the layout."""
-    return [r[0] for r in df.distinct().collect()]
+    def _split(
+        self,
+        table: str,
+        df: DataFrame,
+        column: str,
+        prefix: str,
+        replaced: Sequence[int],
+        names: Mapping[str, str] | None = None,
+    ) -> Write:
+        def run() -> Mapping[str, list[str]]:
+            new = self.store.write_split(table, df, column, prefix)
+            return {names[k]: v for k, v in new.items()} if names else new
+
+        return Write(table, [f"{prefix}{v}" for v in replaced], run)
+
+    def _write(self, listing: dict, writes: Sequence[Write]) -> None:
+        """Run independent writes side by side, then enter them in the listing."""
+        with ThreadPoolExecutor(len(writes)) as pool:
+            for w, new in zip(writes, pool.map(lambda w: w.run(), writes)):
+                with_parts(listing, w.table, w.replaced, new)
+
+
+@dataclass(frozen=True)
+class Write:
+    """A pending write: the stored partitions it replaces and how to run it."""
+
+    table: str
+    replaced: list[str]
+    run: Callable[[], Mapping[str, list[str]]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and continue from the copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` as a work table in the shared folder and continue from it.
+
+    Survives lost executors like a checkpoint. As Parquet it also keeps column
+    pruning and tells the planner its true size, which decides about broadcasts.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/histlake-work/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ name, without reading them.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
@@ -35,9 +36,7 @@ class Snapshots:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return 0, {}
-        newest = versions.agg(F.max("v")).first()[0]
-        if newest is None:
-            return 0, {}
+        newest = max(_partition_values(versions, "v"), default=0)
         listing: Listing = {}
         # One row per stored folder: file names, not data.
         for r in versions.where(F.col("v") == newest).orderBy("folder").collect():
@@ -97,12 +96,15 @@ class Snapshots:
         folder = f"data/{table}/{uuid.uuid4().hex}"
         path = f"{self.root}/{folder}"
         df.hint("rebalance", F.col(column)).write.partitionBy(column).parquet(path)
-        try:
-            stored = self.spark.read.parquet(path)
-        except AnalysisException:  # nothing written
-            return {}
-        values = [r[0] for r in stored.select(column).distinct().collect()]
-        return {f"{prefix}{v}": [f"{folder}/{column}={v}"] for v in sorted(values)}
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        values = sorted(_partition_values(stored, column))
+        return {f"{prefix}{v}": [f"{folder}/{column}={v}"] for v in values}
+
+
+def _partition_values(df: DataFrame, column: str) -> set[int]:
+    """Values of an integer partition column, from file names alone."""
+    found = (re.search(rf"/{column}=([0-9]+)/", name) for name in df.inputFiles())
+    return {int(m.group(1)) for m in found if m}
 
 
 def with_parts(listing: Listing, table: str, replaced: Sequence[str], new: Mapping[str, list[str]]) -> None:
