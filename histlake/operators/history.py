@@ -14,7 +14,9 @@ from ..schema import CORRECTION, IDENTITY, KEY, OPEN_END, TRACKED, UPDATE
 from ..session import cut_lineage
 from .numbering import number_and_count
 
-OPEN = F.lit(OPEN_END).cast("date")
+
+def open_end() -> Column:
+    return F.lit(OPEN_END).cast("date")
 
 
 def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
@@ -95,7 +97,7 @@ def scd2_build(
         *[F.col(f"_fixed.{c}").alias(c) for c in identity],
         *tracked,
         F.col("_opening.d").alias("valid_from"),
-        F.when(F.col("_next").isNull(), OPEN).otherwise(F.col("_next._batch_date")).alias("valid_to"),
+        F.when(F.col("_next").isNull(), open_end()).otherwise(F.col("_next._batch_date")).alias("valid_to"),
         F.col("_next").isNull().alias("is_current"),
         F.col("_opening.s").alias("opened_seq"),
         F.col("_fixed.s").alias("touched_seq"),
@@ -166,7 +168,7 @@ def scd2_apply(
     opening = {
         **new,
         key: F.col(key),
-        "valid_to": OPEN,
+        "valid_to": open_end(),
         "is_current": F.lit(True),
         "opened_seq": F.lit(batch_seq),
         "touched_seq": F.lit(batch_seq),
@@ -234,7 +236,7 @@ def asof_link(
     valid = F.filter(
         "_seen",
         lambda v: (v["lo"] <= day)
-        & (day < F.when(v["seq"] == last["seq"], OPEN).otherwise(v["hi"])),
+        & (day < F.when(v["seq"] == last["seq"], open_end()).otherwise(v["hi"])),
     )
     linked = joined.withColumn("_asof", F.try_element_at(valid, F.lit(-1))["sk"])
     extra = [F.col("_asof").isNotNull().alias(found)] if found else []

@@ -37,7 +37,7 @@ RETURNS = [
 def grouped_totals(
     facts: DataFrame,
     dim: DataFrame,
-    on: Column,
+    on: Column | list[str],
     fact_key: Sequence[str],
     by: str,
     total: Column,
@@ -77,20 +77,25 @@ def page(df: DataFrame, order: Sequence[Column], limit: int = 50, offset: int =
 
 
 def summary(
-    facts: DataFrame, dim: DataFrame, by: str, limit: int = 50, offset: int = 0
+    facts: DataFrame,
+    dim: DataFrame,
+    by: str,
+    limit: int = 50,
+    offset: int = 0,
+    link: Sequence[str] = ("taxpayer_sk",),
 ) -> DataFrame:
     """Returns, total payable and average income per group, highest total first.
 
-    The group value breaks ties so that pages do not overlap.
+    The group value breaks ties so that pages do not overlap. `link` names the
+    columns that tie a fact to its version.
     """
     if by not in SUMMARY_DIMENSIONS:
         raise ValueError(f"group by one of {SUMMARY_DIMENSIONS}, not {by!r}")
-    versions = dim.select(F.col("taxpayer_sk").alias("_sk"), by)
     totals = grouped_totals(
         facts,
-        versions,
-        F.col("taxpayer_sk") == F.col("_sk"),
-        ["taxpayer_sk"],
+        dim.select(*link, by),
+        list(link),
+        list(link),
         by,
         F.col("tax_payable_sgd"),
         F.col("annual_income_sgd"),

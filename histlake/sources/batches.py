@@ -53,15 +53,33 @@ def natural_order(name: str) -> list:
     return [(1, int(p), "") if p.isdigit() else (0, 0, p) for p in re.split(r"([0-9]+)", name) if p]
 
 
+def batch_path_of(path: Column, pattern: str = FILE_PATTERN) -> Column:
+    """The part of a file path that names its batch: the file itself, or the folder
+    of part files it lies in. Null for a file of no batch."""
+    glob = "".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in pattern)
+    found = F.regexp_extract(path, f"^(.*/{glob})(?:/.*)?$", 1)
+    return F.when(found != "", found)
+
+
 def list_batches(
     spark: SparkSession, folder: str, pattern: str = FILE_PATTERN, prefix: str = FILE_PREFIX
 ) -> list[BatchFile]:
-    """Batch files of a folder in natural name order. Only names reach the driver."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    )
-    files = [BatchFile(r.path, batch_name(r.path, prefix)) for r in listing.collect()]
-    return sorted(files, key=lambda f: natural_order(f.batch))
+    """Batches of a folder in natural name order.
+
+    A batch is a file matching `pattern`, or a folder of part files so named. One
+    path per batch reaches the driver.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return ordered_batches(files.select("path"), pattern, prefix)
+
+
+def ordered_batches(
+    files: DataFrame, pattern: str = FILE_PATTERN, prefix: str = FILE_PREFIX
+) -> list[BatchFile]:
+    """Batches that the files in column `path` belong to, in natural name order."""
+    paths = files.select(batch_path_of(F.col("path"), pattern).alias("path")).distinct()
+    found = [BatchFile(r.path, batch_name(r.path, prefix)) for r in paths.collect() if r.path]
+    return sorted(found, key=lambda f: natural_order(f.batch))
 
 
 def select_batches(files: Sequence[BatchFile], wanted: str = "all") -> list[BatchFile]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.warehouse import Warehouse
-from ..sources.batches import FILE_PATTERN, FILE_PREFIX, BatchFile, batch_name, natural_order
+from ..sources.batches import FILE_PATTERN, FILE_PREFIX, ordered_batches
 
 
 def load_new_files(
@@ -24,21 +24,20 @@ def load_new_files(
     The stream carries file names only: batches have different headers, and a
     streaming CSV would read all of them by position under one schema. The file
     content is not read by the stream, because the column holding it is pruned.
-    Files of a micro-batch are loaded in natural name order. A micro-batch repeated
-    after a failure replays loads, which leaves the tables as they are.
+    Batches of a micro-batch are loaded in natural name order. A micro-batch repeated
+    after a failure, or a further part file of a known batch, replays the whole batch.
     """
     spark = warehouse.spark
     names = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .load(folder)
         .select("path")
     )
 
     def load(files: DataFrame, _epoch: int) -> None:
-        found = [BatchFile(r.path, batch_name(r.path, prefix)) for r in files.collect()]
-        for f in sorted(found, key=lambda f: natural_order(f.batch)):
+        for f in ordered_batches(files, pattern, prefix):
             warehouse.load_file(f.path, f.batch, computed_at)
 
     return (
