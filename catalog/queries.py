@@ -97,7 +97,13 @@ def write_batches(spark: SparkSession, sf: str, folder: str, months: int) -> Non
     for seq in seqs:
         columns = BASE_COLUMNS if seq == 1 else [*reversed(CANONICAL_COLUMNS), "batch"]
         rows = log.where(F.col("batch_seq") == seq).orderBy("row_pos").select(*columns)
-        rows.write.csv(f"{folder}/individual_tax_returns_day{seq}.csv", header=True, escape='"')
+        rows.write.csv(
+            f"{folder}/individual_tax_returns_day{seq}.csv",
+            header=True,
+            escape='"',
+            ignoreLeadingWhiteSpace=False,
+            ignoreTrailingWhiteSpace=False,
+        )
 
 
 def csv_batches(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,7 +6,8 @@ Two families, because checks and loads disagree on what parses:
 * `lenient_date`, `load_double` and `load_int` decide what is *stored*.
 
 All of them are Column expressions that return null for a bad value, so they stay
-inside generated code and never raise under ANSI mode.
+inside generated code and never raise under ANSI mode. Each is one pattern test and
+one cast: nested alternatives would be copied into every use and bloat that code.
 """
 
 from __future__ import annotations
@@ -23,14 +24,24 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 # Accepted spellings. `\z` rather than `$`, which would let a
 # trailing line break through.
-NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
-INFINITE = r"^(?i)[+-]?inf(?:inity)?\z"
-NOT_A_NUMBER = r"^(?i)[+-]?nan\z"
+_DIGITS = r"[0-9]+"
+_GROUPED = r"[0-9]+(?:_[0-9]+)*"
+
+
+def _number(digits: str, *others: str) -> str:
+    plain = rf"[+-]?(?:{digits}\.?(?:{digits})?|\.{digits})(?:[eE][+-]?{digits})?"
+    return rf"^\s*(?:{'|'.join([plain, *others])})\s*\z"
+
+
+_INFINITE = r"(?i:[+-]?inf(?:inity)?)"
+RULE_NUMBER = _number(_DIGITS, _INFINITE)
+LOAD_NUMBER = _number(_GROUPED, _INFINITE, "(?i:nan)")
+LOAD_FINITE = _number(_GROUPED)
 ISO_DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 LOOSE_DATE = (
-    r"^([0-9]{1,6})([-/ \\])([0-9]{1,2})\2([0-9]{1,2})"
+    r"^\s*([0-9]{1,4})([-/ \\])([0-9]{1,2})\2([0-9]{1,2})"
     r"(?:[ T](?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:\.[0-9]+)?)?"
-    r"(?: ?(?:Z|UTC|[+-][0-9]{1,2}(?::?[0-9]{2})?|[A-Za-z_]+/[A-Za-z_]+))?)?\z"
+    r"(?: ?(?:Z|UTC|[+-][0-9]{1,2}(?::?[0-9]{2})?|[A-Za-z_]+/[A-Za-z_]+))?)?\s*\z"
 )
 # First and last day a 64-bit nanosecond timestamp can hold in full.
 RULE_DATE_MIN, RULE_DATE_MAX = "1677-09-22", "2262-04-11"
@@ -43,53 +54,35 @@ def clean_text(c: Column) -> Column:
 
 def strict_date(c: Column) -> Column:
     """`yyyy-m-d` only, without surrounding space, within the rule date range."""
-    d = F.when(c.rlike(ISO_DATE), c.try_cast("date"))
-    return F.when(d.between(F.lit(RULE_DATE_MIN).cast("date"), F.lit(RULE_DATE_MAX).cast("date")), d)
+    d = c.try_cast("date")
+    first, last = (F.lit(x).cast("date") for x in (RULE_DATE_MIN, RULE_DATE_MAX))
+    return F.when(c.rlike(ISO_DATE) & d.between(first, last), d)
 
 
 def lenient_date(c: Column) -> Column:
-    """Date part of what a warehouse load accepts: `-`, `/`, `\\` or space as
-    separator, padding, an optional time of day."""
-    t = F.btrim(c, F.lit(ASCII_SPACE))
-    year = F.regexp_extract(t, LOOSE_DATE, 1)
-    loose = F.concat_ws(
-        "-",
-        F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year),
-        F.regexp_extract(t, LOOSE_DATE, 3),
-        F.regexp_extract(t, LOOSE_DATE, 4),
-    )
+    """Date part of what a warehouse load accepts: dash, slash, backslash or space as
+    separator, padding, an optional time of day. Short years get leading zeros."""
+    iso = F.regexp_replace(c, LOOSE_DATE, "000$1-$3-$4")
     return F.when(c.rlike(ISO_DATE), c.try_cast("date")).when(
-        t.rlike(LOOSE_DATE), loose.try_cast("date")
+        c.rlike(LOOSE_DATE), iso.try_cast("date")
     )
 
 
 def rule_number(c: Column) -> Column:
-    """Number as a rule reads it; overflow and not-a-number count as missing."""
-    t = F.btrim(c, F.lit(ASCII_SPACE))
-    d = t.try_cast("double")
-    finite = F.when(F.abs(d) != F.lit(float("inf")), d)
-    return F.when(t.rlike(NUMBER), finite).when(t.rlike(INFINITE), d)
-
-
-def _digits(c: Column) -> Column:
-    """Trimmed text with single underscores between digits removed."""
-    t = F.btrim(c, F.lit(ASCII_SPACE))
-    return F.when(
-        F.contains(t, F.lit("_")), F.regexp_replace(t, r"(?<=[0-9])_(?=[0-9])", "")
-    ).otherwise(t)
+    """Number as a rule reads it; a finite spelling that overflows counts as missing."""
+    d = c.try_cast("double")
+    in_range = (F.abs(d) != F.lit(float("inf"))) | c.rlike("[iI]")
+    return F.when(c.rlike(RULE_NUMBER) & in_range, d)
 
 
 def load_double(c: Column) -> Column:
     """Number as stored: also accepts `1_000`, infinities and not-a-number."""
-    t = _digits(c)
-    return F.when(
-        t.rlike(NUMBER) | t.rlike(INFINITE), t.try_cast("double")
-    ).when(t.rlike(NOT_A_NUMBER), F.lit(float("nan")))
+    return F.when(c.rlike(LOAD_NUMBER), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def load_int(c: Column) -> Column:
     """32-bit integer as stored; fractions round half away from zero."""
-    t = _digits(c)
+    digits = F.btrim(F.replace(c, F.lit("_"), F.lit("")), F.lit(ASCII_SPACE))
     return F.when(
-        t.rlike(NUMBER), F.round(t.try_cast("decimal(38,18)"), 0).try_cast("int")
+        c.rlike(LOAD_FINITE), F.round(digits.try_cast("decimal(38,18)"), 0).try_cast("int")
     )

@@ -85,17 +85,18 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
 
     `log` has the canonical columns, `batch_seq`, and `order`, the position within
     the batch. No batch loop: history and audit are windows over one row per key and
-    batch, and a fact is the last row of its key.
+    batch, and a fact is the last row of its key. Those rows are partitioned by
+    taxpayer once, which serves the choice of the last row and the link to versions.
     """
     dim = numbered_versions(build_versions(log, order))
-    returns = typed_returns(batch_returns(log, order))
+    returns = cut_lineage(typed_returns(batch_returns(log, order)))
     members = with_unknown_member(employers)
     audited = audit_build(returns)
     return State(
         dim.where("is_current"),
         dim.where("NOT is_current"),
         members,
-        _facts(latest_facts(returns), dim, members),
+        _facts(latest_facts(returns.repartition(KEY)), dim, members),
         number_rows(audited, ["batch_seq", KEY, PERIOD], "correction_id").select(
             *column_names(FACT_CORRECTIONS)
         ),
@@ -121,7 +122,7 @@ def build_facts(log: DataFrame, employers: DataFrame, order: str = "row_pos") ->
     """
     versions = build_versions(log, order).withColumn("taxpayer_sk", F.col("version").cast("bigint"))
     returns = typed_returns(batch_returns(log, order))
-    return _facts(latest_facts(returns), versions, with_unknown_member(employers))
+    return _facts(latest_facts(returns.repartition(KEY)), versions, with_unknown_member(employers))
 
 
 def build_corrections(log: DataFrame, order: str = "row_pos") -> DataFrame:

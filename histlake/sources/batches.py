@@ -113,7 +113,14 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     if multi_line is None:
         multi_line = spans_lines(spark, path)
     df = spark.read.csv(
-        path, header=True, inferSchema=False, multiLine=multi_line, escape='"', enforceSchema=False
+        path,
+        header=True,
+        inferSchema=False,
+        multiLine=multi_line,
+        escape='"',
+        enforceSchema=False,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
