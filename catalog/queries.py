@@ -34,7 +34,7 @@ from histlake.schema import (
     PERIOD,
     column_names,
 )
-from histlake.session import shared_folder
+from histlake.session import cut_lineage, shared_folder
 from histlake.sources.batches import align, batch_dates, list_batches, read_log, select_batches
 from histlake.sources.employers import count_issues, parse_employers
 from histlake.streaming.folder import load_new_files
@@ -265,7 +265,14 @@ def asof_event_link(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(2**31 - 1).alias("seen"),
     )
     linked = asof_link(
-        events, event_versions(spark, sf), "day", "seen", "user_id", "version", "as_of"
+        events,
+        event_versions(spark, sf),
+        "day",
+        "seen",
+        "user_id",
+        "version",
+        "as_of",
+        many_per_key=True,
     )
     return linked.select("event_id", "user_id", "version", "as_of")
 
@@ -278,7 +285,8 @@ def surrogate_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf: str) -> DataFrame:
-    return build_facts(returns_log(spark, sf), employers(spark, sf))
+    log = returns_log(spark, sf)
+    return build_facts(log, build_versions(log), employers(spark, sf))
 
 
 def fact_returns(spark: SparkSession, sf: str) -> DataFrame:
@@ -332,9 +340,11 @@ def dimension(spark: SparkSession, sf: str) -> DataFrame:
 
 def summary_by(by: str, limit: int = 50, offset: int = 0) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return serving.summary(
-            facts(spark, sf), dimension(spark, sf), by, limit, offset, [KEY, "taxpayer_sk"]
-        )
+        # Versions serve both the links and the groups, so they are written out once.
+        log = returns_log(spark, sf)
+        dim = cut_lineage(dimension(spark, sf))
+        linked = build_facts(log, dim, employers(spark, sf))
+        return serving.summary(linked, dim, by, limit, offset, [KEY, "taxpayer_sk"])
 
     return run
 

@@ -44,11 +44,12 @@ def lookup_or_unknown(
 ) -> DataFrame:
     """Replace keys without a member by the unknown member.
 
-    Only the member keys travel. They are not broadcast by force: Spark does so below
-    its size threshold, and otherwise adaptive execution splits the partition of a
-    hot (or null) key on the large side.
+    `members` has unique keys, and only the keys travel. Given a stored table, Spark
+    knows its size: a small one is broadcast; otherwise both sides are shuffled and
+    adaptive execution splits the partition of a hot (or null) key of `df`. No other
+    step sits between the shuffles and the join, which would rule that out.
     """
-    known = members.select(F.col(key).alias("_member")).distinct()
+    known = members.select(F.col(key).alias("_member"))
     joined = df.join(known, F.col(key) == F.col("_member"), "left")
     return joined.select(
         *[
@@ -59,18 +60,28 @@ def lookup_or_unknown(
 
 
 def with_unknown_member(employers: DataFrame) -> DataFrame:
-    """The employer dimension: six stored columns plus the row for "no employer"."""
-    count = F.col("employee_count")
+    """The employer dimension: six stored columns plus the row for "no employer".
+
+    Identifiers come out unique. Of several records with one identifier the smallest
+    is kept, and the row for "no employer" comes before any record that claims its
+    identifier.
+    """
+    key, *others = EMPLOYER_COLUMNS
     stored = employers.select(
+        F.lit(1).alias("_rank"),
         *[c for c in EMPLOYER_COLUMNS if c != "employee_count"],
-        count.try_cast("int").alias("employee_count"),
+        F.col("employee_count").try_cast("int").alias("employee_count"),
     )
     sentinel = employers.sparkSession.range(1).select(
-        F.lit(UNKNOWN_MEMBER).alias("employer_id"),
+        F.lit(0).alias("_rank"),
+        F.lit(UNKNOWN_MEMBER).alias(key),
         F.lit(UNKNOWN_MEMBER_NAME).alias("company_name"),
-        *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in EMPLOYER_COLUMNS[2:]],
+        *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in others[1:]],
+    )
+    chosen = (
+        stored.unionByName(sentinel).groupBy(key).agg(F.min(F.struct("_rank", *others)).alias("_row"))
     )
-    return stored.unionByName(sentinel)
+    return chosen.select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
 def replace_by_key(

@@ -202,6 +202,7 @@ def asof_link(
     key: str = KEY,
     sk: str = "taxpayer_sk",
     found: str | None = None,
+    many_per_key: bool = False,
 ) -> DataFrame:
     """Add the surrogate key of the version valid at `at`, else the current one.
 
@@ -211,10 +212,13 @@ def asof_link(
     loaded and a later version does not move it.
 
     The versions of a key, at most one per batch, are folded into one array first,
-    so this is a single equi-join returning one row per fact. Adaptive execution
-    can split a hot key of the fact side, and neither a range join nor a second
-    join for the fallback is needed. `found` optionally names a boolean column that
-    tells an as-of match from the fallback.
+    so this is a single equi-join returning one row per fact; neither a range join nor
+    a second join for the fallback is needed. `found` optionally names a boolean
+    column that tells an as-of match from the fallback.
+
+    Set `many_per_key` if a key can hold a large share of `facts`. The folded versions
+    are then written out first, so that both join inputs come straight from a shuffle
+    and adaptive execution can split the hot key's partition.
     """
     folded = versions.groupBy(key).agg(
         F.array_sort(
@@ -228,6 +232,8 @@ def asof_link(
             )
         ).alias("_versions")
     )
+    if many_per_key:
+        folded = cut_lineage(folded)
     joined = facts.join(folded, key, "left").withColumn(
         "_seen", F.filter("_versions", lambda v: v["seq"] <= F.col(seq))
     )

@@ -90,7 +90,7 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
     """
     dim = numbered_versions(build_versions(log, order))
     returns = cut_lineage(typed_returns(batch_returns(log, order)))
-    members = with_unknown_member(employers)
+    members = cut_lineage(with_unknown_member(employers))
     audited = audit_build(returns)
     return State(
         dim.where("is_current"),
@@ -114,15 +114,18 @@ def numbered_versions(versions: DataFrame) -> DataFrame:
     )
 
 
-def build_facts(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> DataFrame:
+def build_facts(
+    log: DataFrame, versions: DataFrame, employers: DataFrame, order: str = "row_pos"
+) -> DataFrame:
     """The fact table with version numbers in place of surrogate keys.
 
     (key, version) identifies a version as well as its surrogate key does, and needs
     no numbering step.
     """
-    versions = build_versions(log, order).withColumn("taxpayer_sk", F.col("version").cast("bigint"))
+    numbered = versions.withColumn("taxpayer_sk", F.col("version").cast("bigint"))
     returns = typed_returns(batch_returns(log, order))
-    return _facts(latest_facts(returns.repartition(KEY)), versions, with_unknown_member(employers))
+    members = cut_lineage(with_unknown_member(employers))
+    return _facts(latest_facts(returns.repartition(KEY)), numbered, members)
 
 
 def build_corrections(log: DataFrame, order: str = "row_pos") -> DataFrame:

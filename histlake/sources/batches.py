@@ -194,13 +194,11 @@ def batch_dates(log: DataFrame) -> DataFrame:
 
 
 def with_batch_dates(log: DataFrame) -> DataFrame:
-    """Give every row the date of its batch.
-
-    One row per batch is joined, and Spark sees its size before choosing a broadcast.
-    """
+    """Give every row the date of its batch. `batch_dates` has one row per batch, and
+    the batches were listed on the driver before, so the broadcast stays small."""
     dates = batch_dates(log).select(
         F.col("batch_seq").alias("_seq"), F.col("batch_date").alias("_date")
     )
-    return log.join(dates, F.col("batch_seq") == F.col("_seq")).select(
+    return log.join(F.broadcast(dates), F.col("batch_seq") == F.col("_seq")).select(
         *[F.col("_date").alias(c) if c == "batch_date" else F.col(c) for c in log.columns]
     )
