@@ -92,8 +92,7 @@ long AS (
 
 SCORE = """
        round_even(CAST(sum(CAST(ok AS INTEGER)) AS DOUBLE) / count(*) * 100.0, 2) AS score,
-       CAST(sum(CAST(ok AS INTEGER)) AS INTEGER) AS passing_count,
-       CAST(count(*) AS INTEGER) AS total_count"""
+       CAST(sum(CAST(ok AS INTEGER)) AS BIGINT) AS passing_count, count(*) AS total_count"""
 
 # One row per batch and taxpayer, then versions: the window form of applying batches
 # one after another. Attributes that change together are carried as one struct.

@@ -66,8 +66,8 @@ def score(
         *by,
         F.col("s.domain").alias("domain"),
         F.when(F.col("total_count") == 0, F.lit(0.0)).otherwise(round_half_even(percent)).alias("score"),
-        F.col("s.n").cast("int").alias("passing_count"),
-        F.col("total_count").cast("int").alias("total_count"),
+        F.col("s.n").alias("passing_count"),
+        "total_count",
     )
 
 

@@ -74,7 +74,8 @@ def empty_state(spark: SparkSession, employers: DataFrame | None = None) -> Stat
 
 
 def _facts(returns: DataFrame, versions: DataFrame, employers: DataFrame) -> DataFrame:
-    linked = asof_link(returns, versions, "filing_date", "batch_seq")
+    # A key can hold any number of periods, hence `many_per_key`.
+    linked = asof_link(returns, versions, "filing_date", "batch_seq", many_per_key=True)
     return lookup_or_unknown(linked, employers, "employer_id").select(
         *column_names(FACT_TAX_RETURNS)
     )
@@ -85,8 +86,7 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
 
     `log` has the canonical columns, `batch_seq`, and `order`, the position within
     the batch. No batch loop: history and audit are windows over one row per key and
-    batch, and a fact is the last row of its key. Those rows are partitioned by
-    taxpayer once, which serves the choice of the last row and the link to versions.
+    batch, and a fact is the last row of its key.
     """
     dim = numbered_versions(build_versions(log, order))
     returns = cut_lineage(typed_returns(batch_returns(log, order)))
@@ -96,7 +96,7 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
         dim.where("is_current"),
         dim.where("NOT is_current"),
         members,
-        _facts(latest_facts(returns.repartition(KEY)), dim, members),
+        _facts(latest_facts(returns), dim, members),
         number_rows(audited, ["batch_seq", KEY, PERIOD], "correction_id").select(
             *column_names(FACT_CORRECTIONS)
         ),
@@ -125,7 +125,7 @@ def build_facts(
     numbered = versions.withColumn("taxpayer_sk", F.col("version").cast("bigint"))
     returns = typed_returns(batch_returns(log, order))
     members = cut_lineage(with_unknown_member(employers))
-    return _facts(latest_facts(returns.repartition(KEY)), numbered, members)
+    return _facts(latest_facts(returns), numbered, members)
 
 
 def build_corrections(log: DataFrame, order: str = "row_pos") -> DataFrame:

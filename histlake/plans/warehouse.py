@@ -26,18 +26,16 @@ from .state import State, apply_batch, rebuild
 FIRST_YEAR, LAST_YEAR = 1900, 2100
 
 
-def year_part(year: Column) -> Column:
-    """Storage partition of a fact: its year, or 0 for years out of the ordinary, so
-    that garbage years cannot create partitions without end."""
-    return F.when(year.between(FIRST_YEAR, LAST_YEAR), year).otherwise(F.lit(0)).cast("int")
+MAX_BUCKETS = 10_000
 
 
 class Warehouse:
     """Five tables plus a batch log and a list of rejected rows under one folder.
 
-    Current taxpayer versions are split into `buckets` by a hash of the key, facts by
-    year. A load rewrites the buckets and years its rows fall into and appends to the
-    rest. Batches are numbered in order of their first load; a replay keeps its number
+    Taxpayer versions are split into `buckets` by a hash of the key, facts by year and
+    bucket. A load reads and rewrites only the partitions its rows fall into; closed
+    versions, logged corrections and scores are appended. Choose `buckets` so that one
+    bucket of current versions is a few files. Batches are numbered in order of their first load; a replay keeps its number
     and cannot overwrite what later batches did.
     """
 
@@ -50,6 +48,8 @@ class Warehouse:
     ):
         self.spark = spark
         self.store = Snapshots(spark, root)
+        if not 1 <= buckets <= MAX_BUCKETS:
+            raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
         self.rules = rules
         self.buckets = buckets
 
@@ -114,21 +114,18 @@ class Warehouse:
         # One pass over the batch: size, date, and the storage partitions it falls
         # into (sets bounded by the layout).
         usable = loadable()
-        year = year_part(load_int(F.col(PERIOD)))
         facts = validated.agg(
             F.count(F.lit(1)).alias("n"),
             lenient_date(F.min("batch_date")).alias("day"),
-            F.collect_set(F.when(usable, year)).alias("years"),
+            F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
             F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
         ).first()
-        years, buckets = facts.years, facts.buckets
+        parts, buckets = facts.parts, facts.buckets
         state = State(
             self._part(before, "dim_taxpayer", [f"current/{b}" for b in buckets]),
-            self.store.read(
-                before, "dim_taxpayer", TABLES["dim_taxpayer"], lambda p: p.startswith("closed/")
-            ),
+            self._part(before, "dim_taxpayer", [f"closed/{b}" for b in buckets]),
             self.store.read(before, "dim_employer", TABLES["dim_employer"]),
-            self._part(before, "fact_tax_returns", [str(y) for y in years]),
+            self._part(before, "fact_tax_returns", [str(p) for p in parts]),
             self.store.read(before, "fact_corrections", TABLES["fact_corrections"]),
             max([r.last_taxpayer_sk for r in history.values()], default=0),
             max([r.last_correction_id for r in history.values()], default=0),
@@ -158,10 +155,10 @@ class Warehouse:
         )
         entries = [tuple(r) for r in history.values() if r.batch != batch] + [entry]
         current = step.state.current.withColumn("bucket", self._bucket())
-        returns = step.state.facts.withColumn("year_part", year_part(F.col(PERIOD)))
+        returns = step.state.facts.withColumn("part", self._fact_part(F.col(PERIOD)))
         writes = [
             self._split("dim_taxpayer", current, "bucket", "current/", buckets),
-            self._split("fact_tax_returns", returns, "year_part", "", years),
+            self._split("fact_tax_returns", returns, "part", "", parts),
             self._whole("agg_data_quality_metrics", metrics, batch, replace=True),
             self._whole("rejects", refused, batch, replace=True),
             self._whole(
@@ -169,7 +166,8 @@ class Warehouse:
             ),
         ]
         if step.closed:
-            writes.append(self._whole("dim_taxpayer", step.closed, f"closed/{batch}"))
+            closed = step.closed.withColumn("bucket", self._bucket())
+            writes.append(self._split("dim_taxpayer", closed, "bucket", "closed/", []))
         if step.corrections:
             writes.append(self._whole("fact_corrections", step.corrections, batch))
         self._write(listing, writes)
@@ -208,7 +206,8 @@ class Warehouse:
         )
         refused = rejects(validated, "row_pos").select("batch", "reason", KEY, PERIOD, "batch_seq")
         current = state.current.withColumn("bucket", self._bucket())
-        returns = state.facts.withColumn("year_part", year_part(F.col(PERIOD)))
+        closed = state.closed.withColumn("bucket", self._bucket())
+        returns = state.facts.withColumn("part", self._fact_part(F.col(PERIOD)))
         # One row per batch. Scores and rejects are stored by batch, so that a later
         # replay of one batch replaces only its own.
         names = {str(r.batch_seq): r.batch for r in batches.collect()}
@@ -218,8 +217,8 @@ class Warehouse:
             [
                 self._whole("dim_employer", state.employers, "all"),
                 self._split("dim_taxpayer", current, "bucket", "current/", []),
-                self._whole("dim_taxpayer", state.closed, "closed/rebuild"),
-                self._split("fact_tax_returns", returns, "year_part", "", []),
+                self._split("dim_taxpayer", closed, "bucket", "closed/", []),
+                self._split("fact_tax_returns", returns, "part", "", []),
                 self._whole("fact_corrections", state.corrections, "rebuild"),
                 self._whole("batch_log", batches, "all"),
                 self._split("agg_data_quality_metrics", metrics, "batch_seq", "", [], names),
@@ -233,6 +232,12 @@ class Warehouse:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(KEY), F.lit(self.buckets)).cast("int")
 
+    def _fact_part(self, year: Column) -> Column:
+        """Year and bucket in one number; years out of the ordinary share year 0, so
+        that garbage years cannot create partitions without end."""
+        usual = F.when(year.between(FIRST_YEAR, LAST_YEAR), year).otherwise(F.lit(0))
+        return (usual * MAX_BUCKETS + self._bucket()).cast("int")
+
     def _part(self, listing: dict, table: str, parts: Sequence[str]) -> DataFrame:
         wanted = set(parts)
         return self.store.read(listing, table, TABLES[table], lambda p: p in wanted)

@@ -90,8 +90,9 @@ FACT_TAX_RETURNS = (
     "tax_paid_sgd double, total_reliefs_sgd double, cpf_contributions_sgd double, "
     "foreign_income_sgd double, is_corrected boolean, batch_seq int"
 )
+# Counts are 64-bit: a batch may have more rows than 32 bits can count.
 QUALITY_METRICS = (
-    "batch string, domain string, score double, passing_count int, total_count int, "
+    "batch string, domain string, score double, passing_count bigint, total_count bigint, "
     "computed_at timestamp"
 )
 FACT_CORRECTIONS = (
