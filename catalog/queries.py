@@ -34,7 +34,7 @@ from histlake.schema import (
     PERIOD,
     column_names,
 )
-from histlake.session import cut_lineage, shared_folder
+from histlake.session import configure, cut_lineage, shared_folder
 from histlake.sources.batches import align, batch_dates, list_batches, read_log, select_batches
 from histlake.sources.employers import count_issues, parse_employers
 from histlake.streaming.folder import load_new_files
@@ -489,7 +489,20 @@ def folder_stream(spark: SparkSession, sf: str) -> DataFrame:
     return linked_facts(warehouse)
 
 
+def configured(query: Query) -> Query:
+    """The query in a session with the library's settings."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return query(configure(spark), sf)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
+    return {name: configured(query) for name, query in _all().items()}
+
+
+def _all() -> dict[str, Query]:
     return {
         "schema_align": schema_align,
         "csv_batches": csv_batches,

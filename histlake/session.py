@@ -16,6 +16,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods beyond 8000 bytes of code. Rule and cast
+    # projections over many columns exceed that when generated as one method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -7,8 +7,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from histlake.operators.history import asof_link
 from histlake.operators.dedupe import rejects
+from histlake.operators.history import asof_link
 from histlake.plans.state import (
     apply_batch,
     build_corrections,
@@ -100,8 +100,11 @@ def test_one_pass_build_with_surrogate_keys(spark, scenario):
     assert sorted(r[0] for r in versions.select("taxpayer_sk").collect()) == list(range(1, n + 1))
 
 
-def test_batch_by_batch_and_replay(spark, scenario):
-    batches, expected = scenario
+def test_batch_by_batch_and_replay(spark):
+    batches = random_batches(3, keys=60, batches=4)
+    expected = RowByRow({"E1", "E2"})
+    for day, batch in batches:
+        expected.load(batch, day)
     state = empty_state(spark, employer_frame(spark))
     frames = [cut_lineage(frame(spark, batch)) for _, batch in batches]
     for seq, ((day, _), df) in enumerate(zip(batches, frames), 1):
@@ -114,8 +117,8 @@ def test_batch_by_batch_and_replay(spark, scenario):
         assert rows(state.corrections, AUDIT) == as_text(expected.audit_rows())
 
     check(state)
-    # Replays of the newest, an old, and again the newest batch change nothing.
-    for seq in (6, 2, 6):
+    # Replays of an old and of the newest batch change nothing.
+    for seq in (2, 4):
         state = saved(apply_batch(state, frames[seq - 1], seq, batches[seq - 1][0]).state)
     check(state)
 
