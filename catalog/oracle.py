@@ -427,7 +427,7 @@ SELECT assessment_year, CAST(filing_date AS VARCHAR) AS filing_date, annual_inco
        chargeable_income_sgd, tax_payable_sgd, tax_paid_sgd, employer_id, is_corrected
 FROM facts WHERE taxpayer_id = 'T7' ORDER BY assessment_year""",
         "history_of_one": with_(*HISTORY) + """
-SELECT version AS taxpayer_sk, occupation, postal_code, CAST(valid_from AS VARCHAR) AS valid_from,
+SELECT CAST(version AS BIGINT) AS taxpayer_sk, occupation, postal_code, CAST(valid_from AS VARCHAR) AS valid_from,
        CAST(valid_to AS VARCHAR) AS valid_to, is_current
 FROM versions WHERE taxpayer_id = 'T7' ORDER BY version""",
         "fact_sample": with_(*FULL) + """
