@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,18 @@ def work_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """`mapInArrow` whose workers find this package where the driver found it.
+
+    Executors on other machines get it with `--py-files` or as an installed package.
+    """
+    env = df.sparkSession.sparkContext.environment
+    home = str(Path(__file__).resolve().parents[2])
+    if home not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (home, env.get("PYTHONPATH"))))
+    return df.mapInArrow(run, schema)
+
+
 def map_slices(df: DataFrame, step: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply a per-task function to slices of at most SLICE_ROWS rows.
 
@@ -60,7 +74,7 @@ def map_slices(df: DataFrame, step: Callable[[], Callable[[pa.RecordBatch], pa.R
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 yield work(batch.slice(start, SLICE_ROWS))
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def texts(column: pa.Array) -> list[str]:

@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from histlake.llm import bpe
+from histlake.llm import bpe, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and of decoded bytes, for every document."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -21,7 +29,7 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_byte_bpe,)}
+    return {f.__name__: f for f in (op2_simhash, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
