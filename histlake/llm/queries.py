@@ -8,13 +8,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, simhash
+from histlake.llm import bpe, language, quality, simhash, toxicity
+from histlake.llm.common import crc_mod
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document; labels are learnt from four of five rows."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.fit(
+        docs.where(crc_mod(F.col("doc_id"), 5) != 0).join(labels, "doc_id"), id_col="doc_id", text_col="text", label_col="toxic"
+    )
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -22,14 +38,29 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every document, whether it fails the base rules, and the verdict."""
+    found = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of ids and of decoded bytes, for every document."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from two of three rows."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    prototypes = language.fit(docs.where(~held_out))
+    found = language.predict(docs, prototypes)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op8_quality_rules, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
