@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, language, quality, simhash, toxicity
+from histlake.llm import bpe, html_wrapper, language, oracle, quality, simhash, toxicity, url_reputation
 from histlake.llm.common import crc_mod
 
 
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -38,6 +47,17 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op3_html_wrapper(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_wrapper.extract(table(spark, folder, "pages"))
+
+
+def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's url."""
+    found = url_reputation.judge(table(spark, folder, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document, whether it fails the base rules, and the verdict."""
     found = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -60,8 +80,8 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op8_quality_rules, op9_byte_bpe, op10_language_id)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op5_url_reputation, op8_quality_rules, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op5_url_reputation.__name__: oracle.URL_REPUTATION}
