@@ -13,6 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows handled at once inside a Python task: bounds the memory beside the Arrow batch.
 SLICE_ROWS = 256
@@ -49,7 +50,7 @@ def work_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
     """`mapInArrow` whose workers find this package where the driver found it.
 
     Executors on other machines get it with `--py-files` or as an installed package.
@@ -61,7 +62,7 @@ def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -
     return df.mapInArrow(run, schema)
 
 
-def map_slices(df: DataFrame, step: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def map_slices(df: DataFrame, step: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """Apply a per-task function to slices of at most SLICE_ROWS rows.
 
     `step()` runs once per task and returns the function, so that memos live as long

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, html_wrapper, language, oracle, quality, simhash, toxicity, url_reputation
+from histlake.llm import bpe, html_wrapper, language, oracle, pii, quality, simhash, toxicity, url_reputation
 from histlake.llm.common import crc_mod
 
 
@@ -58,6 +58,11 @@ def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: base counts and digest, and all spans."""
+    return pii.digests(table(spark, folder, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document, whether it fails the base rules, and the verdict."""
     found = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -80,7 +85,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op5_url_reputation, op8_quality_rules, op9_byte_bpe, op10_language_id)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op5_url_reputation, op6_pii, op8_quality_rules, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
