@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, html_wrapper, language, oracle, pii, quality, simhash, toxicity, url_reputation
+from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, toxicity, url_reputation
 from histlake.llm.common import crc_mod
 
 
@@ -52,6 +52,19 @@ def op3_html_wrapper(spark: SparkSession, folder: str) -> DataFrame:
     return html_wrapper.extract(table(spark, folder, "pages"))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and items of the benchmark in every document, and the verdict."""
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on every page's url."""
     found = url_reputation.judge(table(spark, folder, "pages"), URL_RULES)
@@ -85,7 +98,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op5_url_reputation, op6_pii, op8_quality_rules, op9_byte_bpe, op10_language_id)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op8_quality_rules, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
