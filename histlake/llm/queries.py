@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, toxicity, url_reputation
+from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, substring, toxicity, url_reputation
 from histlake.llm.common import crc_mod
 
 
@@ -76,6 +76,12 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(table(spark, folder, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document, those in passages that occur earlier, and the digest of the rest."""
+    found = substring.remove(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts of every document, whether it fails the base rules, and the verdict."""
     found = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -98,7 +104,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op8_quality_rules, op9_byte_bpe, op10_language_id)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op7_substring_dedup, op8_quality_rules, op9_byte_bpe, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
