@@ -94,16 +94,20 @@ def train(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.nda
     return kept, weights(z[kept], n[kept]), bias
 
 
-def fit(labelled: DataFrame, *, id_col: str, text_col: str, label_col: str, max_rows: int = MAX_ROWS) -> Model:
-    """Model from at most `max_rows` rows with a label of 0 or 1.
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
+    """Model from the texts of at most `max_rows` ids with a label of 0 or 1.
 
-    Rows are taken by the lowest hash of id and text and learnt in that order by one
-    task, whose input is bounded by `max_rows` texts. Without labels all scores are 0.5.
+    The ids with the lowest hashes are taken, before any text is read; of several labels
+    of an id the largest counts. Only the texts taken move: they are learnt, in the
+    order of the hash, by one task, whose input `max_rows` bounds. Without labels all
+    scores are 0.5; ids without a text are passed over.
     """
-    rows = labelled.where(F.col(label_col).isin(0, 1)).select(
-        F.xxhash64(F.col(id_col).cast("string"), text_col).alias("at"), F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("y")
-    )
-    picked = rows.orderBy("at", "y").limit(max_rows)
+    spark = docs.sparkSession
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
+    taken = known.agg(F.max(label_col).cast("int").alias("y")).orderBy(F.xxhash64(F.col("label_id").cast("string")), "label_id").limit(max_rows)
+    chosen = spark.createDataFrame(taken.collect(), taken.schema)
+    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
+    picked = joined.select(F.xxhash64(F.col("id").cast("string"), "text").alias("at"), "text", "y")
 
     def run(batches: Batches) -> Batches:
         memo, order, slots, labels = WordHashes(), [], [], []
@@ -121,7 +125,7 @@ def fit(labelled: DataFrame, *, id_col: str, text_col: str, label_col: str, max_
             ["slots", "weights", "bias"],
         )
 
-    found = map_batches(picked.coalesce(1), run, "slots array<int>, weights array<double>, bias double").first()
+    found = map_batches(picked.repartition(1), run, "slots array<int>, weights array<double>, bias double").first()
     if found is None:
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
     return Model(np.array(found.slots, np.int64), np.array(found.weights), found.bias)
