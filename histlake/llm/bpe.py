@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from histlake.llm.common import map_slices, texts
 
@@ -322,3 +323,30 @@ def digests(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", t
     kind = rows.schema["id"].dataType.simpleString()
     out = map_slices(rows, step, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return out.withColumnRenamed("id", id_col)
+
+
+def tokenize(df: DataFrame, path: str, pattern: str, *, text_col: str = "text") -> DataFrame:
+    """The rows of `df` with n_tokens, token_ids and round_trip in place of the text.
+
+    `round_trip` says that the decoded bytes are those of the text. Columns of these
+    names are replaced; null texts count as empty.
+    """
+    own = ("n_tokens", "token_ids", "round_trip")
+    rest = [c for c in df.columns if c != text_col and c not in own]
+
+    def step():
+        ranks, tokens = load_ranks(path)
+        encoder = Encoder(ranks, tokens, pattern)
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = texts(batch.column(len(rest)))
+            ids = [encoder.encode(t) for t in found]
+            same = [decode_ids(tokens, x) == t.encode("utf-8", "surrogatepass") for x, t in zip(ids, found)]
+            counts = pa.array([len(x) for x in ids], pa.int64())
+            return pa.record_batch([*batch.columns[:-1], counts, pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], [*rest, *own])
+
+        return work
+
+    rows = df.select(*rest, text_col)
+    schema = StructType(rows.schema.fields[:-1]).add("n_tokens", "long").add("token_ids", ArrayType(IntegerType())).add("round_trip", "boolean")
+    return map_slices(rows, step, schema)

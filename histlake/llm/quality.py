@@ -178,3 +178,31 @@ def judge(
     measured = work_table(signals(df, id_col=id_col, text_col=text_col))
     found = cutoffs(measured, labels, id_col=id_col, label_col=label_col, risk=risk, delta=delta)
     return measured.withColumn("kept", kept(found)).withColumnRenamed("id", id_col)
+
+
+def keep_rows(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The rows of `df` that are kept, unchanged.
+
+    Texts are measured a second time instead of being joined with their verdicts, so no
+    text is shuffled.
+    """
+    measured = work_table(signals(df, id_col=id_col, text_col=text_col))
+    found = cutoffs(measured, labels, id_col=id_col, label_col=label_col)
+    place = df.columns.index(text_col)
+
+    def passes(n_words: int, word_chars: int, n_symbols: int, n_dup_lines: int, n_repeat_words: int, n_lines: int) -> bool:
+        if n_words < MIN_WORDS or 100 * n_repeat_words > MAX_REPEAT_PERCENT * n_words:
+            return False
+        shares = (n_symbols / n_words, n_dup_lines / n_lines, n_repeat_words / n_words, word_chars / n_words)
+        stratum = sum(n_words >= low for low in STRATA)
+        return all(share <= found.get((name, stratum), math.inf) for name, share in zip(SIGNALS, shares))
+
+    def step():
+        numbers = Numbers()
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([passes(*signals_of(t, numbers)) for t in texts(batch.column(place))], pa.bool_()))
+
+        return work
+
+    return map_slices(df, step, df.schema)

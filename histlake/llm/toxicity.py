@@ -125,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
             ["slots", "weights", "bias"],
         )
 
-    found = map_batches(picked.repartition(1), run, "slots array<int>, weights array<double>, bias double").first()
+    found = map_batches(picked.orderBy("at", "y").limit(max_rows), run, "slots array<int>, weights array<double>, bias double").first()
     if found is None:
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
     return Model(np.array(found.slots, np.int64), np.array(found.weights), found.bias)
