@@ -40,7 +40,7 @@ LOOSE_EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{2,64}(?: ?[\[({] ?(?:at|AT) ?[\])}] ?| at | AT |＠)[A-Za-z0-9-]{2,63}"
     r"(?:(?:\.| ?[\[({] ?(?:dot|DOT) ?[\])}] ?| dot | DOT )[A-Za-z0-9-]{2,63}){1,3}(?![A-Za-z0-9@])"
 )
-LOOSE_NUMBER = re.compile(r"(?<![0-9A-Za-z.+])\(?[0-9]{2,4}\)?(?:[\x20./-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z]|[.][0-9])")
+LOOSE_NUMBER = re.compile(r"(?<![0-9A-Za-z.+])(?:\+[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?(?:[\x20./-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z]|[.][0-9])")
 SECRET = re.compile(r"(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,200}(?![A-Za-z0-9_/+-])")
 
 # Gazetteers.
