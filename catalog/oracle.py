@@ -94,40 +94,43 @@ SCORE = """
        round_even(CAST(sum(CAST(ok AS INTEGER)) AS DOUBLE) / count(*) * 100.0, 2) AS score,
        CAST(sum(CAST(ok AS INTEGER)) AS BIGINT) AS passing_count, count(*) AS total_count"""
 
-# One row per batch and taxpayer, then versions: the window form of applying batches
-# one after another. Attributes that change together are carried as one struct.
+# Versions in the order in which the statements of a load act: a taxpayer not seen before
+# is inserted, corrections overwrite the current version, then updates are compared with
+# it. Attributes that change together are carried as one struct.
 VERSIONS = """
 ok AS (
   SELECT * REPLACE (TRY_CAST(assessment_year AS INTEGER) AS assessment_year)
   FROM log
   WHERE taxpayer_id IS NOT NULL AND TRY_CAST(assessment_year AS INTEGER) IS NOT NULL),
-entities AS (
-  SELECT *, row_number() OVER (PARTITION BY taxpayer_id ORDER BY batch_seq) AS i,
+steps AS (
+  SELECT *, CASE record_type WHEN 'correction' THEN 1 WHEN 'update' THEN 2 ELSE 0 END AS step,
+         min(batch_seq) OVER (PARTITION BY taxpayer_id) AS first_seq FROM ok),
+last_of_step AS (
+  SELECT *, batch_seq * 3 + step AS turn,
          {'a': occupation, 'b': postal_code, 'c': housing_type, 'd': residential_status,
           'e': filing_status, 'f': number_of_dependents} AS tracked
-  FROM (SELECT *, row_number() OVER (
-                    PARTITION BY batch_seq, taxpayer_id
-                    ORDER BY CAST(record_type IN ('update', 'correction') AS INTEGER) DESC,
-                             row_pos DESC) AS rn
-        FROM ok)
-  WHERE rn = 1),
+  FROM steps
+  QUALIFY row_number() OVER (PARTITION BY batch_seq, taxpayer_id, step ORDER BY row_pos DESC) = 1),
+inserted AS (
+  SELECT *, true AS fresh FROM last_of_step WHERE batch_seq = first_seq
+  QUALIFY row_number() OVER (PARTITION BY taxpayer_id
+                             ORDER BY CAST(step > 0 AS INTEGER) DESC, row_pos DESC) = 1),
 acting AS (
-  SELECT *, lag(tracked) OVER (PARTITION BY taxpayer_id ORDER BY batch_seq) AS before
-  FROM entities WHERE i = 1 OR record_type IN ('update', 'correction')),
+  SELECT *, lag(tracked) OVER (PARTITION BY taxpayer_id ORDER BY turn) AS before
+  FROM (SELECT * FROM inserted UNION ALL
+        SELECT *, false FROM last_of_step WHERE batch_seq > first_seq AND step > 0)),
 opening AS (
-  SELECT *, i = 1 OR (record_type = 'update' AND tracked IS DISTINCT FROM before) AS opens
-  FROM acting),
+  SELECT *, fresh OR (step = 2 AND tracked IS DISTINCT FROM before) AS opens FROM acting),
 grouped AS (
   SELECT *, CAST(sum(CAST(opens AS INTEGER)) OVER (
-              PARTITION BY taxpayer_id ORDER BY batch_seq ROWS UNBOUNDED PRECEDING) AS INTEGER)
+              PARTITION BY taxpayer_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS INTEGER)
             AS version
   FROM opening),
 merged AS (
   SELECT taxpayer_id, version,
-         max_by(tracked, batch_seq) AS tracked,
-         max_by({'n': nric, 'f': full_name}, batch_seq)
-           FILTER (WHERE opens OR record_type = 'correction') AS ident,
-         max(CASE WHEN NOT opens THEN NULL WHEN i = 1 THEN TRY_CAST(filing_date AS DATE)
+         max_by(tracked, turn) AS tracked,
+         max_by({'n': nric, 'f': full_name}, turn) FILTER (WHERE opens OR step = 1) AS ident,
+         max(CASE WHEN NOT opens THEN NULL WHEN fresh THEN TRY_CAST(filing_date AS DATE)
                   ELSE TRY_CAST(batch_date AS DATE) END) AS valid_from,
          min(batch_seq) AS opened_seq
   FROM grouped GROUP BY taxpayer_id, version),

@@ -38,14 +38,20 @@ def batch_entities(
     period: str = PERIOD,
     record_type: str = "record_type",
 ) -> DataFrame:
-    """Dimension candidates: one row per (batch, key).
+    """Dimension candidates: per (batch, key) the last correction, the last update and
+    the last row of any other type, as far as there are any.
 
-    A batch can deliver several periods of one key. Updates and corrections are the
-    rows that act on a known key, so they win over other types; then file order.
+    A batch can deliver several periods of one key, and each acting type acts by itself:
+    corrections first, then updates (`scd2_build`).
     """
-    acts = F.coalesce(F.col(record_type).isin(UPDATE, CORRECTION), F.lit(False))
-    ranked = log.where(loadable(key, period)).withColumn("_acts", acts)
-    return last_per_key(ranked, [seq, key], ["_acts", order]).drop("_acts")
+    ranked = log.where(loadable(key, period)).withColumn("_kind", kind_of(F.col(record_type)))
+    return last_per_key(ranked, [seq, key, "_kind"], [order]).drop("_kind")
+
+
+def kind_of(record_type: Column) -> Column:
+    """Order in which the rows of one batch act: 1 correction, 2 update; 0 acts only on
+    a key not seen before."""
+    return F.when(record_type == CORRECTION, 1).when(record_type == UPDATE, 2).otherwise(0)
 
 
 def rejects(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.casting import lenient_date
 from ..schema import CORRECTION, IDENTITY, KEY, OPEN_END, TRACKED, UPDATE
 from ..session import cut_lineage
+from .dedupe import kind_of
 from .numbering import number_and_count
 
 
@@ -33,12 +34,16 @@ def scd2_build(
     batch_date: Column | None = None,
     seq: str = "batch_seq",
     record_type: str = "record_type",
+    order: str | None = None,
 ) -> DataFrame:
     """Every version of every key from the whole batch log.
 
-    `entities` holds one row per (key, seq). Rules:
+    `entities` holds at most one row per (key, seq) and type; `order` is the position
+    within the batch and may be left out if there is one row per (key, seq). Rules:
 
-    * the first row of a key opens version 1 from `starts`, whatever its type;
+    * in the first batch of a key its last update or correction, else its last row,
+      opens version 1 from `starts`; nothing else of that batch acts;
+    * in later batches a correction acts before an update;
     * an `update` that changes a tracked attribute closes the version on its batch
       date and opens the next one;
     * a `correction` overwrites tracked and identity attributes in place;
@@ -46,12 +51,14 @@ def scd2_build(
 
     After any acting row the open version carries that row's tracked attributes, so
     "changed" means "differs from the previous acting row". All windows share one
-    partitioning and order, hence one shuffle and one sort; a partition holds at
-    most one row per batch, however hot the key is.
+    partitioning, hence one shuffle; a partition holds at most three rows per batch,
+    however hot the key is.
     """
     starts = lenient_date(F.col("filing_date")) if starts is None else starts
     batch_date = lenient_date(F.col("batch_date")) if batch_date is None else batch_date
-    by_key = Window.partitionBy(key).orderBy(seq)
+    by_key = Window.partitionBy(key).orderBy(seq, "_kind")
+    acts = F.col("_kind") > 0
+    in_batch = Window.partitionBy(key, seq).orderBy(acts.desc(), *([F.desc(order)] if order else []))
     so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     acting = (
@@ -61,12 +68,15 @@ def scd2_build(
             *identity,
             F.col(seq).alias("_seq"),
             F.col(record_type).alias("_type"),
+            kind_of(F.col(record_type)).alias("_kind"),
             starts.alias("_starts"),
             batch_date.alias("_batch_date"),
             seq,
+            *([order] if order else []),
         )
-        .withColumn("_first", F.row_number().over(by_key) == 1)
-        .where(F.col("_first") | F.col("_type").isin(UPDATE, CORRECTION))
+        .withColumn("_opener", F.row_number().over(in_batch) == 1)
+        .withColumn("_first", F.col(seq) == F.min(seq).over(Window.partitionBy(key)))
+        .where(F.when(F.col("_first"), F.col("_opener")).otherwise(acts))
     )
     previous = F.lag(F.struct(*tracked)).over(by_key)
     marked = acting.withColumn("_previous", previous).withColumn(
@@ -129,6 +139,7 @@ def scd2_apply(
     identity: Sequence[str] = IDENTITY,
     starts: Column | None = None,
     record_type: str = "record_type",
+    order: str | None = None,
 ) -> HistoryStep:
     """Apply one batch to the current versions; closed versions are never read.
 
@@ -137,33 +148,49 @@ def scd2_apply(
     The matched rows are at most as many as the batch and are written out once; the
     large side is only probed and filtered, so a small batch is broadcast and the
     dimension is not shuffled. A batch older than the last change of a version
-    leaves that version alone, which makes replays harmless.
+    leaves that version alone, and a batch with a correction and an update finds its own
+    result in place, which makes replays harmless.
     """
     starts = lenient_date(F.col("filing_date")) if starts is None else starts
     attributes = [*identity, *tracked]
-    incoming = entities.select(
-        F.col(key),
-        F.struct(
-            F.col(record_type).alias("type"), starts.alias("starts"), *attributes
-        ).alias("_new"),
+    row = F.struct(starts.alias("starts"), *attributes)
+    kind = kind_of(F.col(record_type))
+    place = F.struct((kind > 0).alias("acts"), F.col(order) if order else F.lit(0).alias("at"))
+    # At most three rows per key, so these are small.
+    incoming = entities.groupBy(key).agg(
+        F.max(F.when(kind == 1, row)).alias("_fix"),
+        F.max(F.when(kind == 2, row)).alias("_new"),
+        F.max_by(row, place).alias("_opener"),
     )
     matched = cut_lineage(
         current.join(incoming, key).select(
-            F.struct(*[F.col(c) for c in current.columns]).alias("_old"), key, "_new"
+            F.struct(*[F.col(c) for c in current.columns]).alias("_old"), key, "_fix", "_new", "_opener"
         )
     )
     in_order = F.col("_old.touched_seq") <= F.lit(batch_seq)
-    corrected = matched.where((F.col("_new.type") == CORRECTION) & in_order)
-    changed = matched.where(
-        (F.col("_new.type") == UPDATE)
-        & in_order
-        & differs([(F.col(f"_old.{c}"), F.col(f"_new.{c}")) for c in tracked])
+    both = F.col("_fix").isNotNull() & F.col("_new").isNotNull()
+    done = both & (F.col("_old.opened_seq") == F.lit(batch_seq))
+    fixes = in_order & F.col("_fix").isNotNull() & ~done
+    as_opened = done & ~differs([(F.col(f"_old.{c}"), F.col(f"_opener.{c}")) for c in tracked])
+
+    def fixed_value(c: str) -> Column:
+        return F.when(fixes, F.col(f"_fix.{c}")).otherwise(F.col(f"_old.{c}"))
+
+    changes = (
+        in_order
+        & F.col("_new").isNotNull()
+        & ~as_opened
+        & differs([(fixed_value(c), F.col(f"_new.{c}")) for c in tracked])
     )
+    corrected = matched.where(fixes & ~changes)
+    changed = matched.where(changes)
 
     def version(row: DataFrame, values: dict[str, Column]) -> DataFrame:
         return row.select(*[values[c].cast(current.schema[c].dataType).alias(c) for c in current.columns])
 
     old = {c: F.col(f"_old.{c}") for c in current.columns}
+    base = {**old, **{c: fixed_value(c) for c in attributes}}
+    base["touched_seq"] = F.when(fixes, F.lit(batch_seq)).otherwise(F.col("_old.touched_seq"))
     new = {c: F.col(f"_new.{c}") for c in attributes}
     opening = {
         **new,
@@ -175,13 +202,13 @@ def scd2_apply(
     }
     first_seen = incoming.join(matched.select(key), key, "left_anti")
     to_open = (
-        first_seen.select(key, "_new", F.col("_new.starts").alias("_from"))
+        first_seen.select(key, F.col("_opener").alias("_new"), F.col("_opener.starts").alias("_from"))
         .unionByName(changed.select(key, "_new", batch_date.alias("_from")))
     )
     numbered, count = number_and_count(to_open, [key], "_sk", last_sk)
     opened = version(numbered, {**opening, sk: F.col("_sk"), "valid_from": F.col("_from")})
-    closed = version(changed, {**old, "valid_to": batch_date, "is_current": F.lit(False)})
-    fixed = version(corrected, {**old, **new, "touched_seq": F.lit(batch_seq)})
+    closed = version(changed, {**base, "valid_to": batch_date, "is_current": F.lit(False)})
+    fixed = version(corrected, base)
     replaced = corrected.select(key).unionByName(changed.select(key))
     kept = current.join(replaced, key, "left_anti").select(*current.columns)
     untouched = matched.join(changed.select(key), key, "left_anti")

@@ -104,7 +104,7 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
 
 
 def build_versions(log: DataFrame, order: str = "row_pos") -> DataFrame:
-    return scd2_build(batch_entities(log, order))
+    return scd2_build(batch_entities(log, order), order=order)
 
 
 def numbered_versions(versions: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def apply_batch(
     )
     rows = batch.withColumn("batch_seq", F.lit(batch_seq))
     history = scd2_apply(
-        state.current, batch_entities(rows, order), batch_seq, day, state.last_taxpayer_sk
+        state.current, batch_entities(rows, order), batch_seq, day, state.last_taxpayer_sk, order=order
     )
     returns = cut_lineage(typed_returns(batch_returns(rows, order), day))
     keys = [KEY, PERIOD]

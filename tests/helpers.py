@@ -79,12 +79,17 @@ class RowByRow:
         usable = [r for r in rows if r["taxpayer_id"] and (r["assessment_year"] or "").isdigit()]
         people: dict[str, dict] = {}
         for r in usable:
-            acts = r["record_type"] in ("update", "correction")
-            held = people.get(r["taxpayer_id"])
-            if held is None or acts or held["record_type"] not in ("update", "correction"):
-                people[r["taxpayer_id"]] = r
-        for key, r in people.items():
-            self._person(key, r, day)
+            held = people.setdefault(r["taxpayer_id"], {})
+            held[r["record_type"] if r["record_type"] in ("correction", "update") else "other"] = r
+            if r["record_type"] in ("update", "correction"):
+                held["acting"] = r
+        for key, held in people.items():
+            if key not in self.versions:
+                self._person(key, held.get("acting", held.get("other")), day)
+            else:
+                for kind in ("correction", "update"):
+                    if kind in held:
+                        self._person(key, held[kind], day)
         latest = {(r["taxpayer_id"], int(r["assessment_year"])): r for r in usable}
         for key, r in latest.items():
             self._fact(key, r, day)
