@@ -315,6 +315,19 @@ SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), NULL, '
         "batch_catalogue": with_(LOG) + """
 SELECT batch, batch_seq, min(batch_date) AS batch_date, count(*) AS num_rows
 FROM log GROUP BY batch, batch_seq""",
+        "batch_catalogue_mixed_dates": with_(LOG) + """
+SELECT batch, batch_seq, arg_min(said, row_pos) FILTER (WHERE said IS NOT NULL) AS batch_date
+FROM (SELECT batch, batch_seq, row_pos, CASE row_pos % 3 WHEN 0 THEN NULL
+        WHEN 1 THEN strftime(CAST(batch_date AS DATE), '%d/%m/%Y') ELSE batch_date END AS said FROM log)
+GROUP BY batch, batch_seq""",
+        "csv_headers": """
+SELECT concat('T', c_custkey) AS taxpayer_id, concat('S', c_custkey) AS nric, c_name AS full_name,
+       'new' AS record_type FROM customer""",
+        "employer_file": with_(EMPLOYERS) + """
+SELECT CASE WHEN p.no_id THEN concat('UNKNOWN_', p.pos) ELSE concat('EMP', p.k) END AS employer_id,
+       e.* EXCLUDE (employer_id)
+FROM (SELECT *, row_number() OVER (PARTITION BY k // 100 ORDER BY k) - 1 AS pos FROM parsed) p
+JOIN employers e ON e.employer_id = CASE WHEN p.no_id THEN concat('UNKNOWN_', p.k) ELSE concat('EMP', p.k) END""",
         "one_batch_score": with_(LOG, FLAGS) + f"""
 SELECT domain, {SCORE} FROM long WHERE batch = 'day3' GROUP BY domain""",
         "employer_records": with_(EMPLOYERS) + "SELECT * FROM employers",
@@ -352,6 +365,8 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
          AND coalesce(year(l_shipdate) > year(o_orderdate), false) AS dq_validity_pass,
        coalesce(l_tax = 0.08::DOUBLE - l_discount, false) AS dq_accuracy_pass
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        "score_absent_domain": with_(LOG, FLAGS) + f"""
+SELECT domain, {SCORE} FROM long WHERE domain = 'completeness' GROUP BY domain""",
         "dq_domain_score": with_(LOG, FLAGS) + f"SELECT domain, {SCORE} FROM long GROUP BY domain",
         "dq_score_by_batch": with_(LOG, FLAGS) + f"""
 SELECT batch, domain, {SCORE} FROM long GROUP BY batch, domain""",
@@ -363,6 +378,7 @@ QUALIFY row_number() OVER (PARTITION BY domain ORDER BY batch_seq DESC) = 1""",
 SELECT batch, domain, {SCORE} FROM long GROUP BY batch, domain ORDER BY batch, domain""",
         # ---- history ----
         "scd2_versions": with_(*HISTORY) + f"SELECT {VERSION_COLUMNS} FROM versions",
+        "scd2_mixed_batch": with_(*HISTORY, months=24) + f"SELECT {VERSION_COLUMNS} FROM versions",
         "scd2_event_history": """
 WITH b AS (SELECT user_id, CAST(ts AS DATE) AS d, event_type,
              row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
@@ -408,7 +424,7 @@ SELECT * FROM batch
 UNION ALL
 SELECT * FROM target
 WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM batch)""",
-        "correction_audit": with_(LOG, VERSIONS.split("entities AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)
+        "correction_audit": with_(LOG, VERSIONS.split("steps AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)
         + f"SELECT {AUDIT_COLUMNS} FROM audit",
         # ---- serving ----
         "summary_by_occupation": summary_sql("occupation", 50, 0),
@@ -436,7 +452,7 @@ FROM versions WHERE taxpayer_id = 'T7' ORDER BY version""",
         "fact_sample": with_(*FULL) + """
 SELECT taxpayer_id, assessment_year, employer_id, tax_payable_sgd, is_corrected
 FROM facts ORDER BY taxpayer_id, assessment_year LIMIT 5""",
-        "audit_listing": with_(LOG, VERSIONS.split("entities AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)
+        "audit_listing": with_(LOG, VERSIONS.split("steps AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)
         + "SELECT taxpayer_id, assessment_year, old_tax_payable_sgd FROM audit",
         "table_counts": counts,
         "warehouse_counts": with_(*FULL, AUDIT, FLAGS) + """
@@ -454,6 +470,16 @@ SELECT taxpayer_id, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS
 FROM (SELECT *, lead(valid_from) OVER w AS nf, lead(version) OVER w AS nv FROM versions
       WINDOW w AS (PARTITION BY taxpayer_id ORDER BY opened_seq))
 WHERE nv IS NOT NULL AND valid_to IS DISTINCT FROM nf""",
+        "check_several_current_seeded": with_(*HISTORY) + """
+SELECT taxpayer_id, count(*) AS n FROM versions WHERE is_current OR version = 1
+GROUP BY 1 HAVING count(*) > 1""",
+        "check_version_gaps_seeded": with_(*HISTORY) + """
+SELECT taxpayer_id, CAST(valid_from AS VARCHAR) AS valid_from, CAST(late AS VARCHAR) AS valid_to,
+       CAST(nf AS VARCHAR) AS next_from
+FROM (SELECT *, lead(valid_from) OVER w AS nf, lead(version) OVER w AS nv,
+             valid_to + CASE WHEN version % 2 = 1 AND NOT is_current THEN 1 ELSE 0 END AS late
+      FROM versions WINDOW w AS (PARTITION BY taxpayer_id ORDER BY version))
+WHERE nv IS NOT NULL AND late IS DISTINCT FROM nf""",
         "check_fact_grain": with_(*FULL) + """
 SELECT taxpayer_id, assessment_year, count(*) AS n FROM facts GROUP BY 1, 2 HAVING count(*) > 1""",
         "check_line_item_grain": """
@@ -473,6 +499,28 @@ UNION ALL
 (SELECT o_custkey, o_orderstatus, 'after' FROM orders WHERE o_orderpriority <> '1-URGENT'
  EXCEPT ALL SELECT o_custkey, o_orderstatus, 'after' FROM orders WHERE o_orderpriority <> '5-LOW')""",
         # ---- stored warehouse ----
+        "stored_dimension": with_(*HISTORY) + f"SELECT {VERSION_COLUMNS.replace('version, ', '')} FROM versions",
+        "stored_corrections": with_(LOG, VERSIONS.split("steps AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)
+        + f"""SELECT row_number() OVER (ORDER BY batch_seq, taxpayer_id, assessment_year) AS correction_id,
+       {AUDIT_COLUMNS} FROM audit""",
+        "stored_metrics": with_(LOG, FLAGS) + f"""
+SELECT batch, domain, {SCORE} FROM long GROUP BY batch, domain""",
+        "stored_quality": with_(LOG, FLAGS) + f"""
+SELECT domain, {SCORE}, batch FROM long WHERE batch_seq = (SELECT max(batch_seq) FROM log)
+GROUP BY domain, batch""",
+        "stored_rejects": with_(LOG) + f"""
+SELECT batch, CASE WHEN taxpayer_id IS NULL THEN 'missing key'
+            WHEN TRY_CAST(assessment_year AS INTEGER) IS NULL THEN 'unreadable period'
+            ELSE 'superseded in batch' END AS reason, {LOG_COLUMNS}
+FROM log
+QUALIFY taxpayer_id IS NULL OR TRY_CAST(assessment_year AS INTEGER) IS NULL
+  OR row_number() OVER (PARTITION BY batch_seq, taxpayer_id, TRY_CAST(assessment_year AS INTEGER)
+                        ORDER BY row_pos DESC) > 1""",
+        "replay_changes_nothing": """
+SELECT table_name, count(*) - count(*) AS num_rows
+FROM (VALUES ('dim_taxpayer'), ('dim_employer'), ('fact_tax_returns'), ('agg_data_quality_metrics'),
+             ('fact_corrections')) t(table_name), (SELECT 1 FROM orders LIMIT 1)
+GROUP BY table_name""",
         "warehouse_rebuild": with_(*FULL) + f"SELECT {FACT_COLUMNS} FROM facts",
         "folder_stream": with_(*FULL, months=24) + f"SELECT {FACT_COLUMNS} FROM facts",
     }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from histlake.functions.rules import Rule, dated_after_year, matches_from_start, present
 from histlake.operators import checks
-from histlake.operators.dedupe import batch_entities, last_per_key, rejects
+from histlake.operators.dedupe import last_per_key, rejects
 from histlake.operators.facts import (
     lookup_or_unknown,
     replace_by_key,
@@ -35,8 +35,8 @@ from histlake.schema import (
     column_names,
 )
 from histlake.session import configure, cut_lineage, shared_folder
-from histlake.sources.batches import align, batch_dates, list_batches, read_log, select_batches
-from histlake.sources.employers import count_issues, parse_employers
+from histlake.sources.batches import align, batch_dates, list_batches, read_batch, read_log, select_batches
+from histlake.sources.employers import count_issues, parse_employers, read_json_array
 from histlake.streaming.folder import load_new_files
 
 from .derive import employer_records, event_log, returns_log, table
@@ -120,6 +120,45 @@ def batch_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return batch_dates(log).join(sizes, "batch").select("batch", "batch_seq", "batch_date", "num_rows")
 
 
+def mixed_dates(log: DataFrame) -> DataFrame:
+    """The log with batch dates missing on some rows and written otherwise on others."""
+    return log.withColumn(
+        "batch_date",
+        F.expr("CASE WHEN row_pos % 3 = 0 THEN NULL WHEN row_pos % 3 = 1 THEN"
+               " date_format(CAST(batch_date AS DATE), 'dd/MM/yyyy') ELSE batch_date END"),
+    )
+
+
+def batch_catalogue_mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Date of each batch: that of the first row in file order that has one."""
+    return batch_dates(mixed_dates(returns_log(spark, sf)))
+
+
+def csv_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch whose header repeats one name and has another in two spellings."""
+    folder = f"{work_folder(spark)}/individual_tax_returns_day1.csv"
+    line = F.concat_ws(
+        ",",
+        F.concat(F.lit("T"), F.col("c_custkey")), F.concat(F.lit("other"), F.col("c_custkey")),
+        F.concat(F.lit("S"), F.col("c_custkey")), F.col("c_name"), F.lit("again"), F.lit("more"),
+    )
+    # A separator that doesn't occur keeps the writer from quoting header and lines.
+    table(spark, sf, "customer").select(
+        line.alias("taxpayer_id,NRIC,nric,full_name,full_name,surprise")
+    ).write.csv(folder, header=True, sep="\u0001")
+    return read_batch(spark, folder).rows.select(KEY, "nric", "full_name", "record_type")
+
+
+def employer_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Employer records written as JSON arrays of at most a hundred, and read back."""
+    folder = work_folder(spark)
+    records = employer_records(spark, sf).select(F.expr("pos DIV 100 AS part"), "pos", F.to_json("record").alias("text"))
+    arrays = records.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("r"))
+    document = F.concat(F.lit("["), F.array_join("r.text", ", "), F.lit("]"))
+    arrays.select("part", document.alias("value")).write.partitionBy("part").text(folder)
+    return parse_employers(read_json_array(spark, folder))
+
+
 def one_batch_score(spark: SparkSession, sf: str) -> DataFrame:
     """Score of the one batch a run was asked for."""
     return score(apply_rules(returns_log(spark, sf).where(F.col("batch") == "day3")))
@@ -192,6 +231,11 @@ def dq_custom_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def score_absent_domain(spark: SparkSession, sf: str) -> DataFrame:
+    """Domains without a flag column have no score."""
+    return score(validated(spark, sf).drop("dq_validity_pass"), ["completeness", "validity", "timeliness"])
+
+
 def dq_domain_score(spark: SparkSession, sf: str) -> DataFrame:
     return score(validated(spark, sf))
 
@@ -223,6 +267,12 @@ def scd2_versions(spark: SparkSession, sf: str) -> DataFrame:
     return dates_as_text(versions(spark, sf).select("version", *VERSION_COLUMNS))
 
 
+def scd2_mixed_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """History from batches of two years, in which many a taxpayer has both a correction
+    and an update."""
+    return dates_as_text(build_versions(returns_log(spark, sf, 24)).select("version", *VERSION_COLUMNS))
+
+
 def scd2_event_history(spark: SparkSession, sf: str) -> DataFrame:
     """Type of each user's last event of the day, as history."""
     history = scd2_build(
@@ -426,6 +476,17 @@ def check_version_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return dates_as_text(checks.gaps_between_versions(versions(spark, sf)))
 
 
+def check_several_current_seeded(spark: SparkSession, sf: str) -> DataFrame:
+    """First versions made current again beside the current ones."""
+    return checks.several_current(versions(spark, sf).withColumn("is_current", F.expr("is_current OR version = 1")))
+
+
+def check_version_gaps_seeded(spark: SparkSession, sf: str) -> DataFrame:
+    """Every other version ends a day late."""
+    late = versions(spark, sf).withColumn("valid_to", F.expr("date_add(valid_to, IF(version % 2 = 1 AND NOT is_current, 1, 0))"))
+    return dates_as_text(checks.gaps_between_versions(late))
+
+
 def check_fact_grain(spark: SparkSession, sf: str) -> DataFrame:
     return checks.repeated_grain(facts(spark, sf))
 
@@ -478,6 +539,43 @@ def warehouse_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return linked_facts(warehouse)
 
 
+def rebuilt(spark: SparkSession, sf: str) -> Warehouse:
+    warehouse = Warehouse(spark, work_folder(spark), buckets=4)
+    warehouse.rebuild(returns_log(spark, sf), employers(spark, sf), COMPUTED_AT)
+    return warehouse
+
+
+def stored_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    return dates_as_text(rebuilt(spark, sf).table("dim_taxpayer").select(*VERSION_COLUMNS))
+
+
+def stored_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    return dates_as_text(rebuilt(spark, sf).table("fact_corrections").select("correction_id", *AUDIT_COLUMNS))
+
+
+def stored_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.metric_listing(rebuilt(spark, sf).table("agg_data_quality_metrics"))
+
+
+def stored_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Current scores where all batches were scored at one time."""
+    return rebuilt(spark, sf).quality().select("domain", "score", "passing_count", "total_count", "batch")
+
+
+def stored_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return rebuilt(spark, sf).rejected().select("batch", "reason", *CANONICAL_COLUMNS)
+
+
+def replay_changes_nothing(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each stored table that differ after a batch was loaded again."""
+    warehouse = rebuilt(spark, sf)
+    before = warehouse.tables()
+    batch = returns_log(spark, sf).where("batch = 'day9'").select(*CANONICAL_COLUMNS, "row_pos")
+    warehouse.load_batch(batch, "day9", COMPUTED_AT)
+    after = warehouse.tables()
+    return serving.table_counts({n: checks.content_difference(before[n], after[n]) for n in before})
+
+
 def folder_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Batches picked up from a folder by a stream and loaded one after another."""
     folder = work_folder(spark)
@@ -507,6 +605,9 @@ def _all() -> dict[str, Query]:
         "schema_align": schema_align,
         "csv_batches": csv_batches,
         "batch_catalogue": batch_catalogue,
+        "batch_catalogue_mixed_dates": batch_catalogue_mixed_dates,
+        "csv_headers": csv_headers,
+        "employer_file": employer_file,
         "one_batch_score": one_batch_score,
         "employer_records": employers,
         "employer_issue_count": employer_issue_count,
@@ -516,10 +617,12 @@ def _all() -> dict[str, Query]:
         "dq_row_flags": dq_row_flags,
         "dq_custom_rules": dq_custom_rules,
         "dq_domain_score": dq_domain_score,
+        "score_absent_domain": score_absent_domain,
         "dq_score_by_batch": dq_score_by_batch,
         "dq_latest_per_domain": dq_latest_per_domain,
         "dq_metric_listing": dq_metric_listing,
         "scd2_versions": scd2_versions,
+        "scd2_mixed_batch": scd2_mixed_batch,
         "scd2_event_history": scd2_event_history,
         "scd2_event_corrections": scd2_event_corrections,
         "asof_event_link": asof_event_link,
@@ -542,11 +645,19 @@ def _all() -> dict[str, Query]:
         "warehouse_counts": warehouse_counts,
         "check_several_current": check_several_current,
         "check_version_gaps": check_version_gaps,
+        "check_several_current_seeded": check_several_current_seeded,
+        "check_version_gaps_seeded": check_version_gaps_seeded,
         "check_fact_grain": check_fact_grain,
         "check_line_item_grain": check_line_item_grain,
         "check_dangling_suppliers": check_dangling_suppliers,
         "check_unknown_links": check_unknown_links,
         "check_content_difference": check_content_difference,
         "warehouse_rebuild": warehouse_rebuild,
+        "stored_dimension": stored_dimension,
+        "stored_corrections": stored_corrections,
+        "stored_metrics": stored_metrics,
+        "stored_quality": stored_quality,
+        "stored_rejects": stored_rejects,
+        "replay_changes_nothing": replay_changes_nothing,
         "folder_stream": folder_stream,
     }

@@ -67,8 +67,8 @@ def unknown_links(facts: DataFrame, lookup: str = "employer_id") -> DataFrame:
 
 def content_difference(before: DataFrame, after: DataFrame) -> DataFrame:
     """Rows found on one side only, duplicates counted, with the side they are on."""
-    return (
-        before.exceptAll(after)
-        .withColumn("side", F.lit("before"))
-        .unionByName(after.exceptAll(before).withColumn("side", F.lit("after")))
-    )
+    columns = before.columns
+    sides = before.withColumn("_n", F.lit(1)).unionByName(after.withColumn("_n", F.lit(-1)))
+    surplus = sides.groupBy(*columns).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    side = F.when(F.col("_n") > 0, F.lit("before")).otherwise(F.lit("after"))
+    return surplus.select(*columns, side.alias("side"), F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_i")).drop("_i")

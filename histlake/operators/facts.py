@@ -62,26 +62,36 @@ def lookup_or_unknown(
 def with_unknown_member(employers: DataFrame) -> DataFrame:
     """The employer dimension: six stored columns plus the row for "no employer".
 
-    Identifiers come out unique. Of several records with one identifier the smallest
-    is kept, and the row for "no employer" comes before any record that claims its
-    identifier.
+    Identifiers come out unique. Of several records with one identifier the last by
+    `pos` is kept (without that column, the smallest), and the row for "no employer"
+    comes before any record that claims its identifier. `superseded_members` lists the
+    others.
     """
+    return _ranked_members(employers).where("_place = 1").select(*EMPLOYER_COLUMNS)
+
+
+def superseded_members(employers: DataFrame) -> DataFrame:
+    """Records that `with_unknown_member` leaves out because of a repeated identifier."""
+    return _ranked_members(employers).where("_place > 1").select(*EMPLOYER_COLUMNS)
+
+
+def _ranked_members(employers: DataFrame) -> DataFrame:
     key, *others = EMPLOYER_COLUMNS
+    order = [F.desc("pos")] if "pos" in employers.columns else []
     stored = employers.select(
         F.lit(1).alias("_rank"),
         *[c for c in EMPLOYER_COLUMNS if c != "employee_count"],
         F.col("employee_count").try_cast("int").alias("employee_count"),
+        *(["pos"] if order else []),
     )
     sentinel = employers.sparkSession.range(1).select(
         F.lit(0).alias("_rank"),
         F.lit(UNKNOWN_MEMBER).alias(key),
         F.lit(UNKNOWN_MEMBER_NAME).alias("company_name"),
-        *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in others[1:]],
-    )
-    chosen = (
-        stored.unionByName(sentinel).groupBy(key).agg(F.min(F.struct("_rank", *others)).alias("_row"))
+        *[F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns[3:]],
     )
-    return chosen.select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
+    place = Window.partitionBy(key).orderBy("_rank", *order, *others)
+    return stored.unionByName(sentinel).withColumn("_place", F.row_number().over(place))
 
 
 def replace_by_key(

@@ -80,8 +80,10 @@ def latest_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column
 
 
 def latest_quality(metrics: DataFrame) -> DataFrame:
-    """Most recent score of every domain; equal times are decided by batch name."""
-    newest = latest_per_group(metrics, ["domain"], [F.desc("computed_at"), F.desc("batch")])
+    """Most recent score of every domain; of equal times that of the batch loaded last.
+    Without load numbers (`batch_seq`) the batch name decides."""
+    order = "batch_seq" if "batch_seq" in metrics.columns else "batch"
+    newest = latest_per_group(metrics, ["domain"], [F.desc("computed_at"), F.desc(order)])
     return newest.select(
         "domain", "score", "passing_count", "total_count", "batch", "computed_at"
     ).orderBy("domain")

@@ -80,14 +80,15 @@ def summary(
     facts: DataFrame,
     dim: DataFrame,
     by: str,
-    limit: int = 50,
+    limit: int | None = 50,
     offset: int = 0,
     link: Sequence[str] = ("taxpayer_sk",),
 ) -> DataFrame:
     """Returns, total payable and average income per group, highest total first.
 
-    The group value breaks ties so that pages do not overlap. `link` names the
-    columns that tie a fact to its version.
+    The group value breaks ties so that pages do not overlap; without `limit` all
+    groups are returned. Money is summed as decimals, so no order of rows changes a
+    cent. `link` names the columns that tie a fact to its version.
     """
     if by not in SUMMARY_DIMENSIONS:
         raise ValueError(f"group by one of {SUMMARY_DIMENSIONS}, not {by!r}")
@@ -97,21 +98,19 @@ def summary(
         list(link),
         list(link),
         by,
-        F.col("tax_payable_sgd"),
-        F.col("annual_income_sgd"),
+        F.col("tax_payable_sgd").try_cast("decimal(28,6)"),
+        F.col("annual_income_sgd").try_cast("decimal(28,6)"),
     )
     report = totals.select(
         "group_value",
         F.col("n").alias("num_returns"),
-        round_half_away(F.col("total")).alias("total_tax_payable"),
-        round_half_away(F.try_divide("avg_sum", "avg_n")).alias("avg_annual_income"),
-    )
-    return page(
-        report,
-        [F.col("total_tax_payable").desc_nulls_last(), F.col("group_value").asc_nulls_last()],
-        limit,
-        offset,
+        round_half_away(F.col("total").cast("double")).alias("total_tax_payable"),
+        round_half_away(F.try_divide(F.col("avg_sum").cast("double"), F.col("avg_n"))).alias("avg_annual_income"),
     )
+    order = [F.col("total_tax_payable").desc_nulls_last(), F.col("group_value").asc_nulls_last()]
+    if limit is None:
+        return report.orderBy(*order)
+    return page(report, order, limit, offset)
 
 
 def profiles(dim: DataFrame, ids: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import copy
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.casting import lenient_date, load_int
 from ..functions.rules import Rule
 from ..operators.dedupe import loadable, rejects
-from ..operators.facts import with_unknown_member
-from ..operators.quality import apply_rules, score
-from ..schema import BATCH_LOG, KEY, PERIOD, REJECTS, TABLES, public_columns
-from ..session import cut_lineage
-from ..sources.batches import BatchFile, list_batches, read_batch, select_batches
+from ..operators.facts import superseded_members, with_unknown_member
+from ..operators.quality import apply_rules, latest_quality, score
+from ..schema import BATCH_LOG, CANONICAL_COLUMNS, KEY, PERIOD, REJECTS, TABLES, column_names, public_columns
+from ..session import cut_lineage, work_tables
+from ..sources.batches import first_date, list_batches, read_batch, select_batches
 from ..sources.snapshots import Snapshots, with_parts
 from . import serving
 from .state import State, apply_batch, rebuild
@@ -27,6 +27,19 @@ FIRST_YEAR, LAST_YEAR = 1900, 2100
 
 
 MAX_BUCKETS = 10_000
+LAYOUT = "_layout"  # entry of the version list: the number of buckets
+
+
+@dataclass(frozen=True)
+class LoadReport:
+    """What a load did: number of the batch, drift of its header, score by domain."""
+
+    batch: str
+    batch_seq: int
+    rows: int
+    scores: dict[str, float]
+    added: tuple[str, ...] = ()
+    unexpected: tuple[str, ...] = ()
 
 
 class Warehouse:
@@ -35,8 +48,9 @@ class Warehouse:
     Taxpayer versions are split into `buckets` by a hash of the key, facts by year and
     bucket. A load reads and rewrites only the partitions its rows fall into; closed
     versions, logged corrections and scores are appended. Choose `buckets` so that one
-    bucket of current versions is a few files. Batches are numbered in order of their first load; a replay keeps its number
-    and cannot overwrite what later batches did.
+    bucket of current versions is a few files; the number is stored with the data, and a
+    store that has one keeps it whatever is asked for. Batches are numbered in order of
+    their first load; a replay keeps its number and cannot overwrite what later batches did.
     """
 
     def __init__(
@@ -52,6 +66,7 @@ class Warehouse:
             raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
         self.rules = rules
         self.buckets = buckets
+        self._adopt(self.store.latest()[1])
 
     # ---- reading ------------------------------------------------------------
 
@@ -81,29 +96,40 @@ class Warehouse:
             listing, "dim_taxpayer", TABLES["dim_taxpayer"], lambda p: p.startswith("current/")
         ).select(*public_columns("dim_taxpayer"))
 
-    def summary(self, by: str, limit: int = 50, offset: int = 0) -> DataFrame:
+    def quality(self) -> DataFrame:
+        """Current score of every domain: that of the batch loaded last."""
+        return latest_quality(self._stored("agg_data_quality_metrics"))
+
+    def summary(self, by: str, limit: int | None = 50, offset: int = 0) -> DataFrame:
         return serving.summary(
             self.table("fact_tax_returns"), self.table("dim_taxpayer"), by, limit, offset
         )
 
     # ---- writing ------------------------------------------------------------
 
-    def load_employers(self, employers: DataFrame) -> None:
-        """Replace the employer dimension."""
-        version, listing = self.store.latest()
+    def load_employers(self, employers: DataFrame) -> DataFrame:
+        """Replace the employer dimension; returns the records that a later one with the
+        same identifier supersedes."""
+        version, listing = self._open()
         new = self.store.write("dim_employer", with_unknown_member(employers), "all")
         with_parts(listing, "dim_employer", ["all"], new)
-        self.store.publish(version + 1, listing)
+        self._publish(version + 1, listing)
+        return superseded_members(employers)
 
-    def load_file(self, path: str, batch: str, computed_at: datetime | None = None) -> None:
-        self.load_batch(read_batch(self.spark, path).rows, batch, computed_at)
+    def load_file(self, path: str, batch: str, computed_at: datetime | None = None) -> LoadReport:
+        aligned = read_batch(self.spark, path)
+        report = self.load_batch(aligned.rows, batch, computed_at)
+        return replace(report, added=tuple(aligned.added), unexpected=tuple(aligned.unexpected))
 
     def load_batch(
         self, rows: DataFrame, batch: str, computed_at: datetime | None = None
-    ) -> None:
+    ) -> LoadReport:
         """Validate, score and load one batch of canonical rows with `row_pos`."""
-        computed_at = computed_at or datetime.now(timezone.utc)
-        version, listing = self.store.latest()
+        with work_tables(self.spark):
+            return self._load_batch(rows, batch, computed_at or datetime.now(timezone.utc))
+
+    def _load_batch(self, rows: DataFrame, batch: str, computed_at: datetime) -> LoadReport:
+        version, listing = self._open()
         before = copy.deepcopy(listing)
         validated = cut_lineage(apply_rules(rows, self.rules))
 
@@ -116,7 +142,7 @@ class Warehouse:
         usable = loadable()
         facts = validated.agg(
             F.count(F.lit(1)).alias("n"),
-            lenient_date(F.min("batch_date")).alias("day"),
+            lenient_date(first_date()).alias("day"),
             F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
             F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
         ).first()
@@ -141,9 +167,11 @@ class Warehouse:
             "passing_count",
             "total_count",
             F.lit(computed_at).alias("computed_at"),
+            F.lit(seq).alias("batch_seq"),
         )
+        metrics = cut_lineage(metrics)
         refused = rejects(validated.withColumn("batch_seq", F.lit(seq)), "row_pos").select(
-            F.lit(batch).alias("batch"), "reason", KEY, PERIOD
+            F.lit(batch).alias("batch"), "reason", _place(), *CANONICAL_COLUMNS
         )
         entry = (
             batch,
@@ -171,16 +199,20 @@ class Warehouse:
         if step.corrections:
             writes.append(self._whole("fact_corrections", step.corrections, batch))
         self._write(listing, writes)
-        self.store.publish(version + 1, listing)
+        self._publish(version + 1, listing)
+        scores = {r.domain: r.score for r in metrics.select("domain", "score").collect()}
+        return LoadReport(batch, seq, facts.n, scores)
 
     def backfill(
         self, folder: str, wanted: str = "all", computed_at: datetime | None = None
-    ) -> list[BatchFile]:
+    ) -> list[LoadReport]:
         """Load the batch files of a folder one after another, in natural name order."""
         files = select_batches(list_batches(self.spark, folder), wanted)
-        for f in files:
-            self.load_file(f.path, f.batch, computed_at)
-        return files
+        return [self.load_file(f.path, f.batch, computed_at) for f in files]
+
+    def vacuum(self) -> int:
+        """Remove what no reader of the newest version needs; how many folders went."""
+        return self.store.vacuum()
 
     def rebuild(
         self, log: DataFrame, employers: DataFrame, computed_at: datetime | None = None
@@ -189,22 +221,28 @@ class Warehouse:
 
         `log` holds canonical rows with `batch`, `batch_seq` and `row_pos`.
         """
-        computed_at = computed_at or datetime.now(timezone.utc)
-        version, _ = self.store.latest()
+        with work_tables(self.spark):
+            self._rebuild(log, employers, computed_at or datetime.now(timezone.utc))
+
+    def _rebuild(self, log: DataFrame, employers: DataFrame, computed_at: datetime) -> None:
+        version, _ = self._open()
         validated = cut_lineage(apply_rules(log, self.rules))
         state = rebuild(validated, employers)
         last_sk = state.versions.agg(F.max("taxpayer_sk")).first()[0] or 0
         last_id = state.corrections.agg(F.max("correction_id")).first()[0] or 0
         batches = validated.groupBy("batch", "batch_seq").agg(
-            lenient_date(F.min("batch_date")).alias("batch_date"),
+            lenient_date(first_date()).alias("batch_date"),
             F.count(F.lit(1)).alias("total_rows"),
             F.lit(last_sk).cast("bigint").alias("last_taxpayer_sk"),
             F.lit(last_id).cast("bigint").alias("last_correction_id"),
         )
-        metrics = score(validated, by=["batch", "batch_seq"]).withColumn(
-            "computed_at", F.lit(computed_at)
+        metrics = score(validated, by=["batch", "batch_seq"]).select(
+            *[F.lit(computed_at).alias(c) if c == "computed_at" else F.col(c) for c in column_names(TABLES["agg_data_quality_metrics"])],
+            F.col("batch_seq").alias("part"),
+        )
+        refused = rejects(validated, "row_pos").select(
+            "batch", "reason", _place(), *CANONICAL_COLUMNS, F.col("batch_seq").alias("part")
         )
-        refused = rejects(validated, "row_pos").select("batch", "reason", KEY, PERIOD, "batch_seq")
         current = state.current.withColumn("bucket", self._bucket())
         closed = state.closed.withColumn("bucket", self._bucket())
         returns = state.facts.withColumn("part", self._fact_part(F.col(PERIOD)))
@@ -221,14 +259,28 @@ class Warehouse:
                 self._split("fact_tax_returns", returns, "part", "", []),
                 self._whole("fact_corrections", state.corrections, "rebuild"),
                 self._whole("batch_log", batches, "all"),
-                self._split("agg_data_quality_metrics", metrics, "batch_seq", "", [], names),
-                self._split("rejects", refused, "batch_seq", "", [], names),
+                self._split("agg_data_quality_metrics", metrics, "part", "", [], names),
+                self._split("rejects", refused, "part", "", [], names),
             ],
         )
-        self.store.publish(version + 1, listing)
+        self._publish(version + 1, listing)
 
     # ---- helpers ------------------------------------------------------------
 
+    def _open(self) -> tuple[int, dict]:
+        version, listing = self.store.latest()
+        self._adopt(listing)
+        return version, listing
+
+    def _adopt(self, listing: Mapping) -> None:
+        """Take over the number of buckets that the stored tables were split by."""
+        for stored in listing.get(LAYOUT, ()):
+            self.buckets = int(stored)
+
+    def _publish(self, version: int, listing: dict) -> None:
+        listing[LAYOUT] = {str(self.buckets): [""]}
+        self.store.publish(version, listing)
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(KEY), F.lit(self.buckets)).cast("int")
 
@@ -256,7 +308,12 @@ class Warehouse:
     ) -> Write:
         def run() -> Mapping[str, list[str]]:
             new = self.store.write_split(table, df, column, prefix)
-            return {names[k]: v for k, v in new.items()} if names else new
+            if not names:
+                return new
+            by_name: dict[str, list[str]] = {}
+            for k, folders in new.items():
+                by_name.setdefault(names[k], []).extend(folders)
+            return by_name
 
         return Write(table, [f"{prefix}{v}" for v in replaced], run)
 
@@ -267,6 +324,11 @@ class Warehouse:
                 with_parts(listing, w.table, w.replaced, new)
 
 
+def _place() -> Column:
+    """Position in the batch as text, whatever its type."""
+    return F.to_json(F.struct("row_pos")).alias("row_pos")
+
+
 @dataclass(frozen=True)
 class Write:
     """A pending write: the stored partitions it replaces and how to run it."""

@@ -93,14 +93,17 @@ FACT_TAX_RETURNS = (
 # Counts are 64-bit: a batch may have more rows than 32 bits can count.
 QUALITY_METRICS = (
     "batch string, domain string, score double, passing_count bigint, total_count bigint, "
-    "computed_at timestamp"
+    "computed_at timestamp, batch_seq int"
 )
 FACT_CORRECTIONS = (
     "correction_id bigint, taxpayer_id string, assessment_year int, corrected_at date, "
     "old_annual_income_sgd double, old_chargeable_income_sgd double, "
     "old_tax_payable_sgd double, old_tax_paid_sgd double, old_total_reliefs_sgd double"
 )
-REJECTS = "batch string, reason string, taxpayer_id string, assessment_year string"
+# A refused row is stored whole, with its place in the file.
+REJECTS = "batch string, reason string, row_pos string, " + ", ".join(
+    f"{c} string" for c in CANONICAL_COLUMNS
+)
 BATCH_LOG = (
     "batch string, batch_seq int, batch_date date, total_rows bigint, "
     "last_taxpayer_sk bigint, last_correction_id bigint"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,5 +58,58 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/histlake-work/{uuid.uuid4().hex}"
+    if _owners:
+        _owners[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_owners: list[list[str]] = []
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Own the work tables that are written inside, and remove them at the end."""
+    _owners.append([])
+    try:
+        yield
+    finally:
+        for path in _owners.pop():
+            remove(spark, path)
+
+
+def _path(spark: SparkSession, name: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+
+def _file_system(spark: SparkSession, name: str):
+    return _path(spark, name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    _file_system(spark, path).delete(_path(spark, path), True)
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder in one step; false if the target is there already."""
+    jvm = spark.sparkContext._jvm
+    fs = _file_system(spark, target)
+    fs.mkdirs(_path(spark, target).getParent())
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        files.rename(fs.makeQualified(_path(spark, source)), fs.makeQualified(_path(spark, target)), none)
+    except Exception:
+        if fs.exists(_path(spark, target)):
+            return False
+        raise
+    return True
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it isn't there."""
+    fs = _file_system(spark, path)
+    if not fs.exists(_path(spark, path)):
+        return []
+    return [f.getPath().getName() for f in fs.listStatus(_path(spark, path)) if f.isDirectory()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -103,6 +104,29 @@ def spans_lines(spark: SparkSession, path: str) -> bool:
     return not lines.where(open_quote).isEmpty()
 
 
+def header_names(spark: SparkSession, path: str) -> list[str]:
+    """Column names of a CSV file, or of the first part file of a folder, from its first line."""
+    first = spark.read.text(path).first()
+    return next(csv.reader([first.value.removeprefix("\ufeff")])) if first else []
+
+
+def distinct_names(names: Sequence[str], canonical: Sequence[str] = CANONICAL_COLUMNS) -> list[str]:
+    """Names that can be told apart: the first column of a name keeps it. Further ones,
+    and spellings of a canonical name that differ in case, get their place appended."""
+    exact = {n for n in names if n in canonical}
+    taken, out = set(), []
+    for i, name in enumerate(names):
+        low = name.lower()
+        free = low not in taken and (name in exact or low not in {e.lower() for e in exact})
+        out.append(name if free else f"{name}.{i + 1}")
+        taken.add(out[-1].lower())
+    return out
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Every field as text, by header; only the empty field is null.
 
@@ -112,16 +136,23 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
+    names = header_names(spark, path)
+    # Spark can't tell names apart that differ in case only, so such files are read by
+    # position; all others are checked against their header.
+    clear = len({n.lower() for n in names}) == len(names)
+    schema = ", ".join(f"{_quoted(n if clear else f'_c{i}')} string" for i, n in enumerate(names))
     df = spark.read.csv(
         path,
+        schema=schema,
         header=True,
-        inferSchema=False,
         multiLine=multi_line,
         escape='"',
-        enforceSchema=False,
+        enforceSchema=not clear,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+    if not clear:
+        df = df.select(*[F.col(f"_c{i}").alias(n) for i, n in enumerate(distinct_names(names))])
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
@@ -187,10 +218,14 @@ def read_log(
     return with_batch_dates(reduce(DataFrame.unionByName, frames))
 
 
-def batch_dates(log: DataFrame) -> DataFrame:
-    """Date of each batch. It is the same on all rows that carry one, so the smallest
-    non-null value stands for it and needs no row order."""
-    return log.groupBy("batch", "batch_seq").agg(F.min("batch_date").alias("batch_date"))
+def first_date(order: str = "row_pos") -> Column:
+    """Aggregate: `batch_date` of the first row that has one."""
+    return F.min_by("batch_date", F.when(F.col("batch_date").isNotNull(), F.col(order)))
+
+
+def batch_dates(log: DataFrame, order: str = "row_pos") -> DataFrame:
+    """Date of each batch: the first that its rows carry, in file order, as it stands."""
+    return log.groupBy("batch", "batch_seq").agg(first_date(order).alias("batch_date"))
 
 
 def with_batch_dates(log: DataFrame) -> DataFrame:

@@ -19,6 +19,10 @@ BAD_COUNT = "uncoercible employee_count"
 _INTEGER = r"^[+-]?[0-9]+(?:_[0-9]+)*\z"
 
 
+# White space around it, of any kind.
+_OUTER_SPACE = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+\z"
+
+
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     """A file holding one JSON array: `(pos, record)` per element.
 
@@ -65,8 +69,9 @@ def _listed(names: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
-def parse_employers(records: DataFrame) -> DataFrame:
+def parse_employers(records: DataFrame, keep_pos: bool = False) -> DataFrame:
     """Canonical employer columns plus `has_schema_issues` and `schema_issue_detail`.
+    With `keep_pos` also `pos`, by which later records of an identifier win.
 
     `records` has a position `pos` and a variant `record`. A missing identifier becomes
     `UNKNOWN_{pos}`, a blank registration number null, and a count that is not a JSON
@@ -80,15 +85,16 @@ def parse_employers(records: DataFrame) -> DataFrame:
         | (id_text == "")
         | zero
         | ((id_kind == "BOOLEAN") & (id_text == "false"))
-        | id_text.isin("[]", "{}")
+        | ((id_kind != "STRING") & id_text.isin("[]", "{}"))
     )
     no_id = F.coalesce(empty, F.lit(True))
     uen = F.when(_text("uen") != "", _text("uen"))
 
     count_kind, count_text = _kind("employee_count"), _text("employee_count")
-    trimmed = F.btrim(count_text)
-    # JSON integers are BIGINT, or DECIMAL without fraction beyond 64 bits.
-    is_int = count_kind == "BIGINT"
+    trimmed = F.regexp_replace(count_text, _OUTER_SPACE, "")
+    # JSON integers are BIGINT, or long DECIMAL without fraction beyond 64 bits; the latter
+    # are no issue, but no stored count can hold them.
+    is_int = count_kind.rlike(r"^(BIGINT|DECIMAL\((19|[2-9][0-9]),0\))$")
     is_text_int = (count_kind == "STRING") & trimmed.rlike(_INTEGER)
     no_count = count_kind.isNull() | (count_kind == "VOID")
     count = F.when(is_int | is_text_int, F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("bigint"))
@@ -121,8 +127,10 @@ def parse_employers(records: DataFrame) -> DataFrame:
         _text("address").alias("address"),
         count.alias("employee_count"),
         issues.alias("_issues"),
+        "pos",
     ).select(
         *EMPLOYER_COLUMNS,
+        *(["pos"] if keep_pos else []),
         (F.size("_issues") > 0).alias("has_schema_issues"),
         F.when(F.size("_issues") > 0, F.array_join("_issues", "; ")).alias("schema_issue_detail"),
     )

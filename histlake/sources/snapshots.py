@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import remove, rename_new, subfolders
+
 Listing = dict[str, dict[str, list[str]]]
 
 _ENTRY = "table_name string, part string, folder string"
@@ -44,19 +46,37 @@ class Snapshots:
         return newest, listing
 
     def publish(self, version: int, listing: Listing) -> None:
-        """Make `listing` the given version. Fails if that version exists already."""
+        """Make `listing` the given version by one rename. A number that an interrupted
+        job left without a list is passed over; one with a list means that another
+        writer was faster, which is an error.
+        """
         rows = [
             (table, part, folder)
             for table, parts in listing.items()
             for part, folders in parts.items()
             for folder in folders
         ]
-        (
-            self.spark.createDataFrame(rows, _ENTRY)
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .parquet(f"{self.root}/versions/v={version}")
-        )
+        pending = f"{self.root}/pending/{uuid.uuid4().hex}"
+        self.spark.createDataFrame(rows, _ENTRY).coalesce(1).write.parquet(pending)
+        while not rename_new(self.spark, pending, f"{self.root}/versions/v={version}"):
+            if self.latest()[0] >= version:
+                remove(self.spark, pending)
+                raise RuntimeError(f"version {version} was published by another writer meanwhile")
+            version += 1
+
+    def vacuum(self) -> int:
+        """Remove older versions and all folders the newest doesn't list; how many went.
+
+        Not to be run while a load is under way or an older version is being read.
+        """
+        newest, listing = self.latest()
+        used = {folder.split("/")[2] for parts in listing.values() for names in parts.values() for folder in names if folder}
+        gone = [f"data/{table}/{name}" for table in subfolders(self.spark, f"{self.root}/data") for name in subfolders(self.spark, f"{self.root}/data/{table}") if name not in used]
+        gone += [f"versions/{v}" for v in subfolders(self.spark, f"{self.root}/versions") if v != f"v={newest}"]
+        gone += [f"pending/{p}" for p in subfolders(self.spark, f"{self.root}/pending")]
+        for name in gone:
+            remove(self.spark, f"{self.root}/{name}")
+        return len(gone)
 
     def read(
         self,
@@ -102,9 +122,13 @@ class Snapshots:
 
 
 def _partition_values(df: DataFrame, column: str) -> set[int]:
-    """Values of an integer partition column, from file names alone."""
-    found = (re.search(rf"/{column}=([0-9]+)/", name) for name in df.inputFiles())
-    return {int(m.group(1)) for m in found if m}
+    """Values of an integer partition column, from file names alone. Any other value
+    (null, negative) is an error: its rows would be stored but never found."""
+    names = df.inputFiles()
+    found = [re.search(rf"/{column}=([0-9]+)/", name) for name in names]
+    if None in found:
+        raise ValueError(f"{column} must not be null or negative: {names[found.index(None)]}")
+    return {int(m.group(1)) for m in found}
 
 
 def with_parts(listing: Listing, table: str, replaced: Sequence[str], new: Mapping[str, list[str]]) -> None:
