@@ -309,7 +309,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS party_id, c_name AS name,
 FROM customer
 UNION ALL
 SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR), NULL, 'new' FROM supplier""",
-        "csv_batches": with_(LOG, months=24) + f"SELECT batch, batch_seq, {LOG_COLUMNS} FROM log".replace(
+        "csv_batches": with_(LOG) + f"SELECT batch, batch_seq, {LOG_COLUMNS} FROM log".replace(
             "batch_date,", "max(batch_date) OVER (PARTITION BY batch) AS batch_date,"
         ),
         "batch_catalogue": with_(LOG) + """
@@ -360,10 +360,13 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
        regexp_full_match(o_orderpriority, '[1-3]-[A-Z]+') AS dq_priority_format_pass,
        coalesce(year(l_shipdate) > year(o_orderdate), false) AS dq_shipped_later_pass,
        coalesce(l_tax = 0.08::DOUBLE - l_discount, false) AS dq_tax_sum_pass,
+       l_quantity - 1 = l_quantity - l_linenumber % 2 AS dq_price_difference_pass,
+       l_returnflag <> 'R' OR l_tax > 0 AS dq_taxed_if_returned_pass,
        trim(coalesce(nullif(l_returnflag, 'N'), '')) <> '' AS dq_completeness_pass,
        regexp_full_match(o_orderpriority, '[1-3]-[A-Z]+')
          AND coalesce(year(l_shipdate) > year(o_orderdate), false) AS dq_validity_pass,
-       coalesce(l_tax = 0.08::DOUBLE - l_discount, false) AS dq_accuracy_pass
+       coalesce(l_tax = 0.08::DOUBLE - l_discount, false) AND l_quantity - 1 = l_quantity - l_linenumber % 2
+         AND (l_returnflag <> 'R' OR l_tax > 0) AS dq_accuracy_pass
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
         "score_absent_domain": with_(LOG, FLAGS) + f"""
 SELECT domain, {SCORE} FROM long WHERE domain = 'completeness' GROUP BY domain""",

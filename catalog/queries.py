@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.functions.rules import Rule, dated_after_year, matches_from_start, present
+from histlake.functions.rules import Rule, dated_after_year, is_difference, matches_from_start, positive_when, present
 from histlake.operators import checks
 from histlake.operators.dedupe import last_per_key, rejects
 from histlake.operators.facts import (
@@ -109,7 +109,7 @@ def write_batches(spark: SparkSession, sf: str, folder: str, months: int) -> Non
 def csv_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Write the derived batches as CSV, discover them and read them by header."""
     folder = work_folder(spark)
-    write_batches(spark, sf, folder, 24)
+    write_batches(spark, sf, folder, 6)
     files = select_batches(list_batches(spark, folder))
     return read_log(spark, files).select("batch", "batch_seq", *CANONICAL_COLUMNS)
 
@@ -201,7 +201,7 @@ def dq_row_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_custom_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Own rules on other tables: four rules in three domains over order lines."""
+    """Own rules on other tables: six rules in three domains over order lines."""
 
     def tax_sum() -> Column:
         return F.col("l_tax") == F.lit(0.08) - F.col("l_discount")
@@ -211,6 +211,8 @@ def dq_custom_rules(spark: SparkSession, sf: str) -> DataFrame:
         Rule("priority_format", "validity", lambda: matches_from_start("o_orderpriority", r"[1-3]-[A-Z]+$")),
         Rule("shipped_later", "validity", lambda: dated_after_year("shipped", "ordered")),
         Rule("tax_sum", "accuracy", tax_sum),
+        Rule("price_difference", "accuracy", lambda: is_difference("net", "gross", "rebate")),
+        Rule("taxed_if_returned", "accuracy", lambda: positive_when("tax", "flag", "R")),
     ]
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
     lines = (
@@ -220,6 +222,10 @@ def dq_custom_rules(spark: SparkSession, sf: str) -> DataFrame:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_tax", "l_discount",
             "o_orderpriority",
             F.nullif("l_returnflag", F.lit("N")).alias("flag"),
+            F.col("l_quantity").cast("string").alias("gross"),
+            (F.col("l_linenumber") % 2).cast("string").alias("rebate"),
+            (F.col("l_quantity") - 1).cast("string").alias("net"),
+            F.col("l_tax").cast("string").alias("tax"),
             F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
             F.year("o_orderdate").cast("string").alias("ordered"),
         )

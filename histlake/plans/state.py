@@ -19,7 +19,7 @@ from ..operators.facts import (
     with_unknown_member,
 )
 from ..operators.history import asof_link, scd2_apply, scd2_build
-from ..operators.numbering import number_and_count, number_rows
+from ..operators.numbering import number_and_count
 from ..schema import (
     DIM_EMPLOYER,
     DIM_TAXPAYER,
@@ -88,18 +88,19 @@ def rebuild(log: DataFrame, employers: DataFrame, order: str = "row_pos") -> Sta
     the batch. No batch loop: history and audit are windows over one row per key and
     batch, and a fact is the last row of its key.
     """
-    dim = numbered_versions(build_versions(log, order))
+    dim, last_sk = number_and_count(build_versions(log, order), ["opened_seq", KEY], "taxpayer_sk")
+    dim = dim.select(*column_names(DIM_TAXPAYER))
     returns = cut_lineage(typed_returns(batch_returns(log, order)))
     members = cut_lineage(with_unknown_member(employers))
-    audited = audit_build(returns)
+    logged, last_id = number_and_count(audit_build(returns), ["batch_seq", KEY, PERIOD], "correction_id")
     return State(
         dim.where("is_current"),
         dim.where("NOT is_current"),
         members,
         _facts(latest_facts(returns), dim, members),
-        number_rows(audited, ["batch_seq", KEY, PERIOD], "correction_id").select(
-            *column_names(FACT_CORRECTIONS)
-        ),
+        logged.select(*column_names(FACT_CORRECTIONS)),
+        last_sk,
+        last_id,
     )
 
 
@@ -107,13 +108,6 @@ def build_versions(log: DataFrame, order: str = "row_pos") -> DataFrame:
     return scd2_build(batch_entities(log, order), order=order)
 
 
-def numbered_versions(versions: DataFrame) -> DataFrame:
-    """Surrogate keys in order of opening; written out once and read by all users."""
-    return number_rows(versions, ["opened_seq", KEY], "taxpayer_sk").select(
-        *column_names(DIM_TAXPAYER)
-    )
-
-
 def build_facts(
     log: DataFrame, versions: DataFrame, employers: DataFrame, order: str = "row_pos"
 ) -> DataFrame:

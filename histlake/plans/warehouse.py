@@ -228,13 +228,11 @@ class Warehouse:
         version, _ = self._open()
         validated = cut_lineage(apply_rules(log, self.rules))
         state = rebuild(validated, employers)
-        last_sk = state.versions.agg(F.max("taxpayer_sk")).first()[0] or 0
-        last_id = state.corrections.agg(F.max("correction_id")).first()[0] or 0
         batches = validated.groupBy("batch", "batch_seq").agg(
             lenient_date(first_date()).alias("batch_date"),
             F.count(F.lit(1)).alias("total_rows"),
-            F.lit(last_sk).cast("bigint").alias("last_taxpayer_sk"),
-            F.lit(last_id).cast("bigint").alias("last_correction_id"),
+            F.lit(state.last_taxpayer_sk).cast("bigint").alias("last_taxpayer_sk"),
+            F.lit(state.last_correction_id).cast("bigint").alias("last_correction_id"),
         )
         metrics = score(validated, by=["batch", "batch_seq"]).select(
             *[F.lit(computed_at).alias(c) if c == "computed_at" else F.col(c) for c in column_names(TABLES["agg_data_quality_metrics"])],

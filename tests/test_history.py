@@ -20,7 +20,7 @@ from histlake.plans.state import (
 from histlake.schema import AUDITED, EMPLOYER_COLUMNS, IDENTITY, KEY, MEASURES, PERIOD, TRACKED
 from histlake.session import cut_lineage
 
-from .helpers import RowByRow, frame, random_batches
+from .helpers import RowByRow, frame, random_batches, returns
 
 FACTS = [KEY, PERIOD, "version", "employer_id", "filing_date", "record_type", *MEASURES]
 VERSIONS = [KEY, "version", *TRACKED, *IDENTITY, "valid_from", "valid_to", "is_current"]
@@ -176,3 +176,18 @@ def test_asof_boundaries(spark):
     for many in (False, True):
         got = asof_link(facts, versions, "day", "seq", "k", "sk", "as_of", many).orderBy("i").collect()
         assert [(r.sk, r.as_of) for r in got] == [(c[3], c[4]) for c in cases]
+
+
+def test_correction_and_update_of_one_batch_both_act(spark):
+    first = frame(spark, returns({"occupation": "Engineer"}))
+    second = frame(
+        spark,
+        returns(
+            {"occupation": "Nurse", "record_type": "update", "batch_date": "2024-04-15"},
+            {"occupation": "Clerk", "assessment_year": "2022", "record_type": "correction", "batch_date": "2024-04-15"},
+        ),
+        "day2",
+        2,
+    )
+    got = [tuple(r) for r in build_versions(first.unionByName(second)).orderBy("version").select("occupation", "is_current").collect()]
+    assert got == [("Clerk", False), ("Nurse", True)]

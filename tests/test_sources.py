@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from histlake.operators.facts import with_unknown_member
+from histlake.operators.facts import superseded_members, with_unknown_member
 from histlake.schema import BASE_COLUMNS, CANONICAL_COLUMNS
 from histlake.sources.batches import (
     align,
@@ -175,3 +175,33 @@ def test_duplicate_employers_collapse(spark):
     df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in EMPLOYER_COLUMNS[:5]) + ", employee_count long")
     got = {r.employer_id: r.company_name for r in with_unknown_member(df).collect()}
     assert got == {"E1": "A", "UNKNOWN": "Unknown / Self-employed"}
+
+
+def test_repeated_header_names_keep_the_first_column(spark, tmp_path):
+    path = tmp_path / "individual_tax_returns_day1.csv"
+    path.write_text("NRIC,taxpayer_id,nric,nric,full_name,Full_Name\na,P1,b,c,d,e\n")
+    got = read_batch(spark, str(path))
+    row = got.rows.first()
+    assert (row.taxpayer_id, row.nric, row.full_name) == ("P1", "b", "d")
+    assert got.unexpected == ["Full_Name.6", "NRIC.1", "nric.4"]
+
+
+def test_wide_and_spaced_counts_and_bracket_identifiers(spark, tmp_path):
+    records = [
+        {"employer_id": "[]", "uen": "U", "employee_count": "\t320\n"},
+        {"employer_id": [], "uen": "U", "employee_count": 10**25},
+        {"employer_id": "E2", "uen": "U", "employee_count": "\u00a07\u2003"},
+    ]
+    path = tmp_path / "employers.json"
+    path.write_text(json.dumps(records))
+    got = {r.employer_id: (r.employee_count, r.schema_issue_detail) for r in parse_employers(read_json_array(spark, str(path))).collect()}
+    coerced = "employee_count was non-integer; coerced"
+    assert got == {"[]": (320, coerced), "UNKNOWN_1": (None, "missing employer_id"), "E2": (7, coerced)}
+
+
+def test_last_record_of_an_employer_is_kept_and_others_are_listed(spark, tmp_path):
+    path = tmp_path / "employers.json"
+    path.write_text(json.dumps([{"employer_id": "E1", "company_name": n} for n in ("A", "C", "B")]))
+    parsed = parse_employers(read_json_array(spark, str(path)), keep_pos=True)
+    assert {r.employer_id: r.company_name for r in with_unknown_member(parsed).collect()}["E1"] == "B"
+    assert sorted(r.company_name for r in superseded_members(parsed).collect()) == ["A", "C"]

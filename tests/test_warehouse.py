@@ -239,3 +239,68 @@ def test_a_version_is_published_once(spark, loaded):
     version, listing = loaded.store.latest()
     with pytest.raises(Exception):
         loaded.store.publish(version, listing)
+
+
+def test_stored_bucket_count_wins(spark, loaded, folder):
+    other = Warehouse(spark, loaded.store.root, buckets=7)
+    assert other.buckets == 3
+    before = contents(loaded)
+    other.backfill(str(folder), "day2", computed_at=AT)
+    assert contents(other) == before
+
+
+def test_interrupted_publish_is_passed_over(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.load_employers(employer_frame(spark))
+    (tmp_path / "versions" / "v=2" / "_temporary").mkdir(parents=True)
+    w.load_employers(employer_frame(spark))
+    assert w.store.latest()[0] == 3 and w.table("dim_employer").count() == 3
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.load_employers(employer_frame(spark))
+    version, listing = w.store.latest()
+    with pytest.raises(RuntimeError):
+        w.store.publish(version, listing)
+
+
+def test_vacuum_keeps_the_newest_version(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    for _ in range(3):
+        w.load_employers(employer_frame(spark))
+    before = contents(w)
+    assert w.vacuum() == 4 and w.vacuum() == 0
+    assert contents(w) == before
+
+
+def test_partitions_that_could_not_be_found_are_refused(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    for bad in (-1, None):
+        with pytest.raises(ValueError):
+            w.store.write_split("t", spark.createDataFrame([(1, bad)], "a int, part int"), "part")
+
+
+def test_report_of_a_load(spark, tmp_path):
+    path = tmp_path / "individual_tax_returns_day1.csv"
+    write_csv(path, [*BASE_COLUMNS, "surprise"], [{**person(1), "surprise": "x"}, {**person(2, postal_code="BAD"), "surprise": "y"}])
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    w.load_employers(employer_frame(spark))
+    (report,) = w.backfill(str(tmp_path))
+    assert (report.batch, report.batch_seq, report.rows) == ("day1", 1, 2)
+    assert report.added == ("batch_date", "record_type") and report.unexpected == ("surprise",)
+    assert report.scores == {"completeness": 100.0, "validity": 50.0, "accuracy": 100.0}
+    assert [r.batch for r in w.quality().collect()] == ["day1"] * 3
+    assert w.summary("occupation", limit=None).count() == 1
+
+
+def test_first_batch_date_in_file_order_counts(spark, tmp_path):
+    rows = [person(1), person(1, occupation="Nurse", record_type="update")]
+    w = Warehouse(spark, str(tmp_path))
+    w.load_employers(employer_frame(spark))
+    for batch, dates in (("day1", [None, None]), ("day2", ["2024-04-15", "15/04/2024"])):
+        from .helpers import frame
+
+        log = frame(spark, [{**rows[batch == "day2"], "batch_date": d, "taxpayer_id": f"P{i}"} for i, d in enumerate(dates)])
+        w.load_batch(log.drop("batch", "batch_seq"), batch, AT)
+    assert history(w, "P1")[0][3] == "2024-04-15"
