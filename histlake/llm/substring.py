@@ -9,7 +9,7 @@ equal smallest k-mers, so they always meet.
 Rows are joined on the k-mer by one shuffle, sorted by source coordinates. Where the
 path doesn't branch, all its windows repeat or none does, and it is settled as a whole;
 where texts branch off, it is settled window by window. A window goes if the same window
-(same k-mer and offset, equal hash: 64 + 48 bits of the words) has an earlier coordinate.
+(same k-mer and offset, equal hash: 64 + 40 bits of the words) has an earlier coordinate.
 
 Repeats within the stretch of documents that a task handles at once are settled there
 and never shuffled, so a passage that very many documents share arrives as few rows. A
@@ -34,7 +34,7 @@ K = 8
 STRETCH_BYTES = 3 << 20  # text handled at once in a task
 HOT_SAMPLE = 16  # one of so many documents is looked at for very frequent k-mers
 HOT_SHARE = 4  # a k-mer is split if it fills more than one such part of a task
-HASH_BYTES = 6
+HASH_BYTES = 5
 TAG_BITS = 23  # of the text's hash, to tell rows with one id apart
 NO_ID = (1 << 63) - 1
 SPACES = b" \t\n\r\x0b\x0c"
