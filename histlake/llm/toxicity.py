@@ -24,7 +24,7 @@ from histlake.llm.common import Batches, WordHashes, map_batches, map_slices, mi
 SLOT_BITS = 20
 MAX_ROWS = 10_000
 EPOCHS = 6
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 16.0, 0.1
 # Word characters are letters, digits and everything beyond ASCII.
 APART = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
@@ -70,10 +70,12 @@ def sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-35.0, min(35.0, x))))
 
 
-def train(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
-    """FTRL-proximal over rows of distinct slots, in the given order."""
+def train(rows: list[np.ndarray], labels: list[int], share: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """FTRL-proximal over rows of distinct slots, in the given order.
+
+    The bias starts from the share of label 1 among all labels.
+    """
     z, n = np.zeros(1 << SLOT_BITS), np.zeros(1 << SLOT_BITS)
-    share = (sum(labels) + 0.5) / (len(labels) + 1)
     bias, bias_n = math.log(share / (1 - share)), 0.0
 
     def weights(zi: np.ndarray, ni: np.ndarray) -> np.ndarray:
@@ -97,15 +99,19 @@ def train(rows: list[np.ndarray], labels: list[int]) -> tuple[np.ndarray, np.nda
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = MAX_ROWS) -> Model:
     """Model from the texts of at most `max_rows` ids with a label of 0 or 1.
 
-    The ids with the lowest hashes are taken, before any text is read; of several labels
-    of an id the largest counts. Only the texts taken move: they are learnt, in the
+    Of each label the ids with the lowest hashes are taken, half of `max_rows` each, before
+    any text is read; of several labels of an id the largest counts. Only the texts taken move: they are learnt, in the
     order of the hash, by one task, whose input `max_rows` bounds. Without labels all
     scores are 0.5; ids without a text are passed over.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
-    taken = known.agg(F.max(label_col).cast("int").alias("y")).orderBy(F.xxhash64(F.col("label_id").cast("string")), "label_id").limit(max_rows)
-    chosen = spark.createDataFrame(taken.collect(), taken.schema)
+    by_id = known.agg(F.max(label_col).cast("int").alias("y"))
+    order = F.xxhash64(F.col("label_id").cast("string")), F.col("label_id")
+    sides = [by_id.where(F.col("y") == y).orderBy(*order).limit(max_rows // 2) for y in (0, 1)]
+    chosen = spark.createDataFrame([r for side in sides for r in side.collect()], by_id.schema)
+    counts = by_id.agg(F.count("*").alias("n"), F.sum("y").alias("toxic")).first()
+    share = ((counts.toxic or 0) + 0.5) / (counts.n + 1)
     joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
     picked = joined.select(F.xxhash64(F.col("id").cast("string"), "text").alias("at"), "text", "y")
 
@@ -119,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         if not labels:
             return
         turn = [k for _, _, k in sorted(order)]
-        kept, weights, bias = train([slots[k] for k in turn], [labels[k] for k in turn])
+        kept, weights, bias = train([slots[k] for k in turn], [labels[k] for k in turn], share)
         yield pa.record_batch(
             [pa.array([kept.tolist()], pa.list_(pa.int32())), pa.array([weights.tolist()], pa.list_(pa.float64())), pa.array([bias])],
             ["slots", "weights", "bias"],
