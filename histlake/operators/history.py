@@ -116,11 +116,12 @@ def scd2_build(
 
 @dataclass(frozen=True)
 class HistoryStep:
-    """Outcome of one batch: all current versions, those it closed, the versions of
-    the batch's keys with their dates, how many versions it opened, and whether it
-    closed any."""
+    """Outcome of one batch: all current versions, those of them that it opened or
+    corrected, those it closed, the versions of the batch's keys with their dates, how
+    many versions it opened, and whether it closed any."""
 
     current: DataFrame
+    written: DataFrame
     closed: DataFrame
     of_batch: DataFrame
     opened: int
@@ -212,8 +213,10 @@ def scd2_apply(
     replaced = corrected.select(key).unionByName(changed.select(key))
     kept = current.join(replaced, key, "left_anti").select(*current.columns)
     untouched = matched.join(changed.select(key), key, "left_anti")
+    written = fixed.unionByName(opened)
     return HistoryStep(
-        kept.unionByName(fixed).unionByName(opened),
+        kept.unionByName(written),
+        written,
         closed,
         version(untouched, old).unionByName(closed).unionByName(opened),
         count,

@@ -21,6 +21,7 @@ from ..operators.facts import (
 from ..operators.history import asof_link, scd2_apply, scd2_build
 from ..operators.numbering import number_and_count
 from ..schema import (
+    AUDITED,
     DIM_EMPLOYER,
     DIM_TAXPAYER,
     FACT_CORRECTIONS,
@@ -52,10 +53,13 @@ class State:
 
 @dataclass(frozen=True)
 class Step:
-    """Result of one batch: the next state, and the versions it closed and values it
+    """Result of one batch: the next state; the current versions and facts it wrote, of
+    which each replaces the row of its key; and the versions it closed and values it
     logged, or None if there are none."""
 
     state: State
+    versions: DataFrame
+    facts: DataFrame
     closed: DataFrame | None
     corrections: DataFrame | None
 
@@ -150,10 +154,12 @@ def apply_batch(
     )
     returns = cut_lineage(typed_returns(batch_returns(rows, order), day))
     keys = [KEY, PERIOD]
-    newer = state.facts.where(F.col("batch_seq") > F.lit(batch_seq)).select(*keys)
+    # The stored facts are read once, for the keys of the batch.
+    met = cut_lineage(state.facts.join(returns.select(*keys), keys, "left_semi").select(*keys, "batch_seq", *AUDITED))
+    newer = met.where(F.col("batch_seq") > F.lit(batch_seq)).select(*keys)
     fresh = returns.join(newer, keys, "left_anti").select(*returns.columns)
     logged, corrected = number_and_count(
-        audit_apply(state.facts, fresh, state.corrections),
+        audit_apply(met, fresh, state.corrections),
         keys,
         "correction_id",
         state.last_correction_id,
@@ -164,17 +170,21 @@ def apply_batch(
     # opened, and older closed ones. The current versions are not read again.
     earlier = state.closed.join(returns.select(KEY).distinct(), KEY, "left_semi")
     versions = history.of_batch.unionByName(earlier.select(*history.of_batch.columns))
-    facts = replace_by_key(state.facts, _facts(fresh, versions, state.employers), keys)
+    linked = _facts(fresh, versions, state.employers)
 
     next_state = replace(
         state,
         current=history.current,
         closed=state.closed.unionByName(history.closed),
-        facts=facts,
+        facts=replace_by_key(state.facts, linked, keys),
         corrections=state.corrections.unionByName(logged),
         last_taxpayer_sk=state.last_taxpayer_sk + history.opened,
         last_correction_id=state.last_correction_id + corrected,
     )
     return Step(
-        next_state, history.closed if history.changed else None, logged if corrected else None
+        next_state,
+        history.written,
+        linked,
+        history.closed if history.changed else None,
+        logged if corrected else None,
     )

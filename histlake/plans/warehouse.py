@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from ..functions.casting import lenient_date, load_int
 from ..functions.rules import Rule
 from ..operators.dedupe import loadable, rejects
 from ..operators.facts import superseded_members, with_unknown_member
-from ..operators.quality import apply_rules, latest_quality, score
+from ..operators.quality import apply_rules, latest_per_group, latest_quality, score
 from ..schema import BATCH_LOG, CANONICAL_COLUMNS, KEY, PERIOD, REJECTS, TABLES, column_names, public_columns
 from ..session import cut_lineage, work_tables
 from ..sources.batches import first_date, list_batches, read_batch, select_batches
@@ -28,6 +29,34 @@ FIRST_YEAR, LAST_YEAR = 1900, 2100
 
 MAX_BUCKETS = 10_000
 LAYOUT = "_layout"  # entry of the version list: the number of buckets
+ROWS = "_rows"  # entry of the version list: rows of base and deltas of each area
+
+
+@dataclass(frozen=True)
+class Area:
+    """Rows of a table that are stored as a base, partitioned by an integer column, and
+    deltas. With `keys`, the newest row of a key counts; without, rows only add up."""
+
+    table: str
+    name: str
+    column: str
+    keys: tuple[str, ...] = ()
+
+    @property
+    def base(self) -> str:
+        return f"{self.name}/base"
+
+    @property
+    def deltas(self) -> str:
+        return f"{self.name}/delta"
+
+
+CURRENT = Area("dim_taxpayer", "current", "bucket", (KEY,))
+CLOSED = Area("dim_taxpayer", "closed", "bucket")
+FACTS = Area("fact_tax_returns", "facts", "part", (KEY, PERIOD))
+AUDIT = Area("fact_corrections", "audit", "part")
+AREAS = (CURRENT, CLOSED, FACTS, AUDIT)
+LOAD = "_load"  # column of a delta with keys: version that wrote the row
 
 
 @dataclass(frozen=True)
@@ -45,12 +74,17 @@ class LoadReport:
 class Warehouse:
     """Five tables plus a batch log and a list of rejected rows under one folder.
 
-    Taxpayer versions are split into `buckets` by a hash of the key, facts by year and
-    bucket. A load reads and rewrites only the partitions its rows fall into; closed
-    versions, logged corrections and scores are appended. Choose `buckets` so that one
-    bucket of current versions is a few files; the number is stored with the data, and a
-    store that has one keeps it whatever is asked for. Batches are numbered in order of
-    their first load; a replay keeps its number and cannot overwrite what later batches did.
+    Taxpayer versions are split into `buckets` by a hash of the key, facts and logged
+    corrections by year and bucket. A load reads the partitions its rows fall into and
+    appends what it changed as a delta, so it writes in proportion to its batch; readers
+    take the newest row of a key. Once the deltas of a table exceed the share
+    `compact_share` of its base (and `compact_rows`), they are folded into a new base;
+    more than `max_deltas` small ones are merged into one.
+
+    Choose `buckets` so that one bucket of current versions is a few files; the number is
+    stored with the data, and a store that has one keeps it whatever is asked for. Batches
+    are numbered in order of their first load; a replay keeps its number and cannot
+    overwrite what later batches did.
     """
 
     def __init__(
@@ -59,6 +93,9 @@ class Warehouse:
         root: str,
         rules: Sequence[Rule] | None = None,
         buckets: int = 8,
+        compact_share: float = 0.25,
+        compact_rows: int = 1_000_000,
+        max_deltas: int = 24,
     ):
         self.spark = spark
         self.store = Snapshots(spark, root)
@@ -66,6 +103,7 @@ class Warehouse:
             raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
         self.rules = rules
         self.buckets = buckets
+        self.compact_share, self.compact_rows, self.max_deltas = compact_share, compact_rows, max_deltas
         self._adopt(self.store.latest()[1])
 
     # ---- reading ------------------------------------------------------------
@@ -87,14 +125,15 @@ class Warehouse:
 
     def _stored(self, name: str) -> DataFrame:
         _, listing = self.store.latest()
-        return self.store.read(listing, name, TABLES[name])
+        areas = [a for a in AREAS if a.table == name]
+        if not areas:
+            return self.store.read(listing, name, TABLES[name])
+        return reduce(DataFrame.unionByName, [self._rows(listing, a) for a in areas])
 
     def current(self) -> DataFrame:
         """Current taxpayer versions, without touching closed ones."""
         _, listing = self.store.latest()
-        return self.store.read(
-            listing, "dim_taxpayer", TABLES["dim_taxpayer"], lambda p: p.startswith("current/")
-        ).select(*public_columns("dim_taxpayer"))
+        return self._rows(listing, CURRENT).select(*public_columns("dim_taxpayer"))
 
     def quality(self) -> DataFrame:
         """Current score of every domain: that of the batch loaded last."""
@@ -148,28 +187,23 @@ class Warehouse:
         ).first()
         parts, buckets = facts.parts, facts.buckets
         state = State(
-            self._part(before, "dim_taxpayer", [f"current/{b}" for b in buckets]),
-            self._part(before, "dim_taxpayer", [f"closed/{b}" for b in buckets]),
+            self._rows(before, CURRENT, buckets),
+            self._rows(before, CLOSED, buckets),
             self.store.read(before, "dim_employer", TABLES["dim_employer"]),
-            self._part(before, "fact_tax_returns", [str(p) for p in parts]),
-            self.store.read(before, "fact_corrections", TABLES["fact_corrections"]),
+            self._rows(before, FACTS, parts),
+            self._rows(before, AUDIT, parts),
             max([r.last_taxpayer_sk for r in history.values()], default=0),
             max([r.last_correction_id for r in history.values()], default=0),
         )
         day = F.lit(facts.day).cast("date")
         step = apply_batch(state, validated, seq, day)
 
-        # A replay replaces the batch's own scores and rejects.
-        metrics = score(validated).select(
-            F.lit(batch).alias("batch"),
-            "domain",
-            "score",
-            "passing_count",
-            "total_count",
-            F.lit(computed_at).alias("computed_at"),
-            F.lit(seq).alias("batch_seq"),
-        )
-        metrics = cut_lineage(metrics)
+        # A replay replaces the batch's own scores and rejects. One row per domain.
+        scores = score(validated).collect()
+        metrics = self.spark.createDataFrame(
+            [(batch, r.domain, r.score, r.passing_count, r.total_count, computed_at, seq) for r in scores],
+            TABLES["agg_data_quality_metrics"],
+        ).coalesce(1)
         refused = rejects(validated.withColumn("batch_seq", F.lit(seq)), "row_pos").select(
             F.lit(batch).alias("batch"), "reason", _place(), *CANONICAL_COLUMNS
         )
@@ -182,26 +216,26 @@ class Warehouse:
             step.state.last_correction_id,
         )
         entries = [tuple(r) for r in history.values() if r.batch != batch] + [entry]
-        current = step.state.current.withColumn("bucket", self._bucket())
-        returns = step.state.facts.withColumn("part", self._fact_part(F.col(PERIOD)))
         writes = [
-            self._split("dim_taxpayer", current, "bucket", "current/", buckets),
-            self._split("fact_tax_returns", returns, "part", "", parts),
+            self._delta(CURRENT, step.versions, version + 1),
+            self._delta(FACTS, step.facts, version + 1),
             self._whole("agg_data_quality_metrics", metrics, batch, replace=True),
             self._whole("rejects", refused, batch, replace=True),
             self._whole(
-                "batch_log", self.spark.createDataFrame(entries, BATCH_LOG), "all", replace=True
+                "batch_log", self.spark.createDataFrame(entries, BATCH_LOG).coalesce(1), "all", replace=True
             ),
         ]
         if step.closed:
-            closed = step.closed.withColumn("bucket", self._bucket())
-            writes.append(self._split("dim_taxpayer", closed, "bucket", "closed/", []))
+            writes.append(self._delta(CLOSED, step.closed, version + 1))
         if step.corrections:
-            writes.append(self._whole("fact_corrections", step.corrections, batch))
+            writes.append(self._delta(AUDIT, step.corrections, version + 1))
         self._write(listing, writes)
+        for area in AREAS:
+            # The batch's rows bound those of each of its deltas.
+            _add_rows(listing, f"{area.table}/{area.deltas}", facts.n)
+        self._compact(listing)
         self._publish(version + 1, listing)
-        scores = {r.domain: r.score for r in metrics.select("domain", "score").collect()}
-        return LoadReport(batch, seq, facts.n, scores)
+        return LoadReport(batch, seq, facts.n, {r.domain: r.score for r in scores})
 
     def backfill(
         self, folder: str, wanted: str = "all", computed_at: datetime | None = None
@@ -210,6 +244,12 @@ class Warehouse:
         files = select_batches(list_batches(self.spark, folder), wanted)
         return [self.load_file(f.path, f.batch, computed_at) for f in files]
 
+    def compact(self) -> None:
+        """Fold all deltas into new bases now."""
+        version, listing = self._open()
+        self._compact(listing, always=True)
+        self._publish(version + 1, listing)
+
     def vacuum(self) -> int:
         """Remove what no reader of the newest version needs; how many folders went."""
         return self.store.vacuum()
@@ -241,9 +281,6 @@ class Warehouse:
         refused = rejects(validated, "row_pos").select(
             "batch", "reason", _place(), *CANONICAL_COLUMNS, F.col("batch_seq").alias("part")
         )
-        current = state.current.withColumn("bucket", self._bucket())
-        closed = state.closed.withColumn("bucket", self._bucket())
-        returns = state.facts.withColumn("part", self._fact_part(F.col(PERIOD)))
         # One row per batch. Scores and rejects are stored by batch, so that a later
         # replay of one batch replaces only its own.
         names = {str(r.batch_seq): r.batch for r in batches.collect()}
@@ -252,15 +289,16 @@ class Warehouse:
             listing,
             [
                 self._whole("dim_employer", state.employers, "all"),
-                self._split("dim_taxpayer", current, "bucket", "current/", []),
-                self._split("dim_taxpayer", closed, "bucket", "closed/", []),
-                self._split("fact_tax_returns", returns, "part", "", []),
-                self._whole("fact_corrections", state.corrections, "rebuild"),
+                self._base(CURRENT, state.current),
+                self._base(CLOSED, state.closed),
+                self._base(FACTS, state.facts),
+                self._base(AUDIT, state.corrections),
                 self._whole("batch_log", batches, "all"),
                 self._split("agg_data_quality_metrics", metrics, "part", "", [], names),
                 self._split("rejects", refused, "part", "", [], names),
             ],
         )
+        self._count_bases(listing, AREAS)
         self._publish(version + 1, listing)
 
     # ---- helpers ------------------------------------------------------------
@@ -288,9 +326,64 @@ class Warehouse:
         usual = F.when(year.between(FIRST_YEAR, LAST_YEAR), year).otherwise(F.lit(0))
         return (usual * MAX_BUCKETS + self._bucket()).cast("int")
 
-    def _part(self, listing: dict, table: str, parts: Sequence[str]) -> DataFrame:
-        wanted = set(parts)
-        return self.store.read(listing, table, TABLES[table], lambda p: p in wanted)
+    def _rows(self, listing: dict, area: Area, values: Sequence[int] | None = None) -> DataFrame:
+        """Valid rows of an area. `values` leaves out partitions of the base; the deltas,
+        a bounded share, are read whole. The base is probed with the keys of the deltas
+        and not shuffled as long as those are small."""
+        base = self.store.read_split(listing, area.table, TABLES[area.table], area.base, area.column, values)
+        if not listing.get(area.table, {}).get(area.deltas):
+            return base
+        newest = self._deltas(listing, area).select(*base.columns)
+        if area.keys:
+            base = base.join(newest.select(*area.keys), list(area.keys), "left_anti").select(*base.columns)
+        return base.unionByName(newest)
+
+    def _deltas(self, listing: dict, area: Area) -> DataFrame:
+        ddl = TABLES[area.table] + (f", {LOAD} int" if area.keys else "")
+        rows = self.store.read(listing, area.table, ddl, lambda p: p == area.deltas)
+        return latest_per_group(rows, area.keys, [F.desc(LOAD)]) if area.keys else rows
+
+    def _delta(self, area: Area, rows: DataFrame, version: int) -> Write:
+        if area.keys:
+            rows = rows.withColumn(LOAD, F.lit(version))
+        return self._whole(area.table, rows, area.deltas)
+
+    def _base(self, area: Area, rows: DataFrame) -> Write:
+        """A new base, which replaces the former one and all deltas."""
+        value = self._bucket() if area.column == "bucket" else self._fact_part(F.col(PERIOD))
+        split = rows.withColumn(area.column, value)
+        return Write(
+            area.table,
+            [area.base, area.deltas],
+            lambda: self.store.write(area.table, split, area.base, area.column),
+        )
+
+    def _compact(self, listing: dict, always: bool = False) -> None:
+        """Fold or merge the deltas of areas that are due."""
+        folded, merged = [], []
+        for area in AREAS:
+            deltas = listing.get(area.table, {}).get(area.deltas, [])
+            counts = listing.get(ROWS, {})
+            rows, base = (int(counts.get(f"{area.table}/{p}", ["0"])[0]) for p in (area.deltas, area.base))
+            if deltas and (always or rows > max(self.compact_rows, self.compact_share * base)):
+                folded.append(area)
+            elif len(deltas) > self.max_deltas:
+                merged.append(area)
+        old = copy.deepcopy(listing)
+        writes = [self._base(a, self._rows(old, a)) for a in folded]
+        for a in merged:
+            rows = self._deltas(old, a).hint("rebalance")
+            writes.append(Write(a.table, [a.deltas], lambda a=a, rows=rows: self.store.write(a.table, rows, a.deltas)))
+        if writes:
+            self._write(listing, writes)
+            self._count_bases(listing, folded)
+
+    def _count_bases(self, listing: dict, areas: Sequence[Area]) -> None:
+        """Note the rows of new bases; Parquet footers know them."""
+        for a in areas:
+            n = self.store.read_split(listing, a.table, TABLES[a.table], a.base, a.column).count()
+            counts = listing.setdefault(ROWS, {})
+            counts[f"{a.table}/{a.base}"], counts[f"{a.table}/{a.deltas}"] = [str(n)], ["0"]
 
     def _whole(self, table: str, df: DataFrame, part: str, replace: bool = False) -> Write:
         return Write(table, [part] if replace else [], lambda: self.store.write(table, df, part))
@@ -322,6 +415,11 @@ class Warehouse:
                 with_parts(listing, w.table, w.replaced, new)
 
 
+def _add_rows(listing: dict, place: str, n: int) -> None:
+    counts = listing.setdefault(ROWS, {})
+    counts[place] = [str(int(counts.get(place, ["0"])[0]) + n)]
+
+
 def _place() -> Column:
     """Position in the batch as text, whatever its type."""
     return F.to_json(F.struct("row_pos")).alias("row_pos")

@@ -1,10 +1,11 @@
 """Versioned Parquet tables: new folders first, one small list of folders last.
 
-A table is a set of named partitions, each a list of Parquet folders. Writing never
+A table is a set of named parts, each a list of Parquet folders. Writing never
 touches a folder that is being read; a new version becomes visible when its list is
 written, so a load is either fully visible or not at all, and a lost job leaves only
-unlisted folders behind. Partitions that a load does not touch are carried over by
-name, without reading them.
+unlisted folders behind. Parts that a load does not touch are carried over by
+name, without reading them. A folder may be partitioned by an integer column; which of
+its partitions are read is left to the reader's partition pruning.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ class Snapshots:
         Not to be run while a load is under way or an older version is being read.
         """
         newest, listing = self.latest()
-        used = {folder.split("/")[2] for parts in listing.values() for names in parts.values() for folder in names if folder}
+        used = {folder.split("/")[2] for parts in listing.values() for names in parts.values() for folder in names if folder.startswith("data/")}
         gone = [f"data/{table}/{name}" for table in subfolders(self.spark, f"{self.root}/data") for name in subfolders(self.spark, f"{self.root}/data/{table}") if name not in used]
         gone += [f"versions/{v}" for v in subfolders(self.spark, f"{self.root}/versions") if v != f"v={newest}"]
         gone += [f"pending/{p}" for p in subfolders(self.spark, f"{self.root}/pending")]
@@ -97,10 +98,24 @@ class Snapshots:
         # A folder is addressed itself, so its own name is not taken for a column.
         return self.spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(*folders)
 
-    def write(self, table: str, df: DataFrame, part: str) -> Mapping[str, list[str]]:
-        """Write `df` as one new folder of partition `part`."""
+    def read_split(
+        self, listing: Listing, table: str, ddl: str, part: str, column: str, values: Sequence[int] | None = None
+    ) -> DataFrame:
+        """Rows of a part written with `by=column`, or only its partitions `values`."""
+        folders = [f"{self.root}/{f}" for f in listing.get(table, {}).get(part, [])]
+        if not folders:
+            return self.spark.createDataFrame([], ddl)
+        rows = self.spark.read.schema(f"{ddl}, {column} int").parquet(*folders)
+        if values is not None:
+            rows = rows.where(F.col(column).isin(*values))
+        return rows.drop(column)
+
+    def write(self, table: str, df: DataFrame, part: str, by: str | None = None) -> Mapping[str, list[str]]:
+        """Write `df` as one new folder of `part`, partitioned by an integer column if
+        `by` names one. Adaptive rebalancing gathers each value into few files."""
         folder = f"data/{table}/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{folder}")
+        out = df.hint("rebalance", F.col(by)).write.partitionBy(by) if by else df.write
+        out.parquet(f"{self.root}/{folder}")
         return {part: [folder]}
 
     def write_split(

@@ -15,7 +15,7 @@ from histlake.schema import BASE_COLUMNS, CANONICAL_COLUMNS, KEY
 from histlake.sources.batches import list_batches, read_log
 from histlake.streaming.folder import load_new_files
 
-from .helpers import CLEAN
+from .helpers import CLEAN, frame
 from .test_history import employer_frame
 from .test_sources import write_csv
 
@@ -281,6 +281,42 @@ def test_partitions_that_could_not_be_found_are_refused(spark, tmp_path):
             w.store.write_split("t", spark.createDataFrame([(1, bad)], "a int, part int"), "part")
 
 
+@pytest.mark.parametrize("when", [{"compact_rows": 0, "compact_share": 0.0}, {"max_deltas": 1}])
+def test_folded_and_merged_deltas_give_the_same_tables(spark, loaded, folder, tmp_path, when):
+    w = Warehouse(spark, str(tmp_path), buckets=3, **when)
+    w.load_employers(employer_frame(spark))
+    w.backfill(str(folder), computed_at=AT)
+    facts = w.store.latest()[1]["fact_tax_returns"]
+    assert {part: len(folders) for part, folders in facts.items()} == (
+        {"facts/delta": 1} if "max_deltas" in when else {"facts/base": 1}
+    )
+    assert comparable(w) == comparable(loaded)
+
+
+def test_a_load_writes_in_proportion_to_its_batch(spark, tmp_path):
+    def log(rows):
+        return frame(spark, rows).drop("batch", "batch_seq")
+
+    w = Warehouse(spark, str(tmp_path), buckets=4)
+    w.load_employers(employer_frame(spark))
+    w.load_batch(log([person(i) for i in range(400)]), "day1", AT)
+    w.compact()
+    old = w.store.latest()[1]
+    changes = [person(7, occupation="Nurse", record_type="update"), person(8, tax_paid_sgd="1", record_type="correction")]
+    w.load_batch(log(changes), "day2", AT)
+    new = w.store.latest()[1]
+    for name in ("dim_taxpayer", "fact_tax_returns", "fact_corrections"):
+        added = {f for parts in new[name].values() for f in parts} - {f for parts in old.get(name, {}).values() for f in parts}
+        assert all(f in new[name][part] for part, folders in old.get(name, {}).items() for f in folders)
+        assert sum(spark.read.parquet(f"{tmp_path}/{f}").count() for f in added) <= 3
+    assert w.table("dim_taxpayer").count() == 401 and w.current().count() == 400
+    assert w.table("fact_tax_returns").count() == 400 and w.table("fact_corrections").count() == 1
+    before = contents(w)
+    w.compact()
+    assert contents(w) == before
+    assert not any(part.endswith("/delta") for part in w.store.latest()[1]["fact_tax_returns"])
+
+
 def test_report_of_a_load(spark, tmp_path):
     path = tmp_path / "individual_tax_returns_day1.csv"
     write_csv(path, [*BASE_COLUMNS, "surprise"], [{**person(1), "surprise": "x"}, {**person(2, postal_code="BAD"), "surprise": "y"}])
@@ -299,8 +335,6 @@ def test_first_batch_date_in_file_order_counts(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     w.load_employers(employer_frame(spark))
     for batch, dates in (("day1", [None, None]), ("day2", ["2024-04-15", "15/04/2024"])):
-        from .helpers import frame
-
         log = frame(spark, [{**rows[batch == "day2"], "batch_date": d, "taxpayer_id": f"P{i}"} for i, d in enumerate(dates)])
         w.load_batch(log.drop("batch", "batch_seq"), batch, AT)
     assert history(w, "P1")[0][3] == "2024-04-15"
