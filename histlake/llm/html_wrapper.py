@@ -1,15 +1,14 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned by simple tree matching: two trees match where their roots
-have equal labels, and children are aligned in order so that the number of matched nodes
-is largest. Aligned page trees add up to the host's template. Each template node counts
-its pages and keeps a Misra-Gries summary of the texts seen there; a text that nearly all
-pages carry at a node belongs to the template, a node whose text varies is a content slot.
+Pages of one host are aligned node by node: nodes of equal label path (labels from the root
+down) are one slot of the host's template. A text that nearly all pages with the slot carry
+there belongs to the template, a slot whose text varies is content.
 
-Every page takes part. Templates are built per task, merged per host in two steps
-(salted first), and merging only adds counts, so a host with a third of all pages is a
-few small rows by then. Nodes are bounded (`MAX_NODES`), summaries too (`SUMMARY`);
-pages of a shape that no longer fits still have the judgement by element and class.
+Every node of every page takes part, and texts are counted exactly: a row per slot and a row
+per slot and text, each once per page, summed per task and then by `groupBy`. The sums don't
+depend on the order or partitioning of the pages, and a host with a third of all pages is
+spread over all tasks by slot and text. Only sums too small for any template are dropped.
+Slots and texts are told apart by 64-bit hashes.
 
 Which slots are the article is told by structure: article or main elements if there are
 any, without navigation, headers, footers, sidebars, notices, adverts, forms and
@@ -18,10 +17,10 @@ comments, which are recognised by element, role and class.
 
 from __future__ import annotations
 
-import json
 import re
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,10 +29,9 @@ from pyspark.sql import functions as F
 from histlake.llm.common import Batches, map_batches, map_slices, texts, work_table
 from histlake.llm.url_reputation import host_of
 
-MAX_NODES = 400  # of a template
-SUMMARY = 24  # texts remembered per node
-MAX_HOSTS = 2_000  # templates a task holds before it hands them on
-SALTS = 16
+SUMMARY = 24  # texts a Slot remembers
+MAX_HOSTS = 2_000  # templates a task holds before it forgets them
+MAX_SUMS = 200_000  # sums a task holds before it hands them on
 MIN_PAGES, CONSTANT = 8, 0.95  # a text is template if so many pages carry it
 
 TOKEN = re.compile(
@@ -237,25 +235,13 @@ def shape_of(node: Node) -> Shape:
     return out
 
 
-def skeleton(shape: Shape) -> str:
-    return f"{shape.label}({' '.join(map(skeleton, shape.kids))})" if shape.kids else shape.label
-
-
-def walk(shape: Shape) -> list[Shape]:
-    out = [shape]
-    for kid in shape.kids:
-        out += walk(kid)
-    return out
-
-
 class Slot:
-    """Template node: pages aligned here, summary of their texts, children."""
+    """Summary of frequent texts at a node. An estimate only: `extract` counts exactly."""
 
-    __slots__ = ("label", "pages", "seen", "kids")
+    __slots__ = ("label", "pages", "seen")
 
     def __init__(self, label: str):
         self.label, self.pages, self.seen = label, 0, {}
-        self.kids: list[Slot] = []
 
     def count(self, seen: dict[str, int], pages: int) -> None:
         self.pages += pages
@@ -265,15 +251,6 @@ class Slot:
             cut = sorted(self.seen.values(), reverse=True)[SUMMARY]
             self.seen = {t: n - cut for t, n in self.seen.items() if n > cut}
 
-    def dump(self) -> list:
-        return [self.label, self.pages, self.seen, [k.dump() for k in self.kids]]
-
-
-def load(raw: list) -> Slot:
-    slot = Slot(raw[0])
-    slot.pages, slot.seen, slot.kids = raw[1], raw[2], [load(k) for k in raw[3]]
-    return slot
-
 
 def match(a, b, memo: dict) -> int:
     """Nodes in the largest order-preserving matching of two trees with equal roots."""
@@ -293,88 +270,26 @@ def match(a, b, memo: dict) -> int:
     return row[-1] + 1
 
 
-def aligned(a: list, b: list, memo: dict) -> list[tuple[int, int]]:
-    """Pairs of children matched in a largest matching."""
-    table = [[0] * (len(b) + 1)]
-    for x in a:
-        row = [0]
-        for j, y in enumerate(b):
-            w = match(x, y, memo) if x.label == y.label else 0
-            row.append(max(table[-1][j + 1], row[j], table[-1][j] + w if w else 0))
-        table.append(row)
-    pairs, i, j = [], len(a), len(b)
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    return pairs[::-1]
-
-
-class Template:
-    """Template of a host, with the alignment of every page shape met so far."""
-
-    def __init__(self, root: Slot | None = None):
-        self.root = root or Slot("")
-        self.nodes = self._size(self.root)
-        self.known: dict[str, list[Slot | None]] = {}
-
-    def _size(self, slot: Slot) -> int:
-        return 1 + sum(map(self._size, slot.kids))
-
-    def place(self, shape: Shape, grow: bool) -> list[Slot | None]:
-        """Slot of every node of the shape, in preorder; new slots where there is room."""
-        key = skeleton(shape)
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) > 2_000:
-                self.known.clear()
-            found = self.known[key] = []
-            self._place(shape, self.root, grow, {}, found)
-        return found
-
-    def _place(self, shape, slot: Slot | None, grow: bool, memo: dict, out: list) -> None:
-        out.append(slot)
-        pairs = dict(aligned(shape.kids, slot.kids, memo)) if slot else {}
-        mates = [slot.kids[pairs[k]] if k in pairs else None for k in range(len(shape.kids))]
-        if slot and grow:
-            behind = -1
-            for k, mate in enumerate(mates):
-                if mate is None and self.nodes < MAX_NODES:
-                    mates[k] = mate = Slot(shape.kids[k].label)
-                    slot.kids.insert(behind + 1, mate)
-                    self.nodes += 1
-                if mate is not None:
-                    behind = next(n for n, s in enumerate(slot.kids) if s is mate)
-        for kid, mate in zip(shape.kids, mates):
-            self._place(kid, mate, grow, memo, out)
-
-    def add_page(self, shape: Shape) -> None:
-        for part, slot in zip(walk(shape), self.place(shape, True)):
-            if slot is not None:
-                slot.count(dict.fromkeys({digest(n.text) for n in part.leaves}, 1), 1)
-
-    def add(self, other: Slot) -> None:
-        out: list[Slot | None] = []
-        self._place(other, self.root, True, {}, out)
-        for part, slot in zip(walk(other), out):
-            if slot is not None:
-                slot.count(part.seen, part.pages)
-
-    def constant(self, shape: Shape) -> set[int]:
-        """Identities of the leaves whose text belongs to the template."""
-        out = set()
-        for part, slot in zip(walk(shape), self.place(shape, False)):
-            if slot is not None and slot.pages >= MIN_PAGES:
-                out.update(id(n) for n in part.leaves if slot.seen.get(digest(n.text), 0) >= CONSTANT * slot.pages)
-        return out
-
-
-def digest(text: str) -> str:
-    return xxhash.xxh64_hexdigest(text.encode("utf-8", "surrogatepass"))
+def digest(text: str, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
+
+
+def slots_of(shape: Shape, host: str) -> list[tuple[int, list[Node]]]:
+    """Slot of every node of a page, and the leaves that the node has there."""
+    out, todo = [], [(shape, digest(host))]
+    while todo:
+        part, path = todo.pop()
+        out.append((path, part.leaves))
+        for kid in part.kids:
+            todo.append((kid, digest(kid.label, path)))
+    return out
+
+
+def constant_leaves(shape: Shape, host: str, template: frozenset[int]) -> set[int]:
+    """Identities of the leaves whose text belongs to the template."""
+    if not template:
+        return set()
+    return {id(n) for slot, found in slots_of(shape, host) for n in found if digest(n.text, slot) in template}
 
 
 def leaves(node: Node) -> list[Node]:
@@ -400,46 +315,44 @@ def main_text(root: Node, constant: set[int]) -> str:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): template of every host, from all its pages (columns host, html)."""
-
-    def learn(batches: Batches) -> Batches:
-        held: dict[str, Template] = {}
-
-        def out() -> pa.RecordBatch:
-            rows = [list(held), [json.dumps(t.root.dump()) for t in held.values()]]
-            held.clear()
-            return pa.record_batch([pa.array(c, pa.string()) for c in rows], ["host", "template"])
+    """(key, template): texts of every host's template, as hashes (columns key, host, html).
 
-        for batch in batches:
-            for host, html in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                if host not in held and len(held) >= MAX_HOSTS:
-                    yield out()
-                held.setdefault(host, Template()).add_page(shape_of(parse(html)))
-        yield out()
+    A text is template if at least `CONSTANT` of at least `MIN_PAGES` pages with the slot
+    carry it there. Hosts without such a text have no row.
+    """
 
-    def merge(batches: Batches) -> Batches:
-        # Rows come sorted by host: one template at a time is held.
-        at, held = None, None
+    def count(batches: Batches) -> Batches:
+        sums: dict[tuple[int, int, int | None], int] = {}
 
         def out() -> pa.RecordBatch:
-            return pa.record_batch([pa.array([at], pa.string()), pa.array([json.dumps(held.root.dump())], pa.string())], ["host", "template"])
+            keys, slots, found = zip(*sums) if sums else ((), (), ())
+            columns = [
+                pa.array(keys, pa.int64()),
+                pa.array(np.array(slots, np.uint64).view(np.int64)),
+                pa.array(found, pa.uint64()).view(pa.int64()),
+                pa.array(sums.values(), pa.int64()),
+            ]
+            sums.clear()
+            return pa.record_batch(columns, ["key", "slot", "text", "n"])
 
         for batch in batches:
-            for host, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if held is not None and host != at:
+            for key, host, html in zip(batch.column(0).to_pylist(), texts(batch.column(1)), texts(batch.column(2))):
+                page = set()
+                for slot, found in slots_of(shape_of(parse(html)), host):
+                    page.add((key, slot, None))
+                    page.update((key, slot, digest(n.text, slot)) for n in found)
+                for x in page:
+                    sums[x] = sums.get(x, 0) + 1
+                if len(sums) >= MAX_SUMS:
                     yield out()
-                    held = None
-                if held is None:
-                    at, held = host, Template()
-                held.add(load(json.loads(raw)))
-        if held is not None:
-            yield out()
+        yield out()
 
-    schema = "host string, template string"
-    parts = map_batches(pages.select("host", "html"), learn, schema)
-    salted = parts.repartition("host", F.pmod(F.xxhash64("template"), F.lit(SALTS))).sortWithinPartitions("host")
-    some = map_batches(salted, merge, schema)
-    return map_batches(some.repartition("host").sortWithinPartitions("host"), merge, schema)
+    counts = map_batches(pages.select("key", "host", "html"), count, "key long, slot long, text long, n long")
+    # Smaller sums can't be template: a slot needs MIN_PAGES pages, a text CONSTANT of them.
+    summed = work_table(counts.groupBy("key", "slot", "text").agg(F.sum("n").alias("n")).where(F.col("n") >= CONSTANT * MIN_PAGES))
+    slots = summed.where(F.col("text").isNull() & (F.col("n") >= MIN_PAGES)).select("key", "slot", F.col("n").alias("pages"))
+    constant = summed.where("text is not null").join(slots, ["key", "slot"]).where(F.col("n") >= CONSTANT * F.col("pages"))
+    return constant.groupBy("key").agg(F.collect_set("text").alias("template"))
 
 
 def extract(df: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -449,11 +362,12 @@ def extract(df: DataFrame, *, id_col: str = "page_id", url_col: str = "url", htm
     Repeated rows each count and stay.
     """
     pages = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).withColumn("host", host_of(F.col("url")))
+    pages = pages.withColumn("key", F.xxhash64("host"))
     found = work_table(templates(pages))
-    joined = pages.join(found, "host", "left").select("id", "url", "html", "host", "template")
+    joined = pages.join(found, "key", "left").select("id", "url", "html", "host", "template")
 
     def step():
-        held: dict[str, Template] = {}
+        held: dict[str, frozenset[int]] = {}
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
@@ -461,9 +375,9 @@ def extract(df: DataFrame, *, id_col: str = "page_id", url_col: str = "url", htm
                 if host not in held:
                     if len(held) >= MAX_HOSTS:
                         held.clear()
-                    held[host] = Template(load(json.loads(raw.as_py())))
+                    held[host] = frozenset(x % (1 << 64) for x in raw.as_py() or ())
                 tree = parse(html)
-                out.append(main_text(tree, held[host].constant(shape_of(tree))))
+                out.append(main_text(tree, constant_leaves(shape_of(tree), host, held[host])))
             return pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())], ["id", "url", "text", "n_chars"])
 
         return work

@@ -210,6 +210,23 @@ def test_summaries_keep_frequent_texts_when_merged():
     assert slots[0].pages == 1200 and slots[0].seen["often"] > 0.4 * 1200 and len(slots[0].seen) <= html_wrapper.SUMMARY
 
 
+def extracted(spark, bodies, parts=5):
+    pages = [(k, f"http://h.org/{k}", f"<body>{b}</body>") for k, b in enumerate(bodies)]
+    return {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(parts)).collect()}
+
+
+@pytest.mark.parametrize("pages, varying", [(8, 40), (40, 2), (40, 5), (4000, 5)])
+def test_constant_text_among_varying_siblings(spark, pages, varying):
+    bodies = ["<p>Always the same line</p>" + "".join(f"<p>Text {k} {n}</p>" for n in range(varying)) for k in range(pages)]
+    assert extracted(spark, bodies) == {k: "\n\n".join(f"Text {k} {n}" for n in range(varying)) for k in range(pages)}
+
+
+def test_texts_are_constant_from_95_percent_of_8_pages_on(spark):
+    for pages, carry, gone in ((7, 7, False), (100, 95, True), (100, 94, False)):
+        found = extracted(spark, [f"<p>{'Same line' if k < carry else f'Other {k}'}</p><p>Text {k}</p><p>More {k}</p>" for k in range(pages)])
+        assert (found[0] == "Text 0\n\nMore 0") is gone, (pages, carry)
+
+
 # 4 decontamination
 
 
