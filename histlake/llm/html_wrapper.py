@@ -1,8 +1,11 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned node by node: nodes of equal label path (labels from the root
-down) are one slot of the host's template. A text that nearly all pages with the slot carry
-there belongs to the template, a slot whose text varies is content.
+Pages of one host are aligned node by node, in two ways: nodes of equal label path (labels
+from the root down) are one slot of the host's template, and nodes of equal label path and
+equal place (numbers among the siblings of their label, on the way down) are another. A text
+that nearly all pages with a slot carry there belongs to the template, a text that varies in
+both of its slots is content. Slots follow from a page alone, so there is no template to
+grow and no layout that no longer fits.
 
 Every node of every page takes part, and texts are counted exactly: a row per slot and a row
 per slot and text, each once per page, summed per task and then by `groupBy`. The sums don't
@@ -275,13 +278,15 @@ def digest(text: str, seed: int = 0) -> int:
 
 
 def slots_of(shape: Shape, host: str) -> list[tuple[int, list[Node]]]:
-    """Slot of every node of a page, and the leaves that the node has there."""
-    out, todo = [], [(shape, digest(host))]
+    """Both slots of every node of a page, by label path and by place, with the node's leaves."""
+    out, todo = [], [(shape, digest(host), digest(host, 1))]
     while todo:
-        part, path = todo.pop()
-        out.append((path, part.leaves))
+        part, path, place = todo.pop()
+        out += (path, part.leaves), (place, part.leaves)
+        met: dict[str, int] = {}
         for kid in part.kids:
-            todo.append((kid, digest(kid.label, path)))
+            k = met[kid.label] = met.get(kid.label, 0) + 1
+            todo.append((kid, digest(kid.label, path), digest(f"{kid.label} {k}", place)))
     return out
 
 

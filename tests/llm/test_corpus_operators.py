@@ -227,6 +227,23 @@ def test_texts_are_constant_from_95_percent_of_8_pages_on(spark):
         assert (found[0] == "Text 0\n\nMore 0") is gone, (pages, carry)
 
 
+def test_no_layout_of_a_host_is_left_out(spark):
+    names = [a + b for a in "qwxyz" for b in "abcdefghijklmnopqrst"]
+    bodies = [f"<div class={n}><h2>About {n}</h2><p>Text {k} of {n}</p><ul><li>Item {k}</li></ul><div>Note {n}</div></div>" for n in names for k in range(8)]
+    # Long pages that alternate, each in its own order, with one line at the end of all.
+    rng = random.Random(3)
+    bodies += ["".join(f"<{t}>{k} {j}</{t}>" for j, t in enumerate(rng.choices(("h2", "p", "pre"), k=150))) + "<div>Last line</div>" for k in range(20)]
+    found = extracted(spark, bodies)
+    assert found == extracted(spark, bodies, 1)
+    assert [found[k] for k in range(800)] == [f"Text {k} of {n}\n\nItem {k}" for n in names for k in range(8)]
+    assert all("Last line" not in found[k] and found[k].count("\n\n") == 149 for k in range(800, 820))
+
+
+def test_a_block_that_only_some_pages_have_is_told_by_its_place(spark):
+    bodies = [f"<div><p>Text {k}</p><pre>More</pre></div>" + "<div><p>Some pages say so</p><pre>More</pre></div>" * (k % 2) for k in range(40)]
+    assert extracted(spark, bodies) == {k: f"Text {k}" for k in range(40)}
+
+
 # 4 decontamination
 
 
