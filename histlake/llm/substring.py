@@ -108,15 +108,17 @@ def paths(docs: np.ndarray, tags: np.ndarray, found: list[bytes], hot: np.ndarra
     sums = np.r_[np.uint64(0), np.cumsum(mix(windows))]
     path = mix(sums[high + 1] - sums[low] + windows[low] * np.uint64(5) + (anchor[low] - low).astype(np.uint64))
     doc, start = docs[owner[low]], low - firsts[owner[low]]
-    order = np.lexsort((start, doc, path, key))
+    tag = tags[owner[low]]
+    order = np.lexsort((tag, start, doc, path, key))
     fresh = np.r_[True, (key[order[1:]] != key[order[:-1]]) | (path[order[1:]] != path[order[:-1]])]
     leader = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
     later = (doc[order] != doc[leader]) | (start[order] != start[leader])
     gone = np.sort(order[later])
-    kept = order[fresh]
-    settled = [doc[gone], tags[owner[low[gone]]], start[gone], start[gone] + high[gone] - low[gone] + WINDOW]
+    # Texts of one id can have the same path at the same place; each has its row.
+    kept = order[fresh | ~later & np.r_[True, tag[order[1:]] != tag[order[:-1]]]]
+    settled = [doc[gone], tag[gone], start[gone], start[gone] + high[gone] - low[gone] + WINDOW]
     place = (low[kept] - firsts[owner[low[kept]]]) << 31 | (anchor[low[kept]] - low[kept]) << 27 | (high[kept] - low[kept]) << 23
-    place |= tags[owner[low[kept]]]
+    place |= tag[kept]
     raw = windows.view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BYTES :].tobytes()
     held = [raw[a:b] for a, b in zip((low[kept] * HASH_BYTES).tolist(), ((high[kept] + 1) * HASH_BYTES).tolist())]
     return [key[kept].view(np.int64), doc[kept], place, held], settled
@@ -181,13 +183,19 @@ def settle(sorted_paths: DataFrame) -> DataFrame:
                 if first < own:
                     out.append((d, tag, start, start + many - 1 + WINDOW))
                     continue
-                if first == own and (d, start, w) in single:
+                if first == own and (d, start, w, tag) in single:
                     continue
-                single[d, start, w] = own
+                single[d, start, w, tag] = own
                 for n in range(many):
-                    here = (d, start + n)
-                    if single.setdefault((offset - n, w[HASH_BYTES * n : HASH_BYTES * n + HASH_BYTES]), here) < here:
-                        out.append((d, tag, start + n, start + n + WINDOW))
+                    at, here = (offset - n, w[HASH_BYTES * n : HASH_BYTES * n + HASH_BYTES]), (d, start + n, tag)
+                    was = single.setdefault(at, here)
+                    if was[0] < d or was[1] < here[1]:
+                        out.append((d, tag, here[1], here[1] + WINDOW))
+                    elif was[1] > here[1]:  # of another text with this id, whose row began earlier
+                        out += [(d, t, was[1], was[1] + WINDOW) for t in was[2:]]
+                        single[at] = here
+                    elif tag not in was[2:]:
+                        single[at] = (*was, tag)
             if len(key) and not several[-1]:
                 now = None
             columns = list(zip(*out)) if out else [()] * 4

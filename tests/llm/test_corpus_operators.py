@@ -418,6 +418,34 @@ def test_removal_equals_brute_force(spark, monkeypatch, words, stretch, hot):
     assert sorted(map(tuple, found.collect())) == plain_removal(docs)
 
 
+def test_texts_of_one_id_each_have_rows_for_all_their_windows():
+    passage = " ".join(f"p{k}" for k in range(60))
+    found = [f"{passage} {end}".encode() for end in ("then this", "then that")]
+    (_, _, place, held), _ = substring.paths(np.array([5, 5]), np.array([1, 2]), found, np.zeros(0, np.uint64))
+    for tag in (1, 2):
+        starts = [(int(p) >> 31) + n for p, w in zip(place, held) if int(p) & 3 == tag for n in range(len(w) // substring.HASH_BYTES)]
+        assert sorted(starts) == list(range(62 - 19))
+
+
+def test_texts_of_one_id_each_lose_a_passage_of_another_stretch(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = [(1, f"first {passage}"), (5, f"{passage} then this"), (5, f"{passage} then that")]
+    df = spark.createDataFrame(docs[:1], "doc_id long, text string").coalesce(1).union(spark.createDataFrame(docs[1:], "doc_id long, text string").coalesce(1))
+    found = substring.remove(df).select("doc_id", "n_words", "n_removed", "kept")
+    assert sorted(map(tuple, found.collect())) == plain_removal(docs)
+    assert [x[3] for x in plain_removal(docs)[1:]] == ["then that", "then this"]
+
+
+def test_removal_equals_brute_force_where_ids_have_several_texts(spark):
+    rng = random.Random(8)
+    passages = [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randint(21, 40))) for _ in range(40)]
+    piece = lambda: " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randint(0, 8)))
+    docs = [(rng.randrange(60), " ".join(f"{piece()} {rng.choice(passages)[rng.choice([0, 0, 9]) :]}" for _ in range(rng.randint(1, 3)))) for _ in range(240)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = substring.remove(df).select("doc_id", "n_words", "n_removed", "kept")
+    assert sorted(map(tuple, found.collect())) == plain_removal(docs)
+
+
 def test_word_hashes_follow_the_words():
     rng = random.Random(1)
     seen = {}
