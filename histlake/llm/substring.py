@@ -9,7 +9,7 @@ equal smallest k-mers, so they always meet.
 Rows are joined on the k-mer by one shuffle, sorted by source coordinates. Where the
 path doesn't branch, all its windows repeat or none does, and it is settled as a whole;
 where texts branch off, it is settled window by window. A window goes if the same window
-(same k-mer and offset, equal hash: 64 + 40 bits of the words) has an earlier coordinate.
+(same k-mer and offset, equal hash: 64 + 56 bits of the words) has an earlier coordinate.
 
 Repeats within the stretch of documents that a task handles at once are settled there
 and never shuffled, so a passage that very many documents share arrives as few rows. A
@@ -23,6 +23,7 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,8 @@ K = 8
 STRETCH_BYTES = 3 << 20  # text handled at once in a task
 HOT_SAMPLE = 16  # one of so many documents is looked at for very frequent k-mers
 HOT_SHARE = 4  # a k-mer is split if it fills more than one such part of a task
-HASH_BYTES = 5
+HASH_BYTES = 7  # of a window's hash: all that tells continuations of one k-mer apart
+STOP_BYTES = 4  # of what is settled, instead of windows; no multiple of HASH_BYTES
 TAG_BITS = 23  # of the text's hash, to tell rows with one id apart
 NO_ID = (1 << 63) - 1
 SPACES = b" \t\n\r\x0b\x0c"
@@ -125,7 +127,7 @@ def paths(docs: np.ndarray, tags: np.ndarray, found: list[bytes], hot: np.ndarra
 
 
 def spread(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Paths of all documents, and what is settled already (`stop` set), by key."""
+    """Paths of all documents, and what is settled already (its stop instead of windows), by key."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -150,13 +152,12 @@ def spread(rows: DataFrame, hot: np.ndarray) -> DataFrame:
                 pa.array(np.r_[key, mix(doc2.view(np.uint64)).view(np.int64)]),
                 pa.array(np.r_[doc, doc2]),
                 pa.array(np.r_[place, place2]),
-                pa.array([None] * len(key) + ends.tolist(), pa.int32()),
-                pa.array([*windows, *[None] * len(doc2)], pa.binary()),
+                pa.array([*windows, *(e.to_bytes(STOP_BYTES, "little") for e in ends.tolist())], pa.binary()),
             ],
-            ["key", "doc", "place", "stop", "windows"],
+            ["key", "doc", "place", "windows"],
         )
 
-    return map_batches(rows, run, "key long, doc long, place long, stop int, windows binary")
+    return map_batches(rows, run, "key long, doc long, place long, windows binary")
 
 
 def settle(sorted_paths: DataFrame) -> DataFrame:
@@ -167,9 +168,10 @@ def settle(sorted_paths: DataFrame) -> DataFrame:
         now, whole, single = None, {}, {}  # of the key in hand
         for batch in batches:
             key, doc, place = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            stop, windows = batch.column(3), batch.column(4)
-            done = ~np.asarray(stop.is_null())
-            out = [(d, p & mask, p >> 31, s) for d, p, s in zip(doc[done].tolist(), place[done].tolist(), stop.filter(pa.array(done)).to_pylist())]
+            windows = batch.column(3)
+            done = pc.binary_length(windows).to_numpy(zero_copy_only=False) == STOP_BYTES
+            stop = windows.filter(pa.array(done)).to_pylist()
+            out = [(d, p & mask, p >> 31, int.from_bytes(s, "little")) for d, p, s in zip(doc[done].tolist(), place[done].tolist(), stop)]
             same = np.r_[False, key[1:] == key[:-1]]
             several = same | np.r_[same[1:], True]  # the last key may go on
             several[0] |= key[0] == now if now is not None else False
@@ -214,7 +216,7 @@ def repeated(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     tag = F.xxhash64(text_col).bitwiseAND((1 << TAG_BITS) - 1)
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), tag.alias("tag"), F.col(text_col).alias("text"))
     none = np.zeros(0, np.uint64)
-    sampled = spread(rows.where(F.pmod(F.hash("doc"), F.lit(HOT_SAMPLE)) == 0), none).where("windows is not null")
+    sampled = spread(rows.where(F.pmod(F.hash("doc"), F.lit(HOT_SAMPLE)) == 0), none).where(F.octet_length("windows") > STOP_BYTES)
     counts = work_table(sampled.groupBy("key").count().where("count > 8"))
     total = counts.agg(F.sum("count")).first()[0] or 0
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

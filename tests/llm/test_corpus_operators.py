@@ -446,6 +446,14 @@ def test_removal_equals_brute_force_where_ids_have_several_texts(spark):
     assert sorted(map(tuple, found.collect())) == plain_removal(docs)
 
 
+def test_windows_are_told_apart_by_more_than_40_bits():
+    words, starts = substring.word_hashes(" ".join(f"w{k}" for k in range(20)).encode())
+    assert len(starts) == 20
+    held = substring.paths(np.array([1]), np.array([1]), [" ".join(f"w{k}" for k in range(20)).encode()], np.zeros(0, np.uint64))[0][3]
+    whole = int(substring.grams(words, 20)[0])
+    assert len(held) == 1 and len(held[0]) >= 7 and int.from_bytes(held[0], "little") == whole >> 8 * (8 - len(held[0]))
+
+
 def test_word_hashes_follow_the_words():
     rng = random.Random(1)
     seen = {}
