@@ -7,6 +7,9 @@ which is shrunk towards that of all outcomes. The strength of each prior is esti
 from how much the shares of a level vary beyond chance (method of moments). A host is
 blocked when even the lower bound of its posterior lies above the limit.
 
+The suffix of a host is its last label, or the longest that fits of a list of suffixes of
+several labels (`suffixes`, such as co.uk); the registered domain has one label more.
+
 Only DataFrame functions are used. Outcomes are counted per host first, so a host or
 domain that holds a third of all rows is a single row before anything is joined.
 """
@@ -69,12 +72,21 @@ def strength(counts: DataFrame, level: str) -> float:
     return min(MAX_STRENGTH, max(MIN_STRENGTH, within / between - 1))
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
+def levels_of(host: Column, suffixes: Sequence[str] = ()) -> tuple[Column, Column]:
+    """Suffix and registered domain; a host that is a suffix is a domain of its own."""
+    labels = F.split(host, r"\.")
+    suffix, n = F.element_at(labels, -1), F.lit(1)
+    if suffixes:
+        ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.concat_ws(".", F.slice(labels, k, F.size(labels))))
+        suffix = F.coalesce(F.get(F.filter(ends, lambda end: end.isin(*suffixes)), F.lit(0)), suffix)
+        n = F.size(F.split(suffix, r"\."))
+    return suffix, F.concat_ws(".", F.slice(F.concat(F.array(F.lit("")), labels), -(n + 1), n + 1))
+
+
+def reputations(outcomes: DataFrame, suffixes: Sequence[str] = ()) -> DataFrame:
     """(host, bad_share, bad_bound) from `outcomes` (host, n, bad), one row per host."""
-    labels = F.split("host", r"\.")
-    counts = work_table(
-        outcomes.withColumn("suffix", F.element_at(labels, -1)).withColumn("domain", F.concat_ws(".", F.slice(F.concat(F.array(F.lit("")), labels), -2, 2)))
-    )
+    suffix, domain = levels_of(F.col("host"), suffixes)
+    counts = work_table(outcomes.withColumn("suffix", suffix).withColumn("domain", domain))
     total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     start = ((total.bad or 0) + 1) / ((total.n or 0) + 2)
     mean = None
@@ -93,7 +105,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     return units.select("host", share.alias("bad_share"), (share - Z * deviation).alias("bad_bound"))
 
 
-def judge(df: DataFrame, rules: Sequence[Rule], *, url_col: str = "url", id_col: str = "page_id") -> DataFrame:
+def judge(df: DataFrame, rules: Sequence[Rule], *, url_col: str = "url", id_col: str = "page_id", suffixes: Sequence[str] = ()) -> DataFrame:
     """(id, host, path, rule, verdict, bad_bound) of every row.
 
     Null urls and urls without `://` have an empty host and path, which no rule fits;
@@ -105,7 +117,7 @@ def judge(df: DataFrame, rules: Sequence[Rule], *, url_col: str = "url", id_col:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn(said, verdict)
     outcomes = rows.groupBy("host").agg(F.count(said).alias("n"), F.count(F.when(F.col(said) == "block", 1)).alias("bad"))
-    known = work_table(reputations(outcomes))
+    known = work_table(reputations(outcomes, suffixes))
     by_host = F.when(F.col("bad_bound") > LIMIT, "block").otherwise("allow")
     out = rows.join(known, "host", "left").withColumn("verdict", F.coalesce(said, by_host))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", "verdict", "bad_bound")

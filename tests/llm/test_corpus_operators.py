@@ -318,6 +318,16 @@ def test_urls_equal_sql(spark):
     assert (by_url[None].host, by_url[None].path, by_url[None].rule) == ("", "", None)
 
 
+def test_suffixes_of_several_labels_part_unrelated_sites(spark):
+    hosts = [("x.a.co.uk", "co.uk", "a.co.uk"), ("b.co.uk", "co.uk", "b.co.uk"), ("co.uk", "co.uk", ".co.uk"), ("c.uk", "uk", "c.uk"), ("d.e.org", "org", "e.org"), ("", "", ".")]
+    df = spark.createDataFrame([(h,) for h, _, _ in hosts], "host string")
+    found = {tuple(r) for r in df.select("host", *url_reputation.levels_of(F.col("host"), ["co.uk", "com.br"])).collect()}
+    assert found == set(hosts)
+    counts = [("x.a.co.uk", 100, 100), ("y.a.co.uk", 0, 0), ("z.b.co.uk", 50, 0), ("w.b.co.uk", 0, 0), ("v.org", 50, 25)]
+    share = {r.host: r.bad_share for r in url_reputation.reputations(spark.createDataFrame(counts, "host string, n long, bad long"), ["co.uk"]).collect()}
+    assert share["y.a.co.uk"] > 0.5 > share["w.b.co.uk"]
+
+
 def test_urls_plan_has_no_python(spark):
     pages = spark.createDataFrame([(1, "http://a.com/de/1")], "page_id long, url string")
     plan = url_reputation.judge(pages, URL_RULES)._jdf.queryExecution().toString()
