@@ -37,6 +37,23 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+def pieces(text: bytes, limit: int) -> list[bytes]:
+    """The text, or if it is longer, pieces of about `limit` bytes with the same windows."""
+    words = words_of(text) if len(text) > limit else []
+    if len(words) <= WINDOW:
+        return [text]
+    out, start = [], 0
+    while True:
+        stop, held = start, 0
+        while stop < len(words) and (stop - start < WINDOW or held + len(words[stop]) < limit):
+            held += len(words[stop]) + 1
+            stop += 1
+        out.append(b" ".join(words[start:stop]))
+        if stop == len(words):
+            return out
+        start = stop - WINDOW + 1
+
+
 class Phrases:
     """Distinct windows of a block of items over the block's vocabulary (from 1 on)."""
 
@@ -248,13 +265,28 @@ def contamination(
     size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item") + 32)).first()[0] or 0
     blocks = max(1, -(-2 * size // BLOCK_BYTES) if size > BLOCK_BYTES else 1)
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    if blocks > 1:
+        limit = BLOCK_BYTES // 4
+
+        def split(batches: Batches) -> Batches:
+            for batch in batches:
+                for item, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                    found = pieces(text, limit)
+                    yield pa.record_batch([pa.array([item] * len(found), pa.string()), pa.array(found, pa.binary()).cast(pa.string())], ["item", "text"])
+
+        items = work_table(map_batches(items, split, "item string, text string"))
     parts = []
     for k in range(blocks):
         mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         block = [(r.item, r.text.encode("utf-8")) for r in mine.collect()]
-        parts.append(hits(rows, spark.sparkContext.broadcast(block)))
+        sent = spark.sparkContext.broadcast(block)
+        part = hits(rows, sent)
+        if blocks > 1:  # one block at a time is on the driver and in the tasks
+            part = work_table(part)
+            sent.unpersist(blocking=True)
+        parts.append(part)
     if blocks > 1:
-        every = reduce(DataFrame.unionByName, (work_table(p) for p in parts))
+        every = reduce(DataFrame.unionByName, parts)
         joined = every.groupBy("id", "text_hash").agg(
             F.max("n_words").alias("n_words"),
             F.flatten(F.collect_list("spans")).alias("spans"),

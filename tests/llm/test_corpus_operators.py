@@ -287,6 +287,15 @@ def test_contamination_equals_brute_force(spark, monkeypatch, block, shard):
     assert sorted(r.doc_id for r in clean.collect()) == [d for d, *_, bad in plain_contamination(docs, items) if not bad]
 
 
+def test_pieces_of_a_giant_item_have_its_windows():
+    words = [f"w{k}".encode() for k in range(500)]
+    windows = lambda w: {tuple(w[k : k + 13]) for k in range(len(w) - 12)}
+    found = [decontaminate.words_of(x) for x in decontaminate.pieces(b" ".join(words), 200)]
+    assert len(found) > 5 and set().union(*map(windows, found)) == windows(words)
+    assert all(len(w) >= 13 and len(b" ".join(w)) <= 200 for w in found)
+    assert decontaminate.pieces(b"x" * 500 + b" Y", 200) == [b"x" * 500 + b" Y"]
+
+
 def test_fm_index_ranks_and_positions():
     rng = np.random.default_rng(2)
     text = rng.integers(0, 5, 500)
