@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, substring, toxicity, url_reputation, vector_codes
+from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, substring, token_alignment, toxicity, url_reputation, vector_codes
 from histlake.llm.common import crc_mod
 
 
@@ -101,6 +101,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of two tokenizers' tokens of every document, and how usual its links are."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.digests(table(spark, folder, "documents"), a, b)
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Product code of every usable vector, its error and that of its label."""
     found, books = vector_codes.compress(table(spark, folder, "embeddings"))
@@ -108,7 +114,7 @@ def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op7_substring_dedup, op8_quality_rules, op9_byte_bpe, op10_language_id, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op7_substring_dedup, op8_quality_rules, op9_byte_bpe, op10_language_id, op11_token_alignment, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
