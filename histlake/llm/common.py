@@ -13,7 +13,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 # Rows handled at once inside a Python task: bounds the memory beside the Arrow batch.
 SLICE_ROWS = 256
@@ -78,6 +78,25 @@ def map_slices(df: DataFrame, step: Callable[[], Callable[[pa.RecordBatch], pa.R
     return map_batches(df, run, schema)
 
 
+# Stands for a missing integer id, which so comes last.
+NO_ID = (1 << 63) - 1
+
+
+def tell_apart(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows as (id, doc, tag, text): the id as a number, NO_ID if it is null, and for ids
+    that several rows share a hash of the text, else 0.
+
+    Only ids are shuffled as long as few are shared. Other than integer ids are refused.
+    """
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be an integer column")
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    rows = df.select(F.col(id_col).alias("id"), doc.alias("doc"), F.col(text_col).alias("text"))
+    several = work_table(rows.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("shared")))
+    tag = F.when(F.col("shared").isNull(), F.lit(0)).otherwise(F.xxhash64("text"))
+    return rows.join(several, F.col("doc") == F.col("shared"), "left").select("id", "doc", tag.alias("tag"), "text")
+
+
 def texts(column: pa.Array) -> list[str]:
     """The column as strings; null counts as empty."""
     return [x or "" for x in column.to_pylist()]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, substring, token_alignment, toxicity, url_reputation, vector_codes
+from histlake.llm import bpe, decontaminate, html_wrapper, language, oracle, pii, quality, simhash, substring, suffix_repeats, token_alignment, toxicity, url_reputation, vector_codes
 from histlake.llm.common import crc_mod
 
 
@@ -107,6 +107,12 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.digests(table(spark, folder, "documents"), a, b)
 
 
+def op12_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes of every document, those in strings that occur earlier, and the digest of the rest."""
+    found = suffix_repeats.remove(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Product code of every usable vector, its error and that of its label."""
     found, books = vector_codes.compress(table(spark, folder, "embeddings"))
@@ -114,7 +120,7 @@ def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op7_substring_dedup, op8_quality_rules, op9_byte_bpe, op10_language_id, op11_token_alignment, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_decontamination, op5_url_reputation, op6_pii, op7_substring_dedup, op8_quality_rules, op9_byte_bpe, op10_language_id, op11_token_alignment, op12_suffix_repeats, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
