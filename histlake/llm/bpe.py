@@ -92,9 +92,14 @@ class Matcher:
         short = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\s\w]").replace(r"\p{L}", r"[^\W\d_]").replace(r"\p{N}", r"\d")
         self.short = re.compile(short) if "[[" not in short else self.full
         self.unlike = re.compile(f"[{unlike}]")
+        self.unlike_octets = bytes(k for k in range(256) if self.unlike.match(chr(k)))
 
     def of(self, text: str) -> re.Pattern:
-        return self.full if self.unlike.search(text) else self.short
+        try:
+            octets = text.encode("latin-1")  # most texts; deleting bytes is far faster than a search
+        except UnicodeEncodeError:
+            return self.full if self.unlike.search(text) else self.short
+        return self.short if len(octets.translate(None, self.unlike_octets)) == len(octets) else self.full
 
 
 @functools.lru_cache(maxsize=4)
@@ -109,18 +114,21 @@ def load_ranks(path: str) -> tuple[dict[bytes, int], list[bytes]]:
 
 
 class Encoder(dict):
-    """Token ids by piece, remembered for the pieces of this task."""
+    """Token ids by piece, remembered. When there are too many, the pieces met since
+    the last time are kept and the others forgotten."""
 
     def __init__(self, ranks: dict[bytes, int], tokens: list[bytes], pattern: str):
         super().__init__()
         self.ranks, self.tokens = ranks, tokens
         self.matcher = Matcher(pattern)
+        self.before: dict[str, tuple[int, ...]] = {}
         self.halves: dict[bytes, list[int]] = {}
         self.pairs: dict[tuple[int, int], list[int]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.encode_bytes(piece.encode("utf-8", "surrogatepass")))
-        if len(self) >= MEMO_PIECES:
+        ids = self.before.get(piece) or tuple(self.encode_bytes(piece.encode("utf-8", "surrogatepass")))
+        if len(self) >= MEMO_PIECES // 2:
+            self.before = dict(self)
             self.clear()
         if len(piece) <= MEMO_LENGTH:
             self[piece] = ids
@@ -243,6 +251,12 @@ class Encoder(dict):
         return list(chain.from_iterable(map(self.__getitem__, pieces)))
 
 
+@functools.lru_cache(maxsize=2)
+def shared_encoder(path: str, pattern: str) -> Encoder:
+    """The encoder of this worker process, which runs one task after another."""
+    return Encoder(*load_ranks(path), pattern)
+
+
 def decode_ids(tokens: list[bytes], ids: list[int]) -> bytes:
     """Bytes of the ids, concatenated up a tree of halves."""
     if len(ids) <= LEAF_CHARS:
@@ -259,7 +273,7 @@ def encode(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", te
     """
 
     def step():
-        encoder = Encoder(*load_ranks(path), pattern)
+        encoder = shared_encoder(path, pattern)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [encoder.encode(t) for t in texts(batch.column(1))]
@@ -301,8 +315,8 @@ def digests(df: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", t
     """
 
     def step():
-        ranks, tokens = load_ranks(path)
-        encoder = Encoder(ranks, tokens, pattern)
+        encoder = shared_encoder(path, pattern)
+        tokens = encoder.tokens
         decimal = [str(k) for k in range(len(tokens))]
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -329,14 +343,15 @@ def tokenize(df: DataFrame, path: str, pattern: str, *, text_col: str = "text")
     """The rows of `df` with n_tokens, token_ids and round_trip in place of the text.
 
     `round_trip` says that the decoded bytes are those of the text. Columns of these
-    names are replaced; null texts count as empty.
+    names are replaced. Null texts count as empty, very long ones are encoded whole, and
+    repeated rows each for itself.
     """
     own = ("n_tokens", "token_ids", "round_trip")
     rest = [c for c in df.columns if c != text_col and c not in own]
 
     def step():
-        ranks, tokens = load_ranks(path)
-        encoder = Encoder(ranks, tokens, pattern)
+        encoder = shared_encoder(path, pattern)
+        tokens = encoder.tokens
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = texts(batch.column(len(rest)))
