@@ -27,8 +27,10 @@ import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from histlake.llm.common import Batches, map_batches, map_slices, mix, utf8, work_table
+from histlake.llm.common import NO_ID, Batches, map_batches, map_slices, mix, utf8, work_table
+from histlake.operators.numbering import number_rows
 
 WINDOW = 20
 K = 8
@@ -37,8 +39,7 @@ HOT_SAMPLE = 16  # one of so many documents is looked at for very frequent k-mer
 HOT_SHARE = 4  # a k-mer is split if it fills more than one such part of a task
 HASH_BYTES = 7  # of a window's hash: all that tells continuations of one k-mer apart
 STOP_BYTES = 4  # of what is settled, instead of windows; no multiple of HASH_BYTES
-TAG_BITS = 23  # of the text's hash, to tell rows with one id apart
-NO_ID = (1 << 63) - 1
+TAG_BITS = 23  # of the number that tells texts with one id apart
 SPACES = b" \t\n\r\x0b\x0c"
 
 
@@ -207,23 +208,47 @@ def settle(sorted_paths: DataFrame) -> DataFrame:
     return map_batches(sorted_paths, run, "doc long, tag long, start int, stop int")
 
 
-def repeated(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def numbered_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows as (id, doc, tag, text). `tag` is 0, or for ids that several rows share the
+    number of the text among the id's different texts (told apart by 64-bit hashes).
+
+    Only ids are shuffled, and of shared ids the hashes. Beyond 2^23 different texts of
+    one id there is an error; rows without id then begin another id, still after all others.
+    """
+    if not isinstance(df.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be an integer column")
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    rows = df.select(F.col(id_col).alias("id"), doc.alias("doc"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    shared = work_table(rows.groupBy("doc").count().where("count > 1").select("doc"))
+    if shared.isEmpty():
+        return rows.select("id", "doc", F.lit(0).cast("long").alias("tag"), "text")
+    several = number_rows(rows.select("doc", "hash").join(shared, "doc", "left_semi").distinct(), ["doc", "hash"], "number")
+    first = several.groupBy("doc").agg(F.min("number").alias("first"))
+    numbers = several.join(first, "doc").select("doc", "hash", (F.col("number") - F.col("first")).alias("place"))
+    within = F.col("place").bitwiseAND((1 << TAG_BITS) - 1)
+    group = F.shiftright("place", TAG_BITS)
+    too_many = F.raise_error(F.lit(f"more than 2^{TAG_BITS} different texts of one id"))
+    moved = F.when(group == 0, F.col("doc")).when(F.col("doc") == NO_ID, F.col("doc") - group).otherwise(too_many.cast("long"))
+    numbers = work_table(numbers.select(F.col("doc").alias("of"), F.col("hash").alias("h"), moved.alias("moved"), within.alias("tag")))
+    found = rows.join(numbers, (F.col("doc") == F.col("of")) & (F.col("hash") == F.col("h")), "left")
+    return found.select("id", F.coalesce("moved", "doc").alias("doc"), F.coalesce("tag", F.lit(0).cast("long")).alias("tag"), "text")
+
+
+def repeated(rows: DataFrame) -> DataFrame:
     """(doc, tag, spans): word spans of every document that has any repeated earlier.
 
-    Order is by integer id, then place; null ids come last. Rows with the same id are
-    told apart by their text; a window at the same id and place isn't earlier.
+    `rows` come from `numbered_texts`. Order is by integer id, then place; null ids come
+    last. A window at the same id and place isn't earlier.
     """
-    tag = F.xxhash64(text_col).bitwiseAND((1 << TAG_BITS) - 1)
-    rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), tag.alias("tag"), F.col(text_col).alias("text"))
     none = np.zeros(0, np.uint64)
-    sampled = spread(rows.where(F.pmod(F.hash("doc"), F.lit(HOT_SAMPLE)) == 0), none).where(F.octet_length("windows") > STOP_BYTES)
+    sampled = spread(rows.select("doc", "tag", "text").where(F.pmod(F.hash("doc"), F.lit(HOT_SAMPLE)) == 0), none).where(F.octet_length("windows") > STOP_BYTES)
     counts = work_table(sampled.groupBy("key").count().where("count > 8"))
     total = counts.agg(F.sum("count")).first()[0] or 0
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # At most HOT_SHARE * tasks keys can hold so large a share of what was counted.
     most = counts.where(F.col("count") > total / (HOT_SHARE * tasks)).select("key").limit(HOT_SHARE * tasks).collect()
     hot = np.array([r.key for r in most], np.int64).view(np.uint64)
-    ordered = spread(rows, hot).repartition("key").sortWithinPartitions("key", "doc", "place")
+    ordered = spread(rows.select("doc", "tag", "text"), hot).repartition("key").sortWithinPartitions("key", "doc", "place")
     spans = settle(ordered).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return spans
 
@@ -231,13 +256,11 @@ def repeated(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
 def remove(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept) of every row; `kept` is the rest, joined by one space.
 
-    Null texts have no words. Repeated rows each stay and lose the same words.
+    Null texts have no words. Repeated rows each stay and lose the same words. Texts of
+    one id are told apart whatever they are; ids must be integers (TypeError otherwise).
     """
-    found = repeated(df, id_col=id_col, text_col=text_col)
-    tag = F.xxhash64(text_col).bitwiseAND((1 << TAG_BITS) - 1)
-    rows = df.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), tag.alias("tag"), F.col(text_col).alias("text")
-    )
+    rows = numbered_texts(df, id_col, text_col)
+    found = repeated(rows)
     joined = rows.join(found, ["doc", "tag"], "left").select("id", "text", "spans")
 
     def step():
