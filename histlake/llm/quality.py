@@ -133,11 +133,15 @@ def cutoffs(measured: DataFrame, labels: DataFrame, *, id_col: str, label_col: s
     """Cutoff by (signal, stratum), where any is safe, from all labelled rows.
 
     `labels` has 1 for good texts; rows without a label and base failures don't count.
-    An id with several labels is good if one of them says so. The counts are taken per
-    signal, stratum and grid step; only that table, of fixed size, reaches the driver.
+    An id with several labels is good if one of them says so. The bound holds for
+    independent trials, so a text counts once, however many rows have it. The counts are
+    taken per signal, stratum and grid step; only that table, of fixed size, reaches the
+    driver.
     """
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("good_id")).distinct()
     held = measured.where(~F.col("base_failed")).join(good, F.col("id") == F.col("good_id"))
+    # One row per text; its signals follow from the text.
+    held = held.select("text_hash", "stratum", *SIGNALS).dropDuplicates(["text_hash"])
     # Step of a value: how many grid cutoffs, from the loosest on, it doesn't exceed.
     steps = [
         F.struct(F.lit(name).alias("signal"), sum(((F.col(name) <= c).cast("int") for c in GRIDS[name]), F.lit(0)).alias("step"))
