@@ -97,6 +97,12 @@ def tell_apart(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.join(several, F.col("doc") == F.col("shared"), "left").select("id", "doc", tag.alias("tag"), "text")
 
 
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """A name beginning with each stem that no column of `df` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (stem + "_" * k for k in range(1, len(taken) + 2)) if n.lower() not in taken) for stem in stems]
+
+
 def texts(column: pa.Array) -> list[str]:
     """The column as strings; null counts as empty."""
     return [x or "" for x in column.to_pylist()]

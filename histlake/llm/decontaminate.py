@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlake.llm.common import Batches, map_batches, map_slices, utf8, work_table
+from histlake.llm.common import Batches, map_batches, map_slices, unused, utf8, work_table
 
 WINDOW = 13
 SHARD_WORDS = 400_000
@@ -319,8 +319,12 @@ def merge_spans():
 
 
 def clean_rows(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that are not contaminated, unchanged."""
+    """The rows of `df` that are not contaminated, unchanged, whatever their columns' names.
+
+    Repeated rows go or stay together; rows without id are told apart by their text.
+    """
     found = contamination(df, benchmark, id_col=id_col, text_col=text_col)
-    bad = work_table(found.where("contaminated").select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).distinct())
-    same = df[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(df[text_col]) == F.col("__hash"))
+    bad_id, bad_hash = unused(df, "bad_id", "bad_hash")
+    bad = work_table(found.where("contaminated").select(F.col(id_col).alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct())
+    same = df[id_col].eqNullSafe(F.col(bad_id)) & (F.xxhash64(df[text_col]) == F.col(bad_hash))
     return df.join(bad, same, "left_anti")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histlake.llm.common import Batches, connected_components, map_batches, map_slices, utf8, work_table
+from histlake.llm.common import Batches, connected_components, map_batches, map_slices, unused, utf8, work_table
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
@@ -243,18 +243,23 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 
 def one_per_group(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `df` that stay: of each group that with the smallest id, once."""
+    """The rows of `df` that stay, unchanged: of each group that with the smallest id, once.
+
+    A group without any id keeps the row with the smallest text hash; of repeated rows
+    one stays. Columns may have any names.
+    """
     found = work_table(near_duplicates(df, id_col=id_col, text_col=text_col))
     mine = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
     # Several texts under the smallest id: one of them stays.
     keep = mine.groupBy("group").agg(F.min(F.struct("text_hash")).alias("first"), F.count("*").alias("rows"))
     stay = mine.join(keep, "group").where("text_hash = first.text_hash")
-    stay = work_table(stay.groupBy(F.col(id_col).alias("stay_id"), F.col("text_hash").alias("stay_hash")).agg(F.max("rows").alias("stay_rows")))
-    rows = df.withColumn("__hash", F.xxhash64(text_col)).join(
-        stay, F.col(id_col).eqNullSafe(F.col("stay_id")) & (F.col("__hash") == F.col("stay_hash"))
+    own, stay_id, stay_hash, stay_rows = unused(df, "hash", "stay_id", "stay_hash", "stay_rows")
+    stay = work_table(stay.groupBy(F.col(id_col).alias(stay_id), F.col("text_hash").alias(stay_hash)).agg(F.max("rows").alias(stay_rows)))
+    rows = df.withColumn(own, F.xxhash64(text_col)).join(
+        stay, F.col(id_col).eqNullSafe(F.col(stay_id)) & (F.col(own) == F.col(stay_hash))
     )
-    if stay.where("stay_rows > 1").isEmpty():
+    if stay.where(F.col(stay_rows) > 1).isEmpty():
         return rows.select(*df.columns)
-    alone = rows.where("stay_rows = 1")
-    repeated = rows.where("stay_rows > 1").dropDuplicates(["stay_id", "stay_hash"])
+    alone = rows.where(F.col(stay_rows) == 1)
+    repeated = rows.where(F.col(stay_rows) > 1).dropDuplicates([stay_id, stay_hash])
     return alone.unionByName(repeated).select(*df.columns)

@@ -15,7 +15,8 @@ def awkward(spark):
     rows = [(k, t, "en", None, 1, "a", 2, [1], 0.5, True) for k, t in enumerate(texts)]
     rows += [(None, "no id", None, "s", None, None, None, None, None, None), rows[3], rows[3], rows[6]]
     names = "doc_id long, text string, lang string, source string, n_chars long, id string, fp long, spans array<int>, score double, kept boolean"
-    return spark.createDataFrame(rows, names).repartition(3)
+    own = ("stay_id", "stay_hash", "stay_rows", "stay_id_", "__id", "__hash", "hash_", "bad_id_", "group", "component_id", "text_hash", "first", "rows")
+    return spark.createDataFrame(rows, names).selectExpr("*", *(f"{k} as {c}" for k, c in enumerate(own))).repartition(3)
 
 
 @pytest.fixture(scope="session")

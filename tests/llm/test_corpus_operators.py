@@ -465,6 +465,38 @@ def test_removal_equals_brute_force_where_ids_have_several_texts(spark):
     assert sorted(map(tuple, found.collect())) == plain_removal(docs)
 
 
+def equal_hash_bits(rng, bits=23):
+    """Two texts of 25 words whose 64-bit hashes share their lowest bits."""
+    seen = {}
+    while True:
+        text = " ".join(f"w{rng.randrange(10**9)}" for _ in range(25))
+        h = xxhash.xxh64_intdigest(text.encode(), 42) % (1 << bits)
+        if h in seen:
+            return seen[h], text
+        seen[h] = text
+
+
+def test_texts_of_one_id_with_alike_hashes_keep_their_own_words(spark):
+    one, two = equal_hash_bits(random.Random(11))
+    for shared in (7, None):
+        docs = [(1, one), (shared, one), (shared, two), (9, two + " end")]
+        df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+        lost = {(r.doc_id, r.kept): r.n_removed for r in substring.remove(df).collect()}
+        assert lost[1, one] == 0 and lost[shared, ""] == 25 and lost[shared, two if shared else ""] == (0 if shared else 25)
+        assert lost.get((9, "end"), 0) == (25 if shared else 0)
+
+
+def test_texts_of_one_id_are_numbered_without_gaps(spark):
+    docs = [(1, "a"), (2, "b"), (2, "c"), (2, "c"), (2, None), (None, "d"), (None, "e"), (None, "d")]
+    found = substring.numbered_texts(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), "doc_id", "text").collect()
+    assert len(found) == len(docs)
+    assert {(r.doc, r.tag) for r in found if r.doc == 1} == {(1, 0)}
+    assert {r.tag for r in found if r.doc == 2} == {0, 1, 2} and len({r.tag for r in found if r.text == "c"}) == 1
+    assert {r.tag for r in found if r.id is None} == {0, 1}
+    with pytest.raises(TypeError):
+        substring.remove(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
 def test_windows_are_told_apart_by_more_than_40_bits():
     words, starts = substring.word_hashes(" ".join(f"w{k}" for k in range(20)).encode())
     assert len(starts) == 20
@@ -515,6 +547,20 @@ def test_binomial_bound_is_exact():
     assert not quality.upper_bound_holds(0, 0, 0.1, 0.1)
 
 
+def test_copies_of_a_text_are_one_trial(spark):
+    """A good text that a cutoff would reject counts once, repeated or not; so does one
+    that would make a small sample look large."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(120)) for _ in range(1800)]
+    odd = " ".join(f"w{k}##" for k in range(120))
+    found = []
+    for more in ([], [texts[0]] * 500, [odd] * 500):
+        all_texts = [*texts, odd, *more]
+        marks = spark.createDataFrame([(k, 1) for k in range(len(all_texts))], "doc_id long, quality int")
+        found.append(quality.cutoffs(quality.signals(frame(spark, all_texts)), marks, id_col="doc_id", label_col="quality"))
+    assert found[0] == found[1] == found[2] and found[0]
+
+
 def test_cutoffs_limit_false_rejection(spark):
     rng = random.Random(6)
     texts, labels = [], []
@@ -630,6 +676,22 @@ def test_awkward_rows_and_empty_tables(spark, awkward, nothing):
             assert out.columns == docs.columns and out.count() <= size
 
 
+def test_rows_that_stay_are_unchanged_whatever_the_columns(spark, awkward):
+    """Values, not only counts; the fixture has columns named like the operators' own."""
+    def key(r):
+        return hashlib.sha256(repr(tuple(r)).encode()).hexdigest()
+
+    rows = awkward.collect()
+    all_rows = Counter(map(key, rows))
+    bench = spark.createDataFrame([(1, "one")], "item_id long, text string")
+    clean = Counter(map(key, decontaminate.clean_rows(awkward, bench).collect()))
+    assert clean == Counter(key(r) for r in rows if not r.text or r.text != "one")
+    alone = simhash.one_per_group(awkward).collect()
+    want = plain_components({k: plain_fingerprint(t) for k, t in {(r.doc_id if r.doc_id is not None else 1 << 40): r.text for r in rows}.items()})
+    assert sorted(1 << 40 if r.doc_id is None else r.doc_id for r in alone) == sorted(k for k, low in want.items() if k == low)
+    assert not Counter(map(key, alone)) - all_rows
+
+
 def test_no_tables_no_rows_for_the_registered_url_query(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert op5_url_reputation(spark, str(tmp_path)).count() == 0
