@@ -526,4 +526,18 @@ FROM (VALUES ('dim_taxpayer'), ('dim_employer'), ('fact_tax_returns'), ('agg_dat
 GROUP BY table_name""",
         "warehouse_rebuild": with_(*FULL) + f"SELECT {FACT_COLUMNS} FROM facts",
         "folder_stream": with_(*FULL, months=24) + f"SELECT {FACT_COLUMNS} FROM facts",
+        "folder_stream_dimension": with_(*HISTORY) + f"SELECT {VERSION_COLUMNS.replace('version, ', '')} FROM versions",
+        "folder_stream_corrections": with_(LOG, VERSIONS.split("steps AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)
+        + f"""SELECT row_number() OVER (ORDER BY batch_seq, taxpayer_id, assessment_year) AS correction_id,
+       {AUDIT_COLUMNS} FROM audit""",
+        "folder_stream_metrics": with_(LOG, FLAGS) + f"""
+SELECT batch, domain, {SCORE} FROM long GROUP BY batch, domain""",
+        "folder_stream_rejects": with_(LOG) + f"""
+SELECT batch, CASE WHEN taxpayer_id IS NULL THEN 'missing key'
+            WHEN TRY_CAST(assessment_year AS INTEGER) IS NULL THEN 'unreadable period'
+            ELSE 'superseded in batch' END AS reason, {LOG_COLUMNS}
+FROM log
+QUALIFY taxpayer_id IS NULL OR TRY_CAST(assessment_year AS INTEGER) IS NULL
+  OR row_number() OVER (PARTITION BY batch_seq, taxpayer_id, TRY_CAST(assessment_year AS INTEGER)
+                        ORDER BY row_pos DESC) > 1""",
     }

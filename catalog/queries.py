@@ -86,15 +86,16 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/histlake-work/{uuid.uuid4().hex}"
 
 
-def write_batches(spark: SparkSession, sf: str, folder: str, months: int) -> None:
-    """The derived log as CSV, one folder of part files per batch.
+def write_batches(spark: SparkSession, sf: str, folder: str, months: int, since: int = 1, until: int | None = None) -> None:
+    """The derived log as CSV, one folder of part files per batch, or only the batches
+    with the numbers `since` to `until`.
 
     The first batch has the 19 base columns only; the others have all 21 in reverse
     order and one more, so that reading by position would mix up columns.
     """
     log = returns_log(spark, sf, months)
     seqs = sorted(r.batch_seq for r in log.select("batch_seq").distinct().collect())
-    for seq in seqs:
+    for seq in (s for s in seqs if since <= s <= (until or s)):
         columns = BASE_COLUMNS if seq == 1 else [*reversed(CANONICAL_COLUMNS), "batch"]
         rows = log.where(F.col("batch_seq") == seq).orderBy("row_pos").select(*columns)
         rows.write.csv(
@@ -593,6 +594,35 @@ def folder_stream(spark: SparkSession, sf: str) -> DataFrame:
     return linked_facts(warehouse)
 
 
+def streamed(spark: SparkSession, sf: str) -> Warehouse:
+    """Two runs of a stream: the first finds one batch, the second all others, which it
+    merges in one step."""
+    folder = work_folder(spark)
+    warehouse = Warehouse(spark, f"{folder}/warehouse", buckets=4)
+    warehouse.load_employers(employers(spark, sf))
+    for since, until in ((1, 1), (2, None)):
+        write_batches(spark, sf, f"{folder}/in", 6, since, until)
+        query = load_new_files(warehouse, f"{folder}/in", f"{folder}/progress", computed_at=COMPUTED_AT)
+        query.awaitTermination()
+    return warehouse
+
+
+def folder_stream_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    return dates_as_text(streamed(spark, sf).table("dim_taxpayer").select(*VERSION_COLUMNS))
+
+
+def folder_stream_corrections(spark: SparkSession, sf: str) -> DataFrame:
+    return dates_as_text(streamed(spark, sf).table("fact_corrections").select("correction_id", *AUDIT_COLUMNS))
+
+
+def folder_stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return serving.metric_listing(streamed(spark, sf).table("agg_data_quality_metrics"))
+
+
+def folder_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return streamed(spark, sf).rejected().select("batch", "reason", *CANONICAL_COLUMNS)
+
+
 def configured(query: Query) -> Query:
     """The query in a session with the library's settings."""
 
@@ -666,4 +696,8 @@ def _all() -> dict[str, Query]:
         "stored_rejects": stored_rejects,
         "replay_changes_nothing": replay_changes_nothing,
         "folder_stream": folder_stream,
+        "folder_stream_dimension": folder_stream_dimension,
+        "folder_stream_corrections": folder_stream_corrections,
+        "folder_stream_metrics": folder_stream_metrics,
+        "folder_stream_rejects": folder_stream_rejects,
     }

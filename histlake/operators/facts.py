@@ -124,6 +124,8 @@ def audit_build(
     seq: str = "batch_seq",
     record_type: str = "record_type",
     corrected_at: str = "batch_date",
+    seeds: DataFrame | None = None,
+    logged: DataFrame | None = None,
 ) -> DataFrame:
     """Values overwritten by corrections, from the whole batch log in one pass.
 
@@ -131,12 +133,18 @@ def audit_build(
     the row before it; it is logged if a measure differs, once per key and set of
     old values. Both windows partition by the key, so there is one shuffle, over at
     most one row per key and batch.
+
+    `seeds` are stored facts, older than the log and at most one per key, that the log's
+    first row of a key overwrites; what `logged` holds already isn't returned.
     """
     by_key = Window.partitionBy(*keys).orderBy(seq)
     old = [f"old_{m}" for m in measures]
+    rows = returns.select(*keys, seq, record_type, corrected_at, *measures)
+    if seeds is not None:
+        none = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in (record_type, corrected_at)]
+        rows = rows.unionByName(seeds.select(*keys, seq, *none, *measures))
     overwritten = (
-        returns.select(*keys, seq, record_type, corrected_at, *measures)
-        .withColumn("_old", F.lag(F.struct(*measures)).over(by_key))
+        rows.withColumn("_old", F.lag(F.struct(*measures)).over(by_key))
         .where(
             (F.col(record_type) == CORRECTION)
             & F.col("_old").isNotNull()
@@ -150,7 +158,17 @@ def audit_build(
         )
     )
     once = Window.partitionBy(*keys, *old).orderBy(seq)
-    return overwritten.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    found = overwritten.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
+    return _not_logged(found, logged, keys, old) if logged is not None else found
+
+
+def _not_logged(found: DataFrame, logged: DataFrame, keys: Sequence[str], old: Sequence[str]) -> DataFrame:
+    """Rows whose key and old values the log doesn't hold. Of a long log, only the
+    entries of the keys at hand take part."""
+    known = logged.join(found.select(*keys), list(keys), "left_semi").select(
+        *[F.col(c).alias(f"_{c}") for c in [*keys, *old]]
+    )
+    return found.join(known, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*keys, *old]], "left_anti")
 
 
 def audit_apply(

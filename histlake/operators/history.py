@@ -35,6 +35,8 @@ def scd2_build(
     seq: str = "batch_seq",
     record_type: str = "record_type",
     order: str | None = None,
+    seeds: DataFrame | None = None,
+    sk: str = "taxpayer_sk",
 ) -> DataFrame:
     """Every version of every key from the whole batch log.
 
@@ -53,6 +55,10 @@ def scd2_build(
     "changed" means "differs from the previous acting row". All windows share one
     partitioning, hence one shuffle; a partition holds at most three rows per batch,
     however hot the key is.
+
+    `seeds` are stored current versions, opened before any batch of the log, at most one
+    per key: each is the first row of its key, which so goes on from it. The result then
+    has the surrogate key `sk`, null for versions that the log opens.
     """
     starts = lenient_date(F.col("filing_date")) if starts is None else starts
     batch_date = lenient_date(F.col("batch_date")) if batch_date is None else batch_date
@@ -73,7 +79,9 @@ def scd2_build(
             batch_date.alias("_batch_date"),
             seq,
             *([order] if order else []),
+            *([F.lit(None).cast(seeds.schema[sk].dataType).alias("_sk"), F.col(seq).alias("_touched")] if seeds is not None else []),
         )
+        .transform(lambda log: log.unionByName(_as_first_rows(seeds, log, key, tracked, identity, seq, sk)) if seeds is not None else log)
         .withColumn("_opener", F.row_number().over(in_batch) == 1)
         .withColumn("_first", F.col(seq) == F.min(seq).over(Window.partitionBy(key)))
         .where(F.when(F.col("_first"), F.col("_opener")).otherwise(acts))
@@ -92,10 +100,10 @@ def scd2_build(
     running = marked.select(
         "*",
         F.sum(F.col("_opens").cast("int")).over(so_far).cast("int").alias("version"),
-        F.last(F.when(F.col("_opens"), F.struct(start_date.alias("d"), F.col("_seq").alias("s"))), True)
+        F.last(F.when(F.col("_opens"), F.struct(start_date.alias("d"), F.col("_seq").alias("s"), *(["_sk"] if seeds is not None else []))), True)
         .over(so_far)
         .alias("_opening"),
-        F.last(F.when(fixes, F.struct(*identity, F.col("_seq").alias("s"))), True)
+        F.last(F.when(fixes, F.struct(*identity, F.col("_touched" if seeds is not None else "_seq").alias("s"))), True)
         .over(so_far)
         .alias("_fixed"),
         F.lead(F.struct("_opens", "_batch_date")).over(by_key).alias("_next"),
@@ -111,9 +119,25 @@ def scd2_build(
         F.col("_next").isNull().alias("is_current"),
         F.col("_opening.s").alias("opened_seq"),
         F.col("_fixed.s").alias("touched_seq"),
+        *([F.col("_opening._sk").alias(sk)] if seeds is not None else []),
     )
 
 
+def _as_first_rows(
+    seeds: DataFrame, log: DataFrame, key: str, tracked: Sequence[str], identity: Sequence[str], seq: str, sk: str
+) -> DataFrame:
+    """Stored versions in the shape of acting rows."""
+    values = {c: F.col(c) for c in (key, *tracked, *identity)} | {
+        "_seq": F.col("opened_seq"),
+        seq: F.col("opened_seq"),
+        "_kind": F.lit(0),
+        "_starts": F.col("valid_from"),
+        "_sk": F.col(sk),
+        "_touched": F.col("touched_seq"),
+    }
+    return seeds.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in log.schema])
+
+
 @dataclass(frozen=True)
 class HistoryStep:
     """Outcome of one batch: all current versions, those of them that it opened or
@@ -224,6 +248,37 @@ def scd2_apply(
     )
 
 
+def scd2_extend(
+    current: DataFrame,
+    entities: DataFrame,
+    first_seq: int,
+    last_sk: int = 0,
+    key: str = KEY,
+    sk: str = "taxpayer_sk",
+    **options,
+) -> HistoryStep:
+    """Apply several batches, all newer than what is stored, in one step.
+
+    The stored current versions of the keys that the batches bring are the first rows of
+    `scd2_build` over the batches' log, so the work doesn't grow with their number: one
+    probe of the stored versions and one shuffle of the log. `entities` has `batch_seq`
+    from `first_seq` on; `options` are those of `scd2_build`. Surrogate keys come out as
+    if the batches had been applied one after another.
+    """
+    entities = cut_lineage(entities)
+    met = cut_lineage(current.join(entities.select(key), key, "left_semi"))
+    built = cut_lineage(scd2_build(entities, key=key, sk=sk, seeds=met, **options))
+    numbered, count = number_and_count(built.where(F.col(sk).isNull()).drop(sk), ["opened_seq", key], sk, last_sk)
+    known = built.where(F.col(sk).isNotNull())
+    columns = [F.col(c).cast(current.schema[c].dataType).alias(c) for c in current.columns]
+    versions = known.select(*columns).unionByName(numbered.select(*columns))
+    closed = versions.where("NOT is_current")
+    written = versions.where(F.col("is_current") & (F.col("touched_seq") >= first_seq))
+    ended = known.where(~F.col("is_current") | (F.col("touched_seq") >= first_seq)).select(key)
+    kept = current.join(ended, key, "left_anti").select(*current.columns)
+    return HistoryStep(kept.unionByName(written), written, closed, versions, count, not closed.isEmpty())
+
+
 def asof_link(
     facts: DataFrame,
     versions: DataFrame,

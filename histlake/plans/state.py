@@ -18,7 +18,7 @@ from ..operators.facts import (
     typed_returns,
     with_unknown_member,
 )
-from ..operators.history import asof_link, scd2_apply, scd2_build
+from ..operators.history import asof_link, scd2_apply, scd2_build, scd2_extend
 from ..operators.numbering import number_and_count
 from ..schema import (
     AUDITED,
@@ -188,3 +188,43 @@ def apply_batch(
         history.closed if history.changed else None,
         logged if corrected else None,
     )
+
+
+def apply_batches(state: State, log: DataFrame, first_seq: int, order: str = "row_pos") -> Step:
+    """Advance the state by all batches of `log` in one step.
+
+    `log` holds canonical rows plus `order` and `batch_seq`; its batches are newer than
+    all that is stored and numbered from `first_seq` on, and `batch_date` is the date of
+    the batch in every row. The result equals that of `apply_batch` for one batch after
+    another, but the number of jobs doesn't depend on the number of batches.
+    """
+    history = scd2_extend(state.current, batch_entities(log, order), first_seq, state.last_taxpayer_sk, order=order)
+    returns = cut_lineage(typed_returns(batch_returns(log, order)))
+    keys = [KEY, PERIOD]
+    met = cut_lineage(state.facts.join(returns.select(*keys), keys, "left_semi").select(*keys, "batch_seq", *AUDITED))
+    logged, corrected = number_and_count(
+        audit_build(returns, seeds=met, logged=state.corrections),
+        ["batch_seq", *keys],
+        "correction_id",
+        state.last_correction_id,
+    )
+    logged = logged.select(*column_names(FACT_CORRECTIONS))
+    earlier = state.closed.join(returns.select(KEY).distinct(), KEY, "left_semi")
+    versions = history.of_batch.unionByName(earlier.select(*history.of_batch.columns))
+    linked = _facts(latest_facts(returns), versions, state.employers)
+    next_state = replace(
+        state,
+        current=history.current,
+        closed=state.closed.unionByName(history.closed),
+        facts=replace_by_key(state.facts, linked, keys),
+        corrections=state.corrections.unionByName(logged),
+        last_taxpayer_sk=state.last_taxpayer_sk + history.opened,
+        last_correction_id=state.last_correction_id + corrected,
+    )
+    return Step(
+        next_state,
+        history.written,
+        linked,
+        history.closed if history.changed else None,
+        logged if corrected else None,
+    )

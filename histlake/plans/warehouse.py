@@ -19,10 +19,10 @@ from ..operators.facts import superseded_members, with_unknown_member
 from ..operators.quality import apply_rules, latest_per_group, latest_quality, score
 from ..schema import BATCH_LOG, CANONICAL_COLUMNS, KEY, PERIOD, REJECTS, TABLES, column_names, public_columns
 from ..session import cut_lineage, work_tables
-from ..sources.batches import first_date, list_batches, read_batch, select_batches
+from ..sources.batches import BatchFile, drift, first_date, list_batches, read_batch, read_headers, read_log, select_batches
 from ..sources.snapshots import Snapshots, with_parts
 from . import serving
-from .state import State, apply_batch, rebuild
+from .state import State, Step, apply_batch, apply_batches, rebuild
 
 FIRST_YEAR, LAST_YEAR = 1900, 2100
 
@@ -167,6 +167,117 @@ class Warehouse:
         with work_tables(self.spark):
             return self._load_batch(rows, batch, computed_at or datetime.now(timezone.utc))
 
+    def load_files(self, files: Sequence[BatchFile], computed_at: datetime | None = None) -> list[LoadReport]:
+        """Load batches in the given order: those stored before are replayed one by one,
+        the new ones are read, scored and merged in one step."""
+        stored = {r.batch for r in self.batch_log().select("batch").collect()}  # one row per batch
+        new = [f for f in files if f.batch not in stored]
+        if len(new) < 2:
+            return [self.load_file(f.path, f.batch, computed_at) for f in files]
+        reports = {f.batch: self.load_file(f.path, f.batch, computed_at) for f in files if f.batch in stored}
+        headers = read_headers(self.spark, new)
+        log = read_log(self.spark, new, headers=headers)
+        for f, header, report in zip(new, headers, self.load_batches(log, [f.batch for f in new], computed_at)):
+            added, unexpected = drift(header.names)
+            reports[f.batch] = replace(report, added=tuple(added), unexpected=tuple(unexpected))
+        return [reports[f.batch] for f in files]
+
+    def load_batches(
+        self, log: DataFrame, names: Sequence[str], computed_at: datetime | None = None
+    ) -> list[LoadReport]:
+        """Validate, score and load several batches that are not stored yet in one step.
+
+        `log` holds canonical rows with `batch_seq` (1, 2, ... as in `names`), `row_pos`,
+        and the date of the batch in every row. All batches become visible at once.
+        """
+        with work_tables(self.spark):
+            return self._load_batches(log, list(names), computed_at or datetime.now(timezone.utc))
+
+    def _load_batches(self, log: DataFrame, names: list[str], computed_at: datetime) -> list[LoadReport]:
+        version, listing = self._open()
+        before = copy.deepcopy(listing)
+        history = self.store.read(listing, "batch_log", BATCH_LOG).collect()  # one row per batch
+        repeated = set(names) & {r.batch for r in history}
+        if repeated or len(set(names)) < len(names):
+            raise ValueError(f"batches must be new and different: {sorted(repeated) or names}")
+        last = max([r.batch_seq for r in history], default=0)
+        numbered = log.select(*CANONICAL_COLUMNS, "row_pos", (F.col("batch_seq") + F.lit(last)).cast("int").alias("batch_seq"))
+        validated = cut_lineage(apply_rules(numbered, self.rules))
+        # One row per batch; the partitions are sets bounded by the layout.
+        usable = loadable()
+        facts = {
+            r.batch_seq: r
+            for r in validated.groupBy("batch_seq")
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                lenient_date(first_date()).alias("day"),
+                F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
+                F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
+            )
+            .collect()
+        }
+        parts = sorted({p for r in facts.values() for p in r.parts})
+        buckets = sorted({b for r in facts.values() for b in r.buckets})
+        step = apply_batches(self._state(before, buckets, parts, history), validated, last + 1)
+
+        seqs = {last + i: name for i, name in enumerate(names, 1)}
+        scores: dict[int, list] = {k: [] for k in seqs}
+        for r in score(validated, by=["batch_seq"]).collect():  # one row per batch and domain
+            scores[r.batch_seq].append((r.domain, r.score, r.passing_count, r.total_count))
+        for k in seqs:
+            scores[k] = scores[k] or [(r.domain, r.score, r.passing_count, r.total_count) for r in score(validated.limit(0)).collect()]
+        metrics = self.spark.createDataFrame(
+            [(seqs[k], *row, computed_at, k) for k, rows in scores.items() for row in rows], TABLES["agg_data_quality_metrics"]
+        ).withColumn("part", F.col("batch_seq"))
+        of = self.spark.createDataFrame(list(seqs.items()), "part int, batch string")
+        refused = rejects(validated, "row_pos").join(F.broadcast(of), F.col("batch_seq") == F.col("part"))
+        refused = refused.select("batch", "reason", _place(), *CANONICAL_COLUMNS, "part")
+        entries = [tuple(r) for r in history]
+        for k, name in seqs.items():
+            r = facts.get(k)
+            entries.append((name, k, r and r.day, r.n if r else 0, step.state.last_taxpayer_sk, step.state.last_correction_id))
+        by_seq = {str(k): name for k, name in seqs.items()}
+        self._store_step(
+            listing,
+            step,
+            version + 1,
+            sum(r.n for r in facts.values()),
+            [
+                self._split("agg_data_quality_metrics", metrics, "part", "", [], by_seq),
+                self._split("rejects", refused, "part", "", [], by_seq),
+                self._whole(
+                    "batch_log", self.spark.createDataFrame(entries, BATCH_LOG).coalesce(1), "all", replace=True
+                ),
+            ],
+        )
+        return [LoadReport(name, k, facts[k].n if k in facts else 0, {s[0]: s[1] for s in scores[k]}) for k, name in seqs.items()]
+
+    def _state(self, listing: dict, buckets: Sequence[int], parts: Sequence[int], history: Sequence) -> State:
+        """What a load can meet: the stored partitions its rows fall into."""
+        return State(
+            self._rows(listing, CURRENT, buckets),
+            self._rows(listing, CLOSED, buckets),
+            self.store.read(listing, "dim_employer", TABLES["dim_employer"]),
+            self._rows(listing, FACTS, parts),
+            self._rows(listing, AUDIT, parts),
+            max([r.last_taxpayer_sk for r in history], default=0),
+            max([r.last_correction_id for r in history], default=0),
+        )
+
+    def _store_step(self, listing: dict, step: Step, version: int, rows: int, more: Sequence[Write]) -> None:
+        """Write what a step changed as deltas, and the rest, and publish."""
+        writes = [self._delta(CURRENT, step.versions, version), self._delta(FACTS, step.facts, version), *more]
+        if step.closed:
+            writes.append(self._delta(CLOSED, step.closed, version))
+        if step.corrections:
+            writes.append(self._delta(AUDIT, step.corrections, version))
+        self._write(listing, writes)
+        for area in AREAS:
+            # The rows loaded bound those of each delta.
+            _add_rows(listing, f"{area.table}/{area.deltas}", rows)
+        self._compact(listing)
+        self._publish(version, listing)
+
     def _load_batch(self, rows: DataFrame, batch: str, computed_at: datetime) -> LoadReport:
         version, listing = self._open()
         before = copy.deepcopy(listing)
@@ -185,16 +296,7 @@ class Warehouse:
             F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
             F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
         ).first()
-        parts, buckets = facts.parts, facts.buckets
-        state = State(
-            self._rows(before, CURRENT, buckets),
-            self._rows(before, CLOSED, buckets),
-            self.store.read(before, "dim_employer", TABLES["dim_employer"]),
-            self._rows(before, FACTS, parts),
-            self._rows(before, AUDIT, parts),
-            max([r.last_taxpayer_sk for r in history.values()], default=0),
-            max([r.last_correction_id for r in history.values()], default=0),
-        )
+        state = self._state(before, facts.buckets, facts.parts, list(history.values()))
         day = F.lit(facts.day).cast("date")
         step = apply_batch(state, validated, seq, day)
 
@@ -216,33 +318,21 @@ class Warehouse:
             step.state.last_correction_id,
         )
         entries = [tuple(r) for r in history.values() if r.batch != batch] + [entry]
-        writes = [
-            self._delta(CURRENT, step.versions, version + 1),
-            self._delta(FACTS, step.facts, version + 1),
+        more = [
             self._whole("agg_data_quality_metrics", metrics, batch, replace=True),
             self._whole("rejects", refused, batch, replace=True),
             self._whole(
                 "batch_log", self.spark.createDataFrame(entries, BATCH_LOG).coalesce(1), "all", replace=True
             ),
         ]
-        if step.closed:
-            writes.append(self._delta(CLOSED, step.closed, version + 1))
-        if step.corrections:
-            writes.append(self._delta(AUDIT, step.corrections, version + 1))
-        self._write(listing, writes)
-        for area in AREAS:
-            # The batch's rows bound those of each of its deltas.
-            _add_rows(listing, f"{area.table}/{area.deltas}", facts.n)
-        self._compact(listing)
-        self._publish(version + 1, listing)
+        self._store_step(listing, step, version + 1, facts.n, more)
         return LoadReport(batch, seq, facts.n, {r.domain: r.score for r in scores})
 
     def backfill(
         self, folder: str, wanted: str = "all", computed_at: datetime | None = None
     ) -> list[LoadReport]:
-        """Load the batch files of a folder one after another, in natural name order."""
-        files = select_batches(list_batches(self.spark, folder), wanted)
-        return [self.load_file(f.path, f.batch, computed_at) for f in files]
+        """Load the batch files of a folder, in natural name order; see `load_files`."""
+        return self.load_files(select_batches(list_batches(self.spark, folder), wanted), computed_at)
 
     def compact(self) -> None:
         """Fold all deltas into new bases now."""

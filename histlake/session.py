@@ -86,6 +86,11 @@ def _file_system(spark: SparkSession, name: str):
     return _path(spark, name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority."""
+    return _file_system(spark, path).makeQualified(_path(spark, path)).toString()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder if it is there."""
     _file_system(spark, path).delete(_path(spark, path), True)

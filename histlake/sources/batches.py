@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import CANONICAL_COLUMNS, NEW
+from ..session import qualified
 
 # File naming of the daily batches.
 FILE_PATTERN = "individual_tax_returns_*.csv"
@@ -127,8 +128,14 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    """Every field as text, by header; only the empty field is null.
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool | None = None,
+    names: Sequence[str] | None = None,
+) -> DataFrame:
+    """Every field as text, by header; only the empty field is null. Several paths must
+    have one header, `names` if it is known.
 
     Column `row_pos` orders rows as in the file: start of the split, then position
     within it. A file whose quoted fields span lines has to be read by one task; all
@@ -136,7 +143,8 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool | None = None) ->
     """
     if multi_line is None:
         multi_line = spans_lines(spark, path)
-    names = header_names(spark, path)
+    if names is None:
+        names = header_names(spark, path)
     # Spark can't tell names apart that differ in case only, so such files are read by
     # position; all others are checked against their header.
     clear = len({n.lower() for n in names}) == len(names)
@@ -202,19 +210,97 @@ def read_batch(
     )
 
 
+@dataclass(frozen=True)
+class Header:
+    """First line of a batch as column names, and whether quoted fields span lines."""
+
+    names: tuple[str, ...]
+    multi_line: bool
+
+
+def _one_slash(path: Column) -> Column:
+    return F.regexp_replace(path, "^(file:)//(?=/)", "$1")
+
+
+def _with_place(rows: DataFrame, files: Sequence[BatchFile], path: Column) -> DataFrame:
+    """Add `place`, that of the batch in `files` which a row's file is or lies in.
+
+    `files` was listed on the driver, one entry per batch, so sending it to the tasks
+    stays small.
+    """
+    spark = rows.sparkSession
+    known = spark.createDataFrame([(qualified(spark, f.path), i) for i, f in enumerate(files)], "_of string, _place int")
+    known = F.broadcast(known.select(_one_slash(F.col("_of")).alias("_of"), "_place"))
+    # Special characters come encoded in the paths of rows.
+    found = rows.withColumn("_path", _one_slash(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))))
+    found = found.withColumn("_folder", F.regexp_replace("_path", "/[^/]*$", ""))
+    own, folder = known.withColumnRenamed("_place", "_own"), known.withColumnRenamed("_of", "_in")
+    joined = found.join(own, F.col("_path") == F.col("_of"), "left").join(folder, F.col("_folder") == F.col("_in"), "left")
+    return joined.select(*rows.columns, F.coalesce("_own", "_place").alias("place"))
+
+
+def read_headers(spark: SparkSession, files: Sequence[BatchFile], multi_line: bool | None = None) -> list[Header]:
+    """Headers of all batches by one job; one row per batch reaches the driver.
+
+    The job reads all lines, as finding line breaks in quoted fields needs that anyway.
+    A batch without any line has no columns.
+    """
+    if not files:
+        return []
+    text = spark.read.text([f.path for f in files]).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    lines = _with_place(text, files, F.col("file"))
+    quoted = F.contains("value", F.lit('"'))
+    open_quote = quoted & F.contains(F.regexp_replace("value", _CLOSED_QUOTES, ""), F.lit('"'))
+    first = F.when(F.col("start") == 0, F.struct("file", "row"))
+    found = lines.select("place", "value", first.alias("at"), open_quote.alias("open")).groupBy("place")
+    rows = {r.place: r for r in found.agg(F.min_by("value", "at").alias("line"), F.max("open").alias("open")).collect()}
+    out = []
+    for k in range(len(files)):
+        line = rows[k].line if k in rows else None
+        names = next(csv.reader([line.removeprefix("\ufeff")]), []) if line is not None else []
+        out.append(Header(tuple(names), rows[k].open if multi_line is None and k in rows else bool(multi_line)))
+    return out
+
+
+def drift(names: Sequence[str], canonical: Sequence[str] = CANONICAL_COLUMNS) -> tuple[list[str], list[str]]:
+    """Canonical columns that a header lacks, and those it has too many."""
+    have = set(distinct_names(names)) if len({n.lower() for n in names}) < len(names) else set(names)
+    return [c for c in canonical if c not in have], sorted(have - set(canonical))
+
+
 def read_log(
     spark: SparkSession,
     files: Sequence[BatchFile],
     default_record_type: str = NEW,
     multi_line: bool | None = None,
+    headers: Sequence[Header] | None = None,
 ) -> DataFrame:
-    """All batches as one log with `batch`, `batch_seq` (1, 2, ...) and `row_pos`."""
-    frames = [
-        read_batch(spark, f.path, default_record_type, multi_line).rows.select(
-            "*", F.lit(f.batch).alias("batch"), F.lit(i).alias("batch_seq")
-        )
-        for i, f in enumerate(files, 1)
-    ]
+    """All batches as one log with `batch`, `batch_seq` (1, 2, ...) and `row_pos`.
+
+    Batches with the same header are read by one scan, so the plan grows with the number
+    of different headers, not of batches. `headers` are those of `files`, if known.
+    """
+    headers = read_headers(spark, files, multi_line) if headers is None else headers
+    groups: dict[Header, list[BatchFile]] = {}
+    for f, h in zip(files, headers):
+        if h.names:
+            groups.setdefault(h, []).append(f)
+    seqs = {f: i for i, f in enumerate(files, 1)}
+    frames = []
+    for header, members in groups.items():
+        read = read_csv(spark, [f.path for f in members], header.multi_line, header.names)
+        rows = align(read, defaults={"record_type": default_record_type}, keep=["row_pos"]).rows
+        batches = spark.createDataFrame([(i, f.batch, seqs[f]) for i, f in enumerate(members)], "_place int, batch string, batch_seq int")
+        found = _with_place(rows, members, F.col("row_pos.file"))
+        frames.append(found.join(F.broadcast(batches), F.col("place") == F.col("_place")).drop("place", "_place"))
+    if not frames:
+        empty = ", ".join(f"{c} string" for c in CANONICAL_COLUMNS)
+        return spark.createDataFrame([], f"{empty}, row_pos struct<file:string,start:bigint,row:bigint>, batch string, batch_seq int")
     return with_batch_dates(reduce(DataFrame.unionByName, frames))
 
 

@@ -24,8 +24,9 @@ def load_new_files(
     The stream carries file names only: batches have different headers, and a
     streaming CSV would read all of them by position under one schema. The file
     content is not read by the stream, because the column holding it is pruned.
-    Batches of a micro-batch are loaded in natural name order. A micro-batch repeated
-    after a failure, or a further part file of a known batch, replays the whole batch.
+    The new batches of a micro-batch are merged in one step, in natural name order. A
+    micro-batch repeated after a failure, or a further part file of a known batch,
+    replays the whole batch.
     """
     spark = warehouse.spark
     names = (
@@ -37,8 +38,7 @@ def load_new_files(
     )
 
     def load(files: DataFrame, _epoch: int) -> None:
-        for f in ordered_batches(files, pattern, prefix):
-            warehouse.load_file(f.path, f.batch, computed_at)
+        warehouse.load_files(ordered_batches(files, pattern, prefix), computed_at)
 
     return (
         names.writeStream.foreachBatch(load)

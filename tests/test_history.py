@@ -11,6 +11,7 @@ from histlake.operators.dedupe import rejects
 from histlake.operators.history import asof_link
 from histlake.plans.state import (
     apply_batch,
+    apply_batches,
     build_corrections,
     build_facts,
     build_versions,
@@ -123,6 +124,33 @@ def test_batch_by_batch_and_replay(spark):
     check(state)
 
 
+@pytest.mark.parametrize("seed, alone", [(3, 0), (4, 1), (5, 2), (8, 3)])
+def test_several_batches_in_one_step(spark, seed, alone):
+    """The first batches one by one, then all others in one step: tables and keys are
+    those of loading every batch by itself."""
+    batches = random_batches(seed, keys=40, batches=6)
+    expected = RowByRow({"E1", "E2"})
+    for day, batch in batches:
+        expected.load(batch, day)
+    state = empty_state(spark, employer_frame(spark))
+    for seq, (day, batch) in enumerate(batches[:alone], 1):
+        state = saved(apply_batch(state, frame(spark, batch), seq, day).state)
+    log = log_of(spark, batches).where(F.col("batch_seq") > alone)
+    step = apply_batches(state, cut_lineage(log), alone + 1)
+    state = saved(step.state)
+    versions, facts = with_version_numbers(state)
+    assert rows(versions, VERSIONS) == as_text(expected.version_rows())
+    assert rows(facts, FACTS) == as_text(expected.fact_rows())
+    assert rows(state.corrections, AUDIT) == as_text(expected.audit_rows())
+    n, logged = len(expected.version_rows()), len(expected.audit_rows())
+    assert sorted(r[0] for r in versions.select("taxpayer_sk").collect()) == list(range(1, n + 1))
+    assert sorted(r[0] for r in state.corrections.select("correction_id").collect()) == list(range(1, logged + 1))
+    assert (state.last_taxpayer_sk, state.last_correction_id) == (n, logged)
+    ahead = rebuild(log_of(spark, batches), employer_frame(spark)).versions
+    keys = ["taxpayer_sk", "taxpayer_id", "opened_seq", "touched_seq"]
+    assert rows(versions, keys) == rows(ahead, keys)
+
+
 def test_every_row_is_loaded_or_rejected(spark, scenario):
     batches, _ = scenario
     log = log_of(spark, batches)

@@ -11,6 +11,7 @@ from histlake.operators.history import asof_link
 from histlake.operators.numbering import number_rows
 from histlake.plans import serving
 from histlake.plans.state import build_versions
+from histlake.plans.warehouse import Warehouse
 from histlake.schema import KEY
 from histlake.session import cut_lineage
 
@@ -125,3 +126,25 @@ def test_numbers_are_dense_and_ordered(spark):
     got = number_rows(df, ["k"], "n", 50).orderBy("k").collect()
     assert [r.n for r in got] == list(range(51, 1051))
     assert number_rows(df.limit(0), ["k"], "n").count() == 0
+
+
+def test_jobs_do_not_depend_on_the_number_of_batches(spark, tmp_path):
+    """Three batches or nine: one step runs the same jobs."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        log = cut_lineage(
+            frame(spark, [r for b in range(1, n + 1) for r in returns({"taxpayer_id": f"P{b}", "batch": f"day{b}", "batch_seq": b}, {"occupation": f"O{b}", "record_type": "update", "batch": f"day{b}", "batch_seq": b, "row_pos": 9})])
+        )
+        w = Warehouse(spark, f"{tmp_path}/{n}", buckets=2)
+        spark.sparkContext.setJobGroup(f"step-{n}", "several batches")
+        try:
+            reports = w.load_batches(log, [f"day{b}" for b in range(1, n + 1)])
+        finally:
+            spark.sparkContext.setJobGroup("other", "other")
+        assert [r.batch_seq for r in reports] == list(range(1, n + 1)) and w.batch_log().count() == n
+        assert w.table("dim_taxpayer").where("taxpayer_id = 'P1'").count() == n
+        return len(tracker.getJobIdsForGroup(f"step-{n}"))
+
+    few, many = jobs(3), jobs(9)
+    assert 0 < many <= few + 6, (few, many)

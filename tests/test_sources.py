@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import csv
 import json
 
 import pytest
@@ -7,12 +8,15 @@ import pytest
 from histlake.operators.facts import superseded_members, with_unknown_member
 from histlake.schema import BASE_COLUMNS, CANONICAL_COLUMNS
 from histlake.sources.batches import (
+    BatchFile,
     align,
     batch_name,
+    drift,
     list_batches,
     natural_order,
     read_batch,
     read_csv,
+    read_headers,
     read_log,
     select_batches,
     spans_lines,
@@ -205,3 +209,44 @@ def test_last_record_of_an_employer_is_kept_and_others_are_listed(spark, tmp_pat
     parsed = parse_employers(read_json_array(spark, str(path)), keep_pos=True)
     assert {r.employer_id: r.company_name for r in with_unknown_member(parsed).collect()}["E1"] == "B"
     assert sorted(r.company_name for r in superseded_members(parsed).collect()) == ["A", "C"]
+
+
+def test_batches_with_one_header_are_read_by_one_scan(spark, tmp_path):
+    """Twelve batches, three headers, odd names, a folder of part files and an empty file."""
+    columns = (BASE_COLUMNS, CANONICAL_COLUMNS, [*reversed(CANONICAL_COLUMNS), "place", "batch_seq"])
+    for n in range(1, 13):
+        name = f"individual_tax_returns_day{n}{' 100%+x' if n == 5 else ''}.csv"
+        rows = [{**CLEAN, "taxpayer_id": f"P{n}-{k}", "batch_date": f"2024-01-{n:02}", "place": "x", "batch_seq": "7"} for k in range(3)]
+        if n == 7:
+            (tmp_path / name).mkdir()
+            write_csv(tmp_path / name / "part-0.csv", columns[n % 3], rows[:1])
+            write_csv(tmp_path / name / "part-1.csv", columns[n % 3], rows[1:])
+        else:
+            write_csv(tmp_path / name, columns[n % 3], rows)
+    (tmp_path / "individual_tax_returns_day13.csv").write_text("")
+    files = list_batches(spark, str(tmp_path))
+    assert len(files) == 12  # an empty file is no batch, unless it is named
+    files.append(BatchFile(f"{tmp_path}/individual_tax_returns_day13.csv", "day13"))
+    log = read_log(spark, files)
+    assert log._jdf.queryExecution().optimizedPlan().toString().count("Relation [") <= 2 * 3
+    found = sorted((r.batch_seq, r.batch, r.taxpayer_id, r.occupation, r.batch_date) for r in log.collect())
+    want = sorted(
+        (i, f.batch, r.taxpayer_id, r.occupation, r.batch_date if i % 3 else None)
+        for i, f in enumerate(files[:12], 1)
+        for r in read_batch(spark, f.path).rows.collect()
+    )
+    assert found == want and len(found) == 36
+    headers = read_headers(spark, files)
+    assert [drift(h.names) for h in headers[:3]] == [([], []), ([], ["batch_seq", "place"]), (["batch_date", "record_type"], [])]
+    assert headers[12].names == ()
+    plain = [BatchFile(f.path.removeprefix("file:"), f.batch) for f in files]
+    assert read_log(spark, plain, headers=headers).count() == 36
+
+
+def test_only_files_whose_quotes_span_lines_are_not_split(spark, tmp_path):
+    for n, text in ((1, "a"), (2, "two\nlines"), (3, 'with "quotes"')):
+        with open(tmp_path / f"individual_tax_returns_day{n}.csv", "w", newline="") as f:
+            csv.writer(f, lineterminator="\n").writerows([CANONICAL_COLUMNS, [{**CLEAN, "full_name": text}[c] for c in CANONICAL_COLUMNS]])
+    files = list_batches(spark, str(tmp_path))
+    assert [h.multi_line for h in read_headers(spark, files)] == [False, True, False]
+    assert {r.full_name for r in read_log(spark, files).collect()} == {"a", "two\nlines", 'with "quotes"'}
