@@ -279,6 +279,10 @@ def scd2_extend(
     return HistoryStep(kept.unionByName(written), written, closed, versions, count, not closed.isEmpty())
 
 
+HOT_FACTS = 1_000_000  # facts of one key that a task takes when `many_per_key` is set
+NO_KEY_PARTS = 4096  # facts without key link to nothing and are spread
+
+
 def asof_link(
     facts: DataFrame,
     versions: DataFrame,
@@ -294,41 +298,88 @@ def asof_link(
     A version counts if its half-open interval `[valid_from, valid_to)` holds the
     date. Only versions opened by the fact's own batch or an earlier one are seen,
     and the last of those is open-ended and "current": a fact is linked when it is
-    loaded and a later version does not move it.
-
-    The versions of a key, at most one per batch, are folded into one array first,
-    so this is a single equi-join returning one row per fact; neither a range join nor
-    a second join for the fallback is needed. `found` optionally names a boolean
-    column that tells an as-of match from the fallback.
-
-    Set `many_per_key` if a key can hold a large share of `facts`. The folded versions
-    are then written out first, so that both join inputs come straight from a shuffle
-    and adaptive execution can split the hot key's partition.
+    loaded and a later version does not move it. Of several valid ones the last counts.
+    `found` optionally names a boolean column that tells an as-of match from the fallback.
+
+    Facts and versions are merged: both come sorted by batch, then by date, and each fact
+    takes the last version before it. So a fact costs the same however many versions its
+    key has, none of them are gathered in a row, and there is one shuffle. The intervals
+    of a key follow each other unless batches came with earlier dates than their
+    predecessors; each such step back begins a new run of intervals, in which a fact of
+    the key looks once more.
+
+    Set `many_per_key` if a key can hold a large share of `facts`. They are then written
+    out and counted by key, and a key with more than HOT_FACTS of them is dealt to
+    several tasks, each with a copy of the key's versions.
     """
-    folded = versions.groupBy(key).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    F.col("opened_seq").alias("seq"),
-                    F.col(sk).alias("sk"),
-                    F.col("valid_from").alias("lo"),
-                    F.col("valid_to").alias("hi"),
-                )
-            )
-        ).alias("_versions")
-    )
+    number = F.monotonically_increasing_id()
+    day = facts.schema[at].dataType
+    if many_per_key:
+        facts = cut_lineage(facts)
+        counts = facts.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+        # At most one row per HOT_FACTS facts.
+        hot = cut_lineage(counts.where(F.col("_key").isNotNull() & (F.col("_n") > HOT_FACTS)))
+        hot = hot.select("_key", F.ceil(F.col("_n") / HOT_FACTS).cast("int").alias("_parts"))
+    right = _interval_runs(versions, key, sk).select(
+        F.col(key).alias("_key"), F.lit(0).alias("_kind"), F.col("_version.seq").alias("_seq"),
+        F.col("_version.lo").cast(day).alias("_day"), "_version", "_run",
+    )
+    left = facts.select(
+        F.col(key).alias("_key"), F.lit(1).alias("_kind"), F.col(seq).alias("_seq"), F.col(at).alias("_day"),
+        *[F.col(c).alias(f"_fact{i}") for i, c in enumerate(facts.columns)], number.alias("_id"),
+    )
+    part = F.when(F.col("_key").isNull(), F.pmod("_id", F.lit(NO_KEY_PARTS))).otherwise(F.lit(0)).cast("int")
     if many_per_key:
-        folded = cut_lineage(folded)
-    joined = facts.join(folded, key, "left").withColumn(
-        "_seen", F.filter("_versions", lambda v: v["seq"] <= F.col(seq))
+        left = left.join(hot, "_key", "left").withColumn("_part", F.coalesce(F.pmod("_id", "_parts").cast("int"), part)).drop("_parts")
+        every = F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)
+        right = right.join(hot, "_key", "left").withColumn("_part", F.explode(every)).drop("_parts")
+    else:
+        left, right = left.withColumn("_part", part), right.withColumn("_part", F.lit(0))
+    place = ["_key", "_part"]
+    by_seq = Window.partitionBy(*place).orderBy("_seq", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = (
+        left.unionByName(right, allowMissingColumns=True)
+        .withColumn("_last", F.last("_version", True).over(by_seq))
+        .withColumn("_runs", F.max("_run").over(by_seq))
     )
-    last = F.try_element_at("_seen", F.lit(-1))
-    day = F.col(at)
-    valid = F.filter(
-        "_seen",
-        lambda v: (v["lo"] <= day)
-        & (day < F.when(v["seq"] == last["seq"], open_end()).otherwise(v["hi"])),
+    is_fact = F.col("_kind") == 1
+    # The versions that a fact sees are those before it; it looks into each of their runs.
+    spread = merged.withColumn(
+        "_run", F.explode(F.when(is_fact, F.sequence(F.lit(0), F.coalesce("_runs", F.lit(0)))).otherwise(F.array("_run")))
+    )
+    in_run = Window.partitionBy(*place, "_run").orderBy("_day", "_kind", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    proper = F.when(F.col("_version.lo") < F.col("_version.hi"), F.col("_version"))
+    looked = spread.withColumn("_match", F.last(proper, True).over(in_run)).where(is_fact)
+    earlier = (F.col("_match.seq") < F.col("_last.seq")) & (F.col("_match.lo") <= F.col("_day")) & (F.col("_day") < F.col("_match.hi"))
+    own = F.when(F.col("_last.lo") <= F.col("_day"), F.struct("_last.seq", "_last.sk")).when(earlier, F.struct("_match.seq", "_match.sk"))
+    several = F.col("_runs") > 0
+    # The copies of a fact meet in its first run.
+    copies = Window.partitionBy(*place, F.when(several, F.col("_id"))).orderBy(F.desc("_run"))
+    so_far = copies.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    linked = (
+        looked.withColumn("_own", own)
+        .withColumn("_best", F.when(several, F.max("_own").over(so_far)).otherwise(F.col("_own")))
+        .where("_run = 0")
+    )
+    extra = [F.col("_best").isNotNull().alias(found)] if found else []
+    return linked.select(
+        *[F.col(f"_fact{i}").alias(c) for i, c in enumerate(facts.columns)], F.coalesce("_best.sk", "_last.sk").alias(sk), *extra
+    )
+
+
+def _interval_runs(versions: DataFrame, key: str, sk: str) -> DataFrame:
+    """(key, _version, _run): versions, numbered by runs of intervals that follow each
+    other without overlap. Intervals that hold no date don't interrupt a run."""
+    before = Window.partitionBy(key).orderBy("opened_seq").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy(key).orderBy("opened_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    proper = F.col("_version.lo") < F.col("_version.hi")
+    rows = versions.where(F.col(key).isNotNull()).select(
+        key,
+        "opened_seq",
+        F.struct(
+            F.col("opened_seq").alias("seq"), F.col(sk).alias("sk"), F.col("valid_from").alias("lo"), F.col("valid_to").alias("hi")
+        ).alias("_version"),
     )
-    linked = joined.withColumn("_asof", F.try_element_at(valid, F.lit(-1))["sk"])
-    extra = [F.col("_asof").isNotNull().alias(found)] if found else []
-    return linked.select(*facts.columns, F.coalesce("_asof", last["sk"]).alias(sk), *extra)
+    reached = F.last(F.when(proper, F.col("_version.hi")), True).over(before)
+    back = F.coalesce(proper & (F.col("_version.lo") < reached), F.lit(False))
+    return rows.withColumn("_back", back).select(key, "_version", F.sum(F.col("_back").cast("int")).over(so_far).cast("int").alias("_run"))

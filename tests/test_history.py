@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from histlake.operators.dedupe import rejects
+from histlake.operators import history
 from histlake.operators.history import asof_link
 from histlake.plans.state import (
     apply_batch,
@@ -206,6 +208,49 @@ def test_asof_boundaries(spark):
         assert [(r.sk, r.as_of) for r in got] == [(c[3], c[4]) for c in cases]
 
 
+def plain_link(versions, day, seq):
+    """(sk, found) by the definition; `versions` are (seq, sk, lo, hi) in order."""
+    seen = [v for v in versions if v[0] <= seq]
+    if not seen:
+        return None, False
+    last = seen[-1]
+    for s, sk, lo, hi in reversed(seen):
+        hi = datetime.date(9999, 12, 31) if s == last[0] else hi
+        if day and lo and hi and lo <= day < hi:
+            return sk, True
+    return last[1], False
+
+
+@pytest.mark.parametrize("many, hot", [(False, 10**6), (True, 10**6), (True, 7)])
+def test_asof_link_equals_the_definition(spark, monkeypatch, many, hot):
+    """Dates that go back, are missing or empty, versions not seen yet, repeated facts."""
+    monkeypatch.setattr(history, "HOT_FACTS", hot)
+    rng = random.Random(hot)
+    d = datetime.date(2024, 1, 1)
+
+    def some_day():
+        return rng.choice([None, *[d + datetime.timedelta(days=rng.randint(0, 40)) for _ in range(6)]])
+
+    versions, facts = [], []
+    for k in range(40):
+        seqs = sorted(rng.sample(range(1, 40), rng.randint(1, 12)))
+        starts = [some_day() for _ in seqs]
+        if k % 2:
+            starts = sorted((x for x in starts if x), key=str) + [None] * starts.count(None)
+        for i, (s, lo) in enumerate(zip(seqs, starts)):
+            versions.append((f"k{k}", s, 100 * k + i, lo, starts[i + 1] if i + 1 < len(seqs) else datetime.date(9999, 12, 31)))
+    for i in range(1500):
+        facts.append((rng.choice([None, "nobody", "k0", "k1", *(f"k{k}" for k in range(40))]), some_day(), rng.randint(0, 41), i // 2 if i % 100 == 0 else i))
+    facts += facts[:20]
+    vf = spark.createDataFrame(versions, "k string, opened_seq int, sk int, valid_from date, valid_to date").repartition(3)
+    ff = spark.createDataFrame(facts, "k string, day date, seq int, _id int").repartition(4)
+    got = sorted(map(str, (tuple(r) for r in asof_link(ff, vf, "day", "seq", "k", "sk", "hit", many).collect())))
+    of = {}
+    for k, *v in versions:
+        of.setdefault(k, []).append(tuple(v))
+    assert got == sorted(str((*f, *plain_link(of.get(f[0], []), f[1], f[2]))) for f in facts)
+
+
 def test_correction_and_update_of_one_batch_both_act(spark):
     first = frame(spark, returns({"occupation": "Engineer"}))
     second = frame(

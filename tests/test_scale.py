@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from histlake.operators import history
 from histlake.operators.dedupe import last_per_key
 from histlake.operators.facts import lookup_or_unknown
 from histlake.operators.history import asof_link
@@ -73,7 +74,9 @@ def test_missing_keys_of_a_lookup_are_split(spark, small_splits):
     assert n == 40000 and "SortMergeJoin(skew=true)" in plan
 
 
-def test_hot_key_of_an_asof_link_is_split(spark, small_splits):
+def test_hot_key_of_an_asof_link_is_split(spark, monkeypatch):
+    """Half of the facts have one key: no task gets more than its share of them."""
+    monkeypatch.setattr(history, "HOT_FACTS", 1000)
     versions = spark.range(1000).select(
         F.col("id").cast("string").alias("k"),
         F.lit(1).alias("opened_seq"),
@@ -81,9 +84,36 @@ def test_hot_key_of_an_asof_link_is_split(spark, small_splits):
         F.lit("2024-01-01").cast("date").alias("valid_from"),
         F.lit("9999-12-31").cast("date").alias("valid_to"),
     )
-    linked = asof_link(skewed(spark), versions, "day", "seq", "k", "sk", many_per_key=True)
-    n, plan = ran(linked)
-    assert n == 40000 and "SortMergeJoin(skew=true)" in plan
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        linked = asof_link(skewed(spark), versions, "day", "seq", "k", "sk", many_per_key=True)
+        rows = linked.groupBy(F.spark_partition_id()).count().collect()
+        wrong = linked.where("NOT sk <=> CAST(k AS BIGINT)").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["count"] for r in rows) == 40000 and not wrong
+    assert max(r["count"] for r in rows) < 8000
+
+
+def test_asof_link_gathers_no_versions(spark):
+    """One shuffle for facts and versions alike, no array or join per key, and a key with
+    100,000 versions and as many facts is no problem."""
+    n = 100_000
+    day = F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int"))
+    versions = cut_lineage(
+        spark.range(n).select(
+            F.lit("k").alias("k"), F.col("id").cast("int").alias("opened_seq"), F.col("id").alias("sk"), day.alias("valid_from"),
+            F.when(F.col("id") < n - 1, F.date_add(day, 1)).otherwise(F.lit("9999-12-31").cast("date")).alias("valid_to"),
+        )
+    )
+    facts = cut_lineage(spark.range(n, numPartitions=8).select(F.lit("k").alias("k"), "id", day.alias("day"), F.lit(n).alias("seq")))
+    linked = asof_link(facts, versions, "day", "seq", "k", "sk", "hit")
+    assert linked.where("hit AND sk = id").count() == n
+    plan = plan_of(linked)
+    assert "Join" not in plan and "collect_list" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2  # the versions are ordered once by themselves
 
 
 def test_last_row_per_key_combines_before_the_shuffle(spark):
