@@ -9,22 +9,22 @@ from histlake.schema import AUDITED, CANONICAL_COLUMNS, IDENTITY, MEASURES, TRAC
 
 CLEAN = {
     "taxpayer_id": "P1",
-    "nric": "S1234567A",
+    "nric": "T7654321K",
     "full_name": "Pat Example",
     "filing_status": "Single",
     "assessment_year": "2023",
-    "filing_date": "2024-03-15",
-    "annual_income_sgd": "85000",
-    "chargeable_income_sgd": "72050",
-    "tax_payable_sgd": "8205",
-    "tax_paid_sgd": "8500",
-    "total_reliefs_sgd": "12950",
+    "filing_date": "2024-03-11",
+    "annual_income_sgd": "64300",
+    "chargeable_income_sgd": "52500",
+    "tax_payable_sgd": "4310",
+    "tax_paid_sgd": "4400",
+    "total_reliefs_sgd": "11800",
     "number_of_dependents": "0",
-    "occupation": "Engineer",
+    "occupation": "Baker",
     "residential_status": "Resident",
-    "postal_code": "119077",
-    "housing_type": "HDB 4-room",
-    "cpf_contributions_sgd": "17000",
+    "postal_code": "520123",
+    "housing_type": "Terrace",
+    "cpf_contributions_sgd": "9100",
     "foreign_income_sgd": "0",
     "employer_id": "E1",
     "batch_date": None,
@@ -161,11 +161,11 @@ def random_batches(seed: int, keys: int = 40, batches: int = 6) -> list[tuple[st
                         **CLEAN,
                         "taxpayer_id": rng.choice([f"P{k}"] * 15 + [None]),
                         "full_name": rng.choice(["A", "B"]),
-                        "nric": rng.choice(["S1234567A", None]),
+                        "nric": rng.choice(["T7654321K", None]),
                         "assessment_year": rng.choice(["2023", "2023", "2022", "x"]),
                         "filing_date": date,
-                        "occupation": rng.choice(["Engineer", "Nurse", None]),
-                        "postal_code": rng.choice(["119077", "BADPOST"]),
+                        "occupation": rng.choice(["Baker", "Nurse", None]),
+                        "postal_code": rng.choice(["520123", "BADPOST"]),
                         "annual_income_sgd": rng.choice(["100", "200", "n/a"]),
                         "tax_paid_sgd": rng.choice(["1", "2"]),
                         "employer_id": rng.choice(["E1", "E2", "E9", None]),

@@ -252,7 +252,7 @@ def test_asof_link_equals_the_definition(spark, monkeypatch, many, hot):
 
 
 def test_correction_and_update_of_one_batch_both_act(spark):
-    first = frame(spark, returns({"occupation": "Engineer"}))
+    first = frame(spark, returns({"occupation": "Baker"}))
     second = frame(
         spark,
         returns(

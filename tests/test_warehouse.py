@@ -36,14 +36,14 @@ BATCHES = {
         person(5),
     ],
     2: [
-        person(1, occupation="Senior Engineer", batch_date=D2, record_type="update"),
+        person(1, occupation="Senior Baker", batch_date=D2, record_type="update"),
         person(3, tax_payable_sgd="9000", batch_date=D2, record_type="correction"),
         person(4, occupation="Nurse", filing_date=D2, batch_date=D2, record_type="update"),
         person(5, batch_date=D2, record_type="update"),
         person(6, employer_id="E9", batch_date=D2, record_type="new"),
     ],
     3: [
-        person(2, postal_code="249567", filing_date="2024-03-01", batch_date=D3, record_type="correction"),
+        person(2, postal_code="310456", filing_date="2024-03-01", batch_date=D3, record_type="correction"),
         person(7, filing_date="2024-04-10", batch_date=D3, record_type="late_arrival"),
         person(5, assessment_year="x", batch_date=D3, record_type="new"),
         person(1, occupation="Ignored", filing_date="2024-04-15", batch_date=D3, record_type="late_arrival"),
@@ -114,8 +114,8 @@ def test_counts(loaded):
 
 def test_update_opens_a_version_and_late_filing_of_a_known_taxpayer_does_not(loaded):
     assert history(loaded, "P1") == [
-        ("Engineer", "119077", "2024-03-15", D2, False),
-        ("Senior Engineer", "119077", D2, "9999-12-31", True),
+        ("Baker", "520123", "2024-03-11", D2, False),
+        ("Senior Baker", "520123", D2, "9999-12-31", True),
     ]
     assert fact(loaded, "P1").record_type == "late_arrival"
     newest = serving.history_of(loaded.table("dim_taxpayer"), "P1").collect()[-1]
@@ -123,14 +123,14 @@ def test_update_opens_a_version_and_late_filing_of_a_known_taxpayer_does_not(loa
 
 
 def test_correction_fixes_in_place(loaded):
-    assert history(loaded, "P2") == [("Engineer", "249567", "None", "9999-12-31", True)]
+    assert history(loaded, "P2") == [("Baker", "310456", "None", "9999-12-31", True)]
     row = fact(loaded, "P2")
     assert row.is_corrected and str(row.filing_date) == "2024-03-01" and row.taxpayer_sk is not None
 
 
 def test_correction_of_money_is_audited(loaded):
     (row,) = loaded.table("fact_corrections").collect()
-    assert (row.taxpayer_id, str(row.corrected_at), row.old_tax_payable_sgd) == ("P3", D2, 8205.0)
+    assert (row.taxpayer_id, str(row.corrected_at), row.old_tax_payable_sgd) == ("P3", D2, 4310.0)
     assert fact(loaded, "P3").tax_payable_sgd == 9000.0
 
 
@@ -177,16 +177,16 @@ def test_serving(loaded):
     dim, facts = loaded.table("dim_taxpayer"), loaded.table("fact_tax_returns")
     top = loaded.summary("occupation").collect()
     assert [(r.group_value, r.num_returns, r.total_tax_payable) for r in top] == [
-        ("Engineer", 5, 41820.0),
-        ("Nurse", 1, 8205.0),
-        ("Senior Engineer", 1, 8205.0),
+        ("Baker", 5, 26240.0),
+        ("Nurse", 1, 4310.0),
+        ("Senior Baker", 1, 4310.0),
     ]
     assert [r.group_value for r in loaded.summary("occupation", 1, 1).collect()] == ["Nurse"]
     for bad in ({"by": "banana"}, {"by": "occupation", "limit": 0}, {"by": "occupation", "limit": 501},
                 {"by": "occupation", "offset": -1}):
         with pytest.raises(ValueError):
             loaded.summary(**bad)
-    assert serving.require_profile(dim, "P2").postal_code == "249567"
+    assert serving.require_profile(dim, "P2").postal_code == "310456"
     with pytest.raises(KeyError):
         serving.require_profile(dim, "nobody")
     assert loaded.current().count() == 7
