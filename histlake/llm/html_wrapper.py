@@ -15,7 +15,8 @@ Slots and texts are told apart by 64-bit hashes.
 
 Which slots are the article is told by structure: article or main elements if there are
 any, without navigation, headers, footers, sidebars, notices, adverts, forms and
-comments, which are recognised by element, role and class.
+comments, which are recognised by element, role and class. Headings of an article stay
+even if all pages have them: they name what follows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from pyspark.sql import functions as F
 from histlake.llm.common import Batches, map_batches, map_slices, texts, work_table
 from histlake.llm.url_reputation import host_of
 
-SUMMARY = 24  # texts a Slot remembers
 MAX_HOSTS = 2_000  # templates a task holds before it forgets them
 MAX_SUMS = 200_000  # sums a task holds before it hands them on
 MIN_PAGES, CONSTANT = 8, 0.95  # a text is template if so many pages carry it
@@ -67,20 +67,42 @@ MARKS = frozenset(
     "masthead login search toolbar skip".split()
 )
 PAGE_HEADERS = frozenset(("header", "masthead"))
+# Words that may stand beside a mark in one class name, as in "site-footer" or "ad-slot";
+# any other word makes it a name of its own, as in "share-prices" or "related-work".
+PLAIN = frozenset(
+    "site page main global local user reader top bottom left right inner outer upper lower first last box bar block body area "
+    "section container wrapper wrap content list lists item items link links post posts article articles story stories button "
+    "buttons icon icons media form panel slot unit row col column columns text label title heading toggle close wide small large "
+    "primary secondary sticky fixed mobile desktop header policy message more x".split()
+)
+# Elements of the text itself: in an article their class names mark nothing.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figure figcaption caption table".split())
+# Elements that name what follows; in an article they stay, however many pages have them.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 dt th caption summary".split())
 
 
 class Node:
     """Block element, or a run of text in one (label "#")."""
 
-    __slots__ = ("label", "tag", "kids", "text", "linked", "dropped", "where")
+    __slots__ = ("label", "tag", "kids", "text", "holder", "dropped", "where")
 
     def __init__(self, tag: str, label: str, dropped: bool, where: int):
         self.tag, self.label, self.dropped, self.where = tag, label, dropped, where
         self.kids: list[Node] = []
-        self.text, self.linked = "", 0
+        self.text, self.holder = "", ""  # of a run: its text and the element it is in
 
 
 ARTICLE, MAIN = 2, 1
+FOREIGN = frozenset("comment comments reply ad ads advert sponsored promo related".split())  # articles that aren't the page's
+
+
+def marked(names: str, what: frozenset[str]) -> bool:
+    """Whether a class name is one of the words or made of one and plain words only."""
+    for name in names.split():
+        words = [w.lower() for w in WORDS.findall(name)]
+        if not what.isdisjoint(words) and all(w in what or w in MARKS or w in PLAIN for w in words):
+            return True
+    return False
 
 
 def marks(tag: str, source: str, inside: int) -> tuple[str, bool, int]:
@@ -103,10 +125,12 @@ def marks(tag: str, source: str, inside: int) -> tuple[str, bool, int]:
             where = ARTICLE
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
         dropped |= hidden or role in ROLES
-        if tag not in ("html", "body", "article", "main"):
-            dropped |= not MARKS.isdisjoint(words) or inside < ARTICLE and not PAGE_HEADERS.isdisjoint(words)
+        if inside == ARTICLE and tag in PROSE:
+            pass
+        elif tag not in ("html", "body", "article", "main"):
+            dropped |= marked(names, MARKS) or inside < ARTICLE and marked(names, PAGE_HEADERS)
         elif tag == "article":
-            dropped |= not {"comment", "comments", "reply", "ad", "ads", "advert", "sponsored", "promo", "related"}.isdisjoint(words)
+            dropped |= marked(names, FOREIGN)
         if words:
             label = f"{tag}.{'.'.join(sorted(set(words)))}"
     return label, dropped, where
@@ -118,7 +142,7 @@ def parse(html: str) -> Node:
     stack = [root]  # open block elements
     inline: list[tuple[str, bool]] = []  # open inline elements: name, left out
     run: list[str] = []
-    state = {"links": 0, "linked": 0, "hidden": 0}
+    state = {"hidden": 0}
 
     def flush() -> None:
         if run:
@@ -127,15 +151,12 @@ def parse(html: str) -> Node:
             if text:
                 top = stack[-1]
                 leaf = Node("#", "#", top.dropped, top.where)
-                leaf.text, leaf.linked = text, state["linked"]
+                leaf.text, leaf.holder = text, top.tag
                 top.kids.append(leaf)
-            state["linked"] = 0
 
     def add(piece: str) -> None:
         if piece and not state["hidden"]:
             run.append(unescape(piece) if "&" in piece else piece)
-            if state["links"]:
-                state["linked"] += len(piece)
 
     def close(tag: str, barriers: tuple[str, ...] = ()) -> None:
         for k in range(len(stack) - 1, 0, -1):
@@ -164,7 +185,6 @@ def parse(html: str) -> Node:
                 for k in range(len(inline) - 1, -1, -1):
                     if inline[k][0] == tag:
                         state["hidden"] -= inline[k][1]
-                        state["links"] -= tag == "a"
                         del inline[k]
                         break
             elif tag == "p" and all(n.tag != "p" for n in stack):
@@ -184,7 +204,6 @@ def parse(html: str) -> Node:
                 hidden = bool(m[3]) and marks(tag, m[3], ARTICLE)[1]
                 inline.append((tag, hidden))
                 state["hidden"] += hidden
-                state["links"] += tag == "a"
             continue
         flush()
         if tag == "hr" or tag in VOID:
@@ -195,7 +214,7 @@ def parse(html: str) -> Node:
         if tag in ("article", "main", "footer", "nav", "aside", "header", "section", "div", "body"):
             # Inline elements left open don't reach beyond their block.
             inline.clear()
-            state["hidden"] = state["links"] = 0
+            state["hidden"] = 0
         top = stack[-1]
         label, dropped, where = marks(tag, m[3], top.where)
         node = Node(tag, label, dropped or top.dropped, where)
@@ -238,41 +257,6 @@ def shape_of(node: Node) -> Shape:
     return out
 
 
-class Slot:
-    """Summary of frequent texts at a node. An estimate only: `extract` counts exactly."""
-
-    __slots__ = ("label", "pages", "seen")
-
-    def __init__(self, label: str):
-        self.label, self.pages, self.seen = label, 0, {}
-
-    def count(self, seen: dict[str, int], pages: int) -> None:
-        self.pages += pages
-        for text, n in seen.items():
-            self.seen[text] = self.seen.get(text, 0) + n
-        if len(self.seen) > SUMMARY:  # Misra-Gries: lower all by the first count that doesn't fit
-            cut = sorted(self.seen.values(), reverse=True)[SUMMARY]
-            self.seen = {t: n - cut for t, n in self.seen.items() if n > cut}
-
-
-def match(a, b, memo: dict) -> int:
-    """Nodes in the largest order-preserving matching of two trees with equal roots."""
-    if a.label != b.label:
-        return 0
-    known = memo.get((id(a), id(b)))
-    if known is not None:
-        return known
-    row = [0] * (len(b.kids) + 1)
-    for x in a.kids:
-        before = row
-        row = [0]
-        for j, y in enumerate(b.kids):
-            w = match(x, y, memo) if x.label == y.label else 0
-            row.append(max(before[j + 1], row[j], before[j] + w if w else 0))
-    memo[id(a), id(b)] = row[-1] + 1
-    return row[-1] + 1
-
-
 def digest(text: str, seed: int = 0) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
 
@@ -311,8 +295,8 @@ def main_text(root: Node, constant: set[int]) -> str:
     """Blocks of the article in page order, joined by blank lines."""
     found = [n for n in leaves(root) if not n.dropped]
     region = max((n.where for n in found), default=0)
-    inside = [n for n in found if n.where == region] if region else [n for n in found if 2 * n.linked <= len(n.text)]
-    varying = [n for n in inside if id(n) not in constant]
+    inside = [n for n in found if n.where == region]
+    varying = [n for n in inside if id(n) not in constant or region and n.holder in HEADINGS]
     # A page most of whose article is the same everywhere is one of many copies.
     if 2 * sum(len(n.text) for n in varying) >= sum(len(n.text) for n in inside) or not region and varying:
         inside = varying
