@@ -623,6 +623,15 @@ def folder_stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return streamed(spark, sf).rejected().select("batch", "reason", *CANONICAL_COLUMNS)
 
 
+def running_summary(by: str) -> Query:
+    """Summary from the totals that the loads of a stream kept up to date."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return streamed(spark, sf).summary(by)
+
+    return run
+
+
 def configured(query: Query) -> Query:
     """The query in a session with the library's settings."""
 
@@ -700,4 +709,5 @@ def _all() -> dict[str, Query]:
         "folder_stream_corrections": folder_stream_corrections,
         "folder_stream_metrics": folder_stream_metrics,
         "folder_stream_rejects": folder_stream_rejects,
+        "running_summary_by_occupation": running_summary("occupation"),
     }

@@ -117,6 +117,40 @@ def latest_facts(
     return last_per_key(returns, keys, [seq])
 
 
+def version_totals(facts: DataFrame, link: Sequence[str] = (KEY, "taxpayer_sk")) -> DataFrame:
+    """Facts counted and summed per version (`link`).
+
+    Money is summed as decimals, so sums can be added up and taken back in any order.
+    """
+    tax, income = (F.col(c).try_cast("decimal(28,6)") for c in ("tax_payable_sgd", "annual_income_sgd"))
+    return facts.groupBy(*link).agg(
+        F.count(F.lit(1)).alias("num_returns"),
+        F.sum(tax).alias("tax_payable"),
+        F.count(tax).alias("num_taxes"),
+        F.sum(income).alias("annual_income"),
+        F.count(income).alias("num_incomes"),
+    )
+
+
+SUMS = ("num_returns", "tax_payable", "num_taxes", "annual_income", "num_incomes")
+
+
+def add_totals(totals: DataFrame, link: Sequence[str] = (KEY, "taxpayer_sk")) -> DataFrame:
+    """Totals of equal versions added up; versions that have lost all their facts go."""
+    kinds = dict(totals.dtypes)
+    sums = [F.sum(c).cast(kinds[c]).alias(c) for c in SUMS]
+    return totals.groupBy(*link).agg(*sums).where("num_returns <> 0")
+
+
+def totals_change(replaced: DataFrame, written: DataFrame) -> DataFrame:
+    """What a load changes in the totals: facts it replaces are taken back, those it
+    writes are added. Only those rows are read."""
+    back, added = version_totals(replaced), version_totals(written)
+    back = back.select(KEY, "taxpayer_sk", *[(-F.col(c)).cast(back.schema[c].dataType).alias(c) for c in SUMS])
+    both = back.unionByName(added).groupBy(KEY, "taxpayer_sk").agg(*[F.sum(c).cast(added.schema[c].dataType).alias(c) for c in SUMS])
+    return both.where(" OR ".join(f"coalesce({c}, 0) <> 0" for c in SUMS))
+
+
 def audit_build(
     returns: DataFrame,
     keys: Sequence[str] = (KEY, PERIOD),

@@ -15,6 +15,7 @@ from ..operators.facts import (
     latest_facts,
     lookup_or_unknown,
     replace_by_key,
+    totals_change,
     typed_returns,
     with_unknown_member,
 )
@@ -60,6 +61,7 @@ class Step:
     state: State
     versions: DataFrame
     facts: DataFrame
+    totals: DataFrame
     closed: DataFrame | None
     corrections: DataFrame | None
 
@@ -155,7 +157,7 @@ def apply_batch(
     returns = cut_lineage(typed_returns(batch_returns(rows, order), day))
     keys = [KEY, PERIOD]
     # The stored facts are read once, for the keys of the batch.
-    met = cut_lineage(state.facts.join(returns.select(*keys), keys, "left_semi").select(*keys, "batch_seq", *AUDITED))
+    met = cut_lineage(state.facts.join(returns.select(*keys), keys, "left_semi").select(*keys, "taxpayer_sk", "batch_seq", *AUDITED))
     newer = met.where(F.col("batch_seq") > F.lit(batch_seq)).select(*keys)
     fresh = returns.join(newer, keys, "left_anti").select(*returns.columns)
     logged, corrected = number_and_count(
@@ -170,7 +172,8 @@ def apply_batch(
     # opened, and older closed ones. The current versions are not read again.
     earlier = state.closed.join(returns.select(KEY).distinct(), KEY, "left_semi")
     versions = history.of_batch.unionByName(earlier.select(*history.of_batch.columns))
-    linked = _facts(fresh, versions, state.employers)
+    linked = cut_lineage(_facts(fresh, versions, state.employers))
+    replaced = met.where(F.col("batch_seq") <= F.lit(batch_seq))
 
     next_state = replace(
         state,
@@ -185,6 +188,7 @@ def apply_batch(
         next_state,
         history.written,
         linked,
+        totals_change(replaced, linked),
         history.closed if history.changed else None,
         logged if corrected else None,
     )
@@ -201,7 +205,7 @@ def apply_batches(state: State, log: DataFrame, first_seq: int, order: str = "ro
     history = scd2_extend(state.current, batch_entities(log, order), first_seq, state.last_taxpayer_sk, order=order)
     returns = cut_lineage(typed_returns(batch_returns(log, order)))
     keys = [KEY, PERIOD]
-    met = cut_lineage(state.facts.join(returns.select(*keys), keys, "left_semi").select(*keys, "batch_seq", *AUDITED))
+    met = cut_lineage(state.facts.join(returns.select(*keys), keys, "left_semi").select(*keys, "taxpayer_sk", "batch_seq", *AUDITED))
     logged, corrected = number_and_count(
         audit_build(returns, seeds=met, logged=state.corrections),
         ["batch_seq", *keys],
@@ -211,7 +215,7 @@ def apply_batches(state: State, log: DataFrame, first_seq: int, order: str = "ro
     logged = logged.select(*column_names(FACT_CORRECTIONS))
     earlier = state.closed.join(returns.select(KEY).distinct(), KEY, "left_semi")
     versions = history.of_batch.unionByName(earlier.select(*history.of_batch.columns))
-    linked = _facts(latest_facts(returns), versions, state.employers)
+    linked = cut_lineage(_facts(latest_facts(returns), versions, state.employers))
     next_state = replace(
         state,
         current=history.current,
@@ -225,6 +229,7 @@ def apply_batches(state: State, log: DataFrame, first_seq: int, order: str = "ro
         next_state,
         history.written,
         linked,
+        totals_change(met, linked),
         history.closed if history.changed else None,
         logged if corrected else None,
     )

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.casting import lenient_date, load_int
 from ..functions.rules import Rule
 from ..operators.dedupe import loadable, rejects
-from ..operators.facts import superseded_members, with_unknown_member
+from ..operators.facts import add_totals, superseded_members, version_totals, with_unknown_member
 from ..operators.quality import apply_rules, latest_per_group, latest_quality, score
-from ..schema import BATCH_LOG, CANONICAL_COLUMNS, KEY, PERIOD, REJECTS, TABLES, column_names, public_columns
+from ..schema import BATCH_LOG, CANONICAL_COLUMNS, KEY, PERIOD, REJECTS, TABLES, VERSION_TOTALS, column_names, public_columns
 from ..session import cut_lineage, work_tables
 from ..sources.batches import BatchFile, drift, first_date, list_batches, read_batch, read_headers, read_log, select_batches
 from ..sources.snapshots import Snapshots, with_parts
@@ -35,12 +35,14 @@ ROWS = "_rows"  # entry of the version list: rows of base and deltas of each are
 @dataclass(frozen=True)
 class Area:
     """Rows of a table that are stored as a base, partitioned by an integer column, and
-    deltas. With `keys`, the newest row of a key counts; without, rows only add up."""
+    deltas. With `keys`, the newest row of a key counts; without, rows only are added, and
+    with `sums` they are totals to add up."""
 
     table: str
     name: str
     column: str
     keys: tuple[str, ...] = ()
+    sums: bool = False
 
     @property
     def base(self) -> str:
@@ -55,7 +57,9 @@ CURRENT = Area("dim_taxpayer", "current", "bucket", (KEY,))
 CLOSED = Area("dim_taxpayer", "closed", "bucket")
 FACTS = Area("fact_tax_returns", "facts", "part", (KEY, PERIOD))
 AUDIT = Area("fact_corrections", "audit", "part")
-AREAS = (CURRENT, CLOSED, FACTS, AUDIT)
+TOTALS = Area("agg_version_totals", "totals", "bucket", sums=True)
+AREAS = (CURRENT, CLOSED, FACTS, AUDIT, TOTALS)
+LAYOUTS = TABLES | {TOTALS.table: VERSION_TOTALS}
 LOAD = "_load"  # column of a delta with keys: version that wrote the row
 
 
@@ -139,10 +143,14 @@ class Warehouse:
         """Current score of every domain: that of the batch loaded last."""
         return latest_quality(self._stored("agg_data_quality_metrics"))
 
-    def summary(self, by: str, limit: int | None = 50, offset: int = 0) -> DataFrame:
-        return serving.summary(
-            self.table("fact_tax_returns"), self.table("dim_taxpayer"), by, limit, offset
-        )
+    def summary(self, by: str, limit: int | None = 50, offset: int = 0, recompute: bool = False) -> DataFrame:
+        """Totals per group from the totals per version, which every load keeps up to
+        date, or with `recompute` from all facts."""
+        _, listing = self.store.latest()
+        dim = self.table("dim_taxpayer")
+        if recompute or TOTALS.table not in listing:
+            return serving.summary(self.table("fact_tax_returns"), dim, by, limit, offset)
+        return serving.summary_of_totals(self._rows(listing, TOTALS), dim, by, limit, offset)
 
     # ---- writing ------------------------------------------------------------
 
@@ -267,6 +275,8 @@ class Warehouse:
     def _store_step(self, listing: dict, step: Step, version: int, rows: int, more: Sequence[Write]) -> None:
         """Write what a step changed as deltas, and the rest, and publish."""
         writes = [self._delta(CURRENT, step.versions, version), self._delta(FACTS, step.facts, version), *more]
+        if TOTALS.table in listing or FACTS.table not in listing:  # else a store from before there were totals
+            writes.append(self._delta(TOTALS, step.totals, version))
         if step.closed:
             writes.append(self._delta(CLOSED, step.closed, version))
         if step.corrections:
@@ -388,6 +398,8 @@ class Warehouse:
                 self._split("rejects", refused, "part", "", [], names),
             ],
         )
+        # Facts are read back as stored, so they aren't linked a second time.
+        self._write(listing, [self._base(TOTALS, version_totals(self._rows(listing, FACTS)))])
         self._count_bases(listing, AREAS)
         self._publish(version + 1, listing)
 
@@ -420,17 +432,20 @@ class Warehouse:
         """Valid rows of an area. `values` leaves out partitions of the base; the deltas,
         a bounded share, are read whole. The base is probed with the keys of the deltas
         and not shuffled as long as those are small."""
-        base = self.store.read_split(listing, area.table, TABLES[area.table], area.base, area.column, values)
+        base = self.store.read_split(listing, area.table, LAYOUTS[area.table], area.base, area.column, values)
         if not listing.get(area.table, {}).get(area.deltas):
             return base
         newest = self._deltas(listing, area).select(*base.columns)
         if area.keys:
             base = base.join(newest.select(*area.keys), list(area.keys), "left_anti").select(*base.columns)
-        return base.unionByName(newest)
+        rows = base.unionByName(newest)
+        return add_totals(rows) if area.sums else rows
 
     def _deltas(self, listing: dict, area: Area) -> DataFrame:
-        ddl = TABLES[area.table] + (f", {LOAD} int" if area.keys else "")
+        ddl = LAYOUTS[area.table] + (f", {LOAD} int" if area.keys else "")
         rows = self.store.read(listing, area.table, ddl, lambda p: p == area.deltas)
+        if area.sums:
+            return add_totals(rows)
         return latest_per_group(rows, area.keys, [F.desc(LOAD)]) if area.keys else rows
 
     def _delta(self, area: Area, rows: DataFrame, version: int) -> Write:
@@ -471,7 +486,7 @@ class Warehouse:
     def _count_bases(self, listing: dict, areas: Sequence[Area]) -> None:
         """Note the rows of new bases; Parquet footers know them."""
         for a in areas:
-            n = self.store.read_split(listing, a.table, TABLES[a.table], a.base, a.column).count()
+            n = self.store.read_split(listing, a.table, LAYOUTS[a.table], a.base, a.column).count()
             counts = listing.setdefault(ROWS, {})
             counts[f"{a.table}/{a.base}"], counts[f"{a.table}/{a.deltas}"] = [str(n)], ["0"]
 

@@ -109,6 +109,12 @@ BATCH_LOG = (
     "last_taxpayer_sk bigint, last_correction_id bigint"
 )
 
+# Sums over the facts of each version, kept up to date by every load.
+VERSION_TOTALS = (
+    "taxpayer_id string, taxpayer_sk bigint, num_returns bigint, tax_payable decimal(38,6), "
+    "num_taxes bigint, annual_income decimal(38,6), num_incomes bigint"
+)
+
 TABLES = {
     "dim_taxpayer": DIM_TAXPAYER,
     "dim_employer": DIM_EMPLOYER,

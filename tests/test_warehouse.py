@@ -15,7 +15,7 @@ from histlake.schema import BASE_COLUMNS, CANONICAL_COLUMNS, KEY
 from histlake.sources.batches import list_batches, read_log
 from histlake.streaming.folder import load_new_files
 
-from .helpers import CLEAN, frame
+from .helpers import CLEAN, frame, random_batches
 from .test_history import employer_frame
 from .test_sources import write_csv
 
@@ -338,3 +338,54 @@ def test_first_batch_date_in_file_order_counts(spark, tmp_path):
         log = frame(spark, [{**rows[batch == "day2"], "batch_date": d, "taxpayer_id": f"P{i}"} for i, d in enumerate(dates)])
         w.load_batch(log.drop("batch", "batch_seq"), batch, AT)
     assert history(w, "P1")[0][3] == "2024-04-15"
+
+
+def test_summary_is_kept_up_to_date(spark, tmp_path):
+    """After every load, from totals alone, what a full recomputation gives."""
+    batches = random_batches(6, keys=30, batches=4)
+    for _, rows in batches:
+        for i, r in enumerate(rows):
+            r["tax_payable_sgd"] = ["12.5", "n/a", "7.25", None][i % 4]
+    w = Warehouse(spark, str(tmp_path), buckets=3)
+    w.load_employers(employer_frame(spark))
+
+    def check(*dimensions):
+        for by in dimensions:
+            assert w.summary(by).collect() == w.summary(by, recompute=True).collect()
+
+    for n, (_, rows) in enumerate(batches[:2], 1):
+        w.load_batch(frame(spark, rows).drop("batch", "batch_seq"), f"day{n}", AT)
+    check("occupation")
+    log = [{**r, "batch_seq": n, "row_pos": i} for n, (_, rows) in enumerate(batches[2:], 1) for i, r in enumerate(rows)]
+    w.load_batches(frame(spark, log), ["day3", "day4"], AT)
+    check("occupation", "residential_status", "housing_type")
+    w.load_batch(frame(spark, batches[1][1]).drop("batch", "batch_seq"), "day2", AT)  # a replay
+    check("occupation")
+    plan = w.summary("occupation")._jdf.queryExecution().optimizedPlan().toString()
+    assert "assessment_year" not in plan and "filing_date" not in plan
+    before = w.summary("occupation").collect()
+    w.compact()
+    assert w.summary("occupation").collect() == before
+
+
+def test_summary_of_a_rebuilt_store(spark, folder, loaded, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.rebuild(read_log(spark, list_batches(spark, str(folder))), employer_frame(spark), AT)
+    assert w.summary("occupation").collect() == loaded.summary("occupation").collect() == w.summary("occupation", recompute=True).collect()
+
+
+def test_several_new_batches_are_refused_if_one_is_stored(spark, loaded):
+    log = frame(spark, [person(1)]).drop("batch")
+    with pytest.raises(ValueError):
+        loaded.load_batches(log, ["day1"], AT)
+    with pytest.raises(ValueError):
+        loaded.load_batches(log, ["a", "a"], AT)
+
+
+def test_empty_batches_among_several(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    w.load_employers(employer_frame(spark))
+    reports = w.load_batches(frame(spark, [{**person(1), "batch_seq": 2}]).drop("batch"), ["day1", "day2", "day3"], AT)
+    assert [(r.batch, r.batch_seq, r.rows) for r in reports] == [("day1", 1, 0), ("day2", 2, 1), ("day3", 3, 0)]
+    assert set(reports[0].scores.values()) == {0.0} and len(reports[0].scores) == 3
+    assert [(r.batch, r.total_rows) for r in w.batch_log().orderBy("batch_seq").collect()] == [("day1", 0), ("day2", 1), ("day3", 0)]
