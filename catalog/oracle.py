@@ -502,6 +502,7 @@ UNION ALL
 (SELECT o_custkey, o_orderstatus, 'after' FROM orders WHERE o_orderpriority <> '1-URGENT'
  EXCEPT ALL SELECT o_custkey, o_orderstatus, 'after' FROM orders WHERE o_orderpriority <> '5-LOW')""",
         # ---- stored warehouse ----
+        "stored_overall_quality": with_(LOG, FLAGS) + f"SELECT domain, {SCORE} FROM long GROUP BY domain",
         "running_summary_by_occupation": summary_sql("occupation", 50, 0),
         "stored_dimension": with_(*HISTORY) + f"SELECT {VERSION_COLUMNS.replace('version, ', '')} FROM versions",
         "stored_corrections": with_(LOG, VERSIONS.split("steps AS")[0].rstrip().rstrip(","), RETURNS, AUDIT)

@@ -569,6 +569,11 @@ def stored_quality(spark: SparkSession, sf: str) -> DataFrame:
     return rebuilt(spark, sf).quality().select("domain", "score", "passing_count", "total_count", "batch")
 
 
+def stored_overall_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores over all batches from stored counts, without reading any batch."""
+    return rebuilt(spark, sf).overall_quality()
+
+
 def stored_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return rebuilt(spark, sf).rejected().select("batch", "reason", *CANONICAL_COLUMNS)
 
@@ -702,6 +707,7 @@ def _all() -> dict[str, Query]:
         "stored_corrections": stored_corrections,
         "stored_metrics": stored_metrics,
         "stored_quality": stored_quality,
+        "stored_overall_quality": stored_overall_quality,
         "stored_rejects": stored_rejects,
         "replay_changes_nothing": replay_changes_nothing,
         "folder_stream": folder_stream,

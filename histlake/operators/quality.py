@@ -35,6 +35,16 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame
     )
 
 
+def pass_counts(columns: Sequence[str], domains: Sequence[str] | None = None) -> list[Column]:
+    """Aggregates: rows passing each domain that has a flag among `columns`, named like it.
+
+    With the number of rows they are all a score needs, and they add up over parts of
+    the data, so they can be taken while rows are written.
+    """
+    scored = [d for d in (DOMAINS if domains is None else domains) if domain_flag_column(d) in columns]
+    return [F.coalesce(F.sum(F.col(domain_flag_column(d)).cast("bigint")), F.lit(0)).alias(d) for d in scored]
+
+
 def score(
     validated: DataFrame, domains: Sequence[str] | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -45,30 +55,34 @@ def score(
     row per group and task to shuffle. Domains without a flag column are left out.
     Without `by`, an empty input scores 0.0.
     """
-    wanted = DOMAINS if domains is None else domains
-    scored = [d for d in wanted if domain_flag_column(d) in validated.columns]
-    totals = validated.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_count"),
-        *[
-            F.coalesce(F.sum(F.col(domain_flag_column(d)).cast("bigint")), F.lit(0)).alias(d)
-            for d in scored
-        ],
-    )
+    counts = pass_counts(validated.columns, domains)
+    totals = validated.groupBy(*by).agg(F.count(F.lit(1)).alias("total_count"), *counts)
+    return scores_of_counts(totals, [d for d in totals.columns if d not in (*by, "total_count")], by)
+
+
+def scores_of_counts(totals: DataFrame, domains: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """`score` from counts: a column per domain and `total_count`, one row per group."""
     long = totals.select(
         *by,
         "total_count",
         F.explode(
-            F.array(*[F.struct(F.lit(d).alias("domain"), F.col(d).alias("n")) for d in scored])
+            F.array(*[F.struct(F.lit(d).alias("domain"), F.coalesce(F.col(d), F.lit(0)).alias("n")) for d in domains])
         ).alias("s"),
     )
-    percent = F.col("s.n").cast("double") / F.col("total_count") * F.lit(100.0)
-    return long.select(
-        *by,
-        F.col("s.domain").alias("domain"),
-        F.when(F.col("total_count") == 0, F.lit(0.0)).otherwise(round_half_even(percent)).alias("score"),
-        F.col("s.n").alias("passing_count"),
-        "total_count",
-    )
+    return long.select(*by, F.col("s.domain").alias("domain"), *_scored(F.col("s.n"), F.col("total_count")))
+
+
+def _scored(passing: Column, total: Column) -> list[Column]:
+    percent = passing.cast("double") / total * F.lit(100.0)
+    value = F.when(total == 0, F.lit(0.0)).otherwise(round_half_even(percent))
+    return [value.alias("score"), passing.alias("passing_count"), total.alias("total_count")]
+
+
+def merged_scores(metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Score over all batches (or per group) from the counts that their loads stored,
+    without reading any row of them."""
+    sums = metrics.groupBy(*by, "domain").agg(F.sum("passing_count").alias("_passing"), F.sum("total_count").alias("_total"))
+    return sums.select(*by, "domain", *_scored(F.col("_passing"), F.col("_total")))
 
 
 def latest_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:

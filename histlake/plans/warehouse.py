@@ -9,15 +9,15 @@ from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import lenient_date, load_int
-from ..functions.rules import Rule
+from ..functions.rules import Rule, domain_flag_column
 from ..operators.dedupe import loadable, rejects
 from ..operators.facts import add_totals, superseded_members, version_totals, with_unknown_member
-from ..operators.quality import apply_rules, latest_per_group, latest_quality, score
-from ..schema import BATCH_LOG, CANONICAL_COLUMNS, KEY, PERIOD, REJECTS, TABLES, VERSION_TOTALS, column_names, public_columns
+from ..operators.quality import apply_rules, latest_per_group, latest_quality, merged_scores, pass_counts, scores_of_counts
+from ..schema import BATCH_LOG, CANONICAL_COLUMNS, DOMAINS, KEY, PERIOD, REJECTS, TABLES, VERSION_TOTALS, column_names, public_columns
 from ..session import cut_lineage, work_tables
 from ..sources.batches import BatchFile, drift, first_date, list_batches, read_batch, read_headers, read_log, select_batches
 from ..sources.snapshots import Snapshots, with_parts
@@ -143,6 +143,10 @@ class Warehouse:
         """Current score of every domain: that of the batch loaded last."""
         return latest_quality(self._stored("agg_data_quality_metrics"))
 
+    def overall_quality(self) -> DataFrame:
+        """Score of every domain over all batches, from the counts their loads stored."""
+        return merged_scores(self.table("agg_data_quality_metrics"))
+
     def summary(self, by: str, limit: int | None = 50, offset: int = 0, recompute: bool = False) -> DataFrame:
         """Totals per group from the totals per version, which every load keeps up to
         date, or with `recompute` from all facts."""
@@ -212,28 +216,14 @@ class Warehouse:
         numbered = log.select(*CANONICAL_COLUMNS, "row_pos", (F.col("batch_seq") + F.lit(last)).cast("int").alias("batch_seq"))
         validated = cut_lineage(apply_rules(numbered, self.rules))
         # One row per batch; the partitions are sets bounded by the layout.
-        usable = loadable()
-        facts = {
-            r.batch_seq: r
-            for r in validated.groupBy("batch_seq")
-            .agg(
-                F.count(F.lit(1)).alias("n"),
-                lenient_date(first_date()).alias("day"),
-                F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
-                F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
-            )
-            .collect()
-        }
-        parts = sorted({p for r in facts.values() for p in r.parts})
-        buckets = sorted({b for r in facts.values() for b in r.buckets})
+        measures = self._measures(validated.columns)
+        facts = {r.batch_seq: r.asDict() for r in validated.groupBy("batch_seq").agg(*measures).collect()}
+        parts = sorted({p for r in facts.values() for p in r["parts"]})
+        buckets = sorted({b for r in facts.values() for b in r["buckets"]})
         step = apply_batches(self._state(before, buckets, parts, history), validated, last + 1)
 
         seqs = {last + i: name for i, name in enumerate(names, 1)}
-        scores: dict[int, list] = {k: [] for k in seqs}
-        for r in score(validated, by=["batch_seq"]).collect():  # one row per batch and domain
-            scores[r.batch_seq].append((r.domain, r.score, r.passing_count, r.total_count))
-        for k in seqs:
-            scores[k] = scores[k] or [(r.domain, r.score, r.passing_count, r.total_count) for r in score(validated.limit(0)).collect()]
+        scores = self._scores({k: facts.get(k, {}) for k in seqs}, validated.columns)
         metrics = self.spark.createDataFrame(
             [(seqs[k], *row, computed_at, k) for k, rows in scores.items() for row in rows], TABLES["agg_data_quality_metrics"]
         ).withColumn("part", F.col("batch_seq"))
@@ -242,14 +232,14 @@ class Warehouse:
         refused = refused.select("batch", "reason", _place(), *CANONICAL_COLUMNS, "part")
         entries = [tuple(r) for r in history]
         for k, name in seqs.items():
-            r = facts.get(k)
-            entries.append((name, k, r and r.day, r.n if r else 0, step.state.last_taxpayer_sk, step.state.last_correction_id))
+            r = facts.get(k, {})
+            entries.append((name, k, r.get("day"), r.get("n", 0), step.state.last_taxpayer_sk, step.state.last_correction_id))
         by_seq = {str(k): name for k, name in seqs.items()}
         self._store_step(
             listing,
             step,
             version + 1,
-            sum(r.n for r in facts.values()),
+            sum(r["n"] for r in facts.values()),
             [
                 self._split("agg_data_quality_metrics", metrics, "part", "", [], by_seq),
                 self._split("rejects", refused, "part", "", [], by_seq),
@@ -258,7 +248,29 @@ class Warehouse:
                 ),
             ],
         )
-        return [LoadReport(name, k, facts[k].n if k in facts else 0, {s[0]: s[1] for s in scores[k]}) for k, name in seqs.items()]
+        return [LoadReport(name, k, facts.get(k, {}).get("n", 0), {s[0]: s[1] for s in scores[k]}) for k, name in seqs.items()]
+
+    def _measures(self, columns: Sequence[str]) -> list[Column]:
+        """Aggregates of validated rows: their number, the date of the batch, the storage
+        partitions they fall into (sets bounded by the layout), rows passing each domain."""
+        usable = loadable()
+        return [
+            F.count(F.lit(1)).alias("n"),
+            lenient_date(first_date()).alias("day"),
+            F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
+            F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
+            *pass_counts(columns),
+        ]
+
+    def _scores(self, measured: Mapping[int, Mapping], columns: Sequence[str]) -> dict[int, list[tuple]]:
+        """(domain, score, passing, total) by batch, from what was measured of each."""
+        domains = [d for d in DOMAINS if domain_flag_column(d) in columns]
+        rows = [(k, m.get("n", 0), *[m.get(d) or 0 for d in domains]) for k, m in measured.items()]
+        counts = self.spark.createDataFrame(rows, "k int, total_count bigint, " + ", ".join(f"{d} bigint" for d in domains))
+        found: dict[int, list[tuple]] = {k: [] for k in measured}
+        for r in scores_of_counts(counts, domains, ["k"]).collect():
+            found[r.k].append((r.domain, r.score, r.passing_count, r.total_count))
+        return found
 
     def _state(self, listing: dict, buckets: Sequence[int], parts: Sequence[int], history: Sequence) -> State:
         """What a load can meet: the stored partitions its rows fall into."""
@@ -291,30 +303,22 @@ class Warehouse:
     def _load_batch(self, rows: DataFrame, batch: str, computed_at: datetime) -> LoadReport:
         version, listing = self._open()
         before = copy.deepcopy(listing)
-        validated = cut_lineage(apply_rules(rows, self.rules))
+        checked, seen = apply_rules(rows, self.rules), Observation()
+        validated = cut_lineage(checked, *self._measures(checked.columns), into=seen)
+        facts = seen.get
 
         log = self.store.read(listing, "batch_log", BATCH_LOG)
         history = {r.batch: r for r in log.collect()}  # one row per batch
         known = history.get(batch)
         seq = known.batch_seq if known else 1 + max([r.batch_seq for r in history.values()], default=0)
-        # One pass over the batch: size, date, and the storage partitions it falls
-        # into (sets bounded by the layout).
-        usable = loadable()
-        facts = validated.agg(
-            F.count(F.lit(1)).alias("n"),
-            lenient_date(first_date()).alias("day"),
-            F.collect_set(F.when(usable, self._fact_part(load_int(F.col(PERIOD))))).alias("parts"),
-            F.collect_set(F.when(usable, self._bucket())).alias("buckets"),
-        ).first()
-        state = self._state(before, facts.buckets, facts.parts, list(history.values()))
-        day = F.lit(facts.day).cast("date")
+        state = self._state(before, facts["buckets"], facts["parts"], list(history.values()))
+        day = F.lit(facts["day"]).cast("date")
         step = apply_batch(state, validated, seq, day)
 
         # A replay replaces the batch's own scores and rejects. One row per domain.
-        scores = score(validated).collect()
+        scores = self._scores({seq: facts}, validated.columns)[seq]
         metrics = self.spark.createDataFrame(
-            [(batch, r.domain, r.score, r.passing_count, r.total_count, computed_at, seq) for r in scores],
-            TABLES["agg_data_quality_metrics"],
+            [(batch, *row, computed_at, seq) for row in scores], TABLES["agg_data_quality_metrics"]
         ).coalesce(1)
         refused = rejects(validated.withColumn("batch_seq", F.lit(seq)), "row_pos").select(
             F.lit(batch).alias("batch"), "reason", _place(), *CANONICAL_COLUMNS
@@ -322,8 +326,8 @@ class Warehouse:
         entry = (
             batch,
             seq,
-            facts.day,
-            facts.n,
+            facts["day"],
+            facts["n"],
             step.state.last_taxpayer_sk,
             step.state.last_correction_id,
         )
@@ -335,8 +339,8 @@ class Warehouse:
                 "batch_log", self.spark.createDataFrame(entries, BATCH_LOG).coalesce(1), "all", replace=True
             ),
         ]
-        self._store_step(listing, step, version + 1, facts.n, more)
-        return LoadReport(batch, seq, facts.n, {r.domain: r.score for r in scores})
+        self._store_step(listing, step, version + 1, facts["n"], more)
+        return LoadReport(batch, seq, facts["n"], {s[0]: s[1] for s in scores})
 
     def backfill(
         self, folder: str, wanted: str = "all", computed_at: datetime | None = None
@@ -368,39 +372,46 @@ class Warehouse:
         version, _ = self._open()
         validated = cut_lineage(apply_rules(log, self.rules))
         state = rebuild(validated, employers)
-        batches = validated.groupBy("batch", "batch_seq").agg(
-            lenient_date(first_date()).alias("batch_date"),
-            F.count(F.lit(1)).alias("total_rows"),
-            F.lit(state.last_taxpayer_sk).cast("bigint").alias("last_taxpayer_sk"),
-            F.lit(state.last_correction_id).cast("bigint").alias("last_correction_id"),
-        )
-        metrics = score(validated, by=["batch", "batch_seq"]).select(
-            *[F.lit(computed_at).alias(c) if c == "computed_at" else F.col(c) for c in column_names(TABLES["agg_data_quality_metrics"])],
-            F.col("batch_seq").alias("part"),
-        )
+        # One row per batch. Scores and rejects are stored by batch, so that a later
+        # replay of one batch replaces only its own.
+        measured = {
+            r.batch_seq: r.asDict()
+            for r in validated.groupBy("batch", "batch_seq")
+            .agg(F.count(F.lit(1)).alias("n"), lenient_date(first_date()).alias("day"), *pass_counts(validated.columns))
+            .collect()
+        }
+        batches = self.spark.createDataFrame(
+            [(m["batch"], k, m["day"], m["n"], state.last_taxpayer_sk, state.last_correction_id) for k, m in measured.items()], BATCH_LOG
+        ).coalesce(1)
+        scores = self._scores(measured, validated.columns)
+        metrics = self.spark.createDataFrame(
+            [(measured[k]["batch"], *row, computed_at, k) for k, rows in scores.items() for row in rows], TABLES["agg_data_quality_metrics"]
+        ).withColumn("part", F.col("batch_seq"))
         refused = rejects(validated, "row_pos").select(
             "batch", "reason", _place(), *CANONICAL_COLUMNS, F.col("batch_seq").alias("part")
         )
-        # One row per batch. Scores and rejects are stored by batch, so that a later
-        # replay of one batch replaces only its own.
-        names = {str(r.batch_seq): r.batch for r in batches.collect()}
+        names = {str(k): m["batch"] for k, m in measured.items()}
         listing: dict = {}
+        bases = [
+            self._base(CURRENT, state.current),
+            self._base(CLOSED, state.closed),
+            self._base(FACTS, state.facts),
+            self._base(AUDIT, state.corrections),
+        ]
         self._write(
             listing,
             [
                 self._whole("dim_employer", state.employers, "all"),
-                self._base(CURRENT, state.current),
-                self._base(CLOSED, state.closed),
-                self._base(FACTS, state.facts),
-                self._base(AUDIT, state.corrections),
+                *bases,
                 self._whole("batch_log", batches, "all"),
                 self._split("agg_data_quality_metrics", metrics, "part", "", [], names),
                 self._split("rejects", refused, "part", "", [], names),
             ],
         )
         # Facts are read back as stored, so they aren't linked a second time.
-        self._write(listing, [self._base(TOTALS, version_totals(self._rows(listing, FACTS)))])
-        self._count_bases(listing, AREAS)
+        bases.append(self._base(TOTALS, version_totals(self._rows(listing, FACTS))))
+        self._write(listing, bases[-1:])
+        _count_bases(listing, bases)
         self._publish(version + 1, listing)
 
     # ---- helpers ------------------------------------------------------------
@@ -456,11 +467,13 @@ class Warehouse:
     def _base(self, area: Area, rows: DataFrame) -> Write:
         """A new base, which replaces the former one and all deltas."""
         value = self._bucket() if area.column == "bucket" else self._fact_part(F.col(PERIOD))
-        split = rows.withColumn(area.column, value)
+        split, counted = rows.withColumn(area.column, value), Observation()
         return Write(
             area.table,
             [area.base, area.deltas],
-            lambda: self.store.write(area.table, split, area.base, area.column),
+            lambda: self.store.write(area.table, split, area.base, area.column, counted),
+            area,
+            counted,
         )
 
     def _compact(self, listing: dict, always: bool = False) -> None:
@@ -481,14 +494,7 @@ class Warehouse:
             writes.append(Write(a.table, [a.deltas], lambda a=a, rows=rows: self.store.write(a.table, rows, a.deltas)))
         if writes:
             self._write(listing, writes)
-            self._count_bases(listing, folded)
-
-    def _count_bases(self, listing: dict, areas: Sequence[Area]) -> None:
-        """Note the rows of new bases; Parquet footers know them."""
-        for a in areas:
-            n = self.store.read_split(listing, a.table, LAYOUTS[a.table], a.base, a.column).count()
-            counts = listing.setdefault(ROWS, {})
-            counts[f"{a.table}/{a.base}"], counts[f"{a.table}/{a.deltas}"] = [str(n)], ["0"]
+            _count_bases(listing, writes)
 
     def _whole(self, table: str, df: DataFrame, part: str, replace: bool = False) -> Write:
         return Write(table, [part] if replace else [], lambda: self.store.write(table, df, part))
@@ -525,6 +531,14 @@ def _add_rows(listing: dict, place: str, n: int) -> None:
     counts[place] = [str(int(counts.get(place, ["0"])[0]) + n)]
 
 
+def _count_bases(listing: dict, writes: Sequence[Write]) -> None:
+    """Note the rows of new bases, counted while they were written."""
+    for w in writes:
+        if w.counted:
+            counts = listing.setdefault(ROWS, {})
+            counts[f"{w.table}/{w.area.base}"], counts[f"{w.table}/{w.area.deltas}"] = [str(w.counted.get["n"])], ["0"]
+
+
 def _place() -> Column:
     """Position in the batch as text, whatever its type."""
     return F.to_json(F.struct("row_pos")).alias("row_pos")
@@ -537,3 +551,5 @@ class Write:
     table: str
     replaced: list[str]
     run: Callable[[], Mapping[str, list[str]]]
+    area: Area | None = None
+    counted: Observation | None = None

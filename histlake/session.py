@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings a job wants on a cluster; `spark.sql.shuffle.partitions` is left to the
 # deployment because adaptive execution merges small partitions from any high start.
@@ -50,17 +50,19 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, *measures: Column, into: Observation | None = None) -> DataFrame:
     """Write `df` as a work table in the shared folder and continue from it.
 
     Survives lost executors like a checkpoint. As Parquet it also keeps column
     pruning and tells the planner its true size, which decides about broadcasts.
+    `measures` are aggregates of all rows, taken `into` an observation while they are
+    written, which saves reading them for that.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/histlake-work/{uuid.uuid4().hex}"
     if _owners:
         _owners[-1].append(path)
-    df.write.parquet(path)
+    (df.observe(into, *measures) if into else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,7 +15,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,11 +110,17 @@ class Snapshots:
             rows = rows.where(F.col(column).isin(*values))
         return rows.drop(column)
 
-    def write(self, table: str, df: DataFrame, part: str, by: str | None = None) -> Mapping[str, list[str]]:
+    def write(
+        self, table: str, df: DataFrame, part: str, by: str | None = None, counted: Observation | None = None
+    ) -> Mapping[str, list[str]]:
         """Write `df` as one new folder of `part`, partitioned by an integer column if
-        `by` names one. Adaptive rebalancing gathers each value into few files."""
+        `by` names one. Adaptive rebalancing gathers each value into few files. `counted`
+        gets the number of rows as `n`."""
         folder = f"data/{table}/{uuid.uuid4().hex}"
-        out = df.hint("rebalance", F.col(by)).write.partitionBy(by) if by else df.write
+        gathered = df.hint("rebalance", F.col(by)) if by else df
+        if counted:
+            gathered = gathered.observe(counted, F.count(F.lit(1)).alias("n"))
+        out = gathered.write.partitionBy(by) if by else gathered.write
         out.parquet(f"{self.root}/{folder}")
         return {part: [folder]}
 
