@@ -328,6 +328,14 @@ SELECT CASE WHEN p.no_id THEN concat('UNKNOWN_', p.pos) ELSE concat('EMP', p.k)
        e.* EXCLUDE (employer_id)
 FROM (SELECT *, row_number() OVER (PARTITION BY k // 100 ORDER BY k) - 1 AS pos FROM parsed) p
 JOIN employers e ON e.employer_id = CASE WHEN p.no_id THEN concat('UNKNOWN_', p.k) ELSE concat('EMP', p.k) END""",
+        "employer_lines": with_(EMPLOYERS) + """
+SELECT e.* EXCLUDE (employer_id)
+FROM parsed p
+JOIN employers e ON e.employer_id = CASE WHEN p.no_id THEN concat('UNKNOWN_', p.k) ELSE concat('EMP', p.k) END
+WHERE p.k % 10 NOT IN (3, 7)""",
+        "employer_lines_refused": """
+SELECT CASE WHEN s_suppkey % 10 = 3 THEN 'not JSON' ELSE 'not an object' END AS reason, s_name AS company_name
+FROM supplier WHERE s_suppkey % 10 IN (3, 7)""",
         "one_batch_score": with_(LOG, FLAGS) + f"""
 SELECT domain, {SCORE} FROM long WHERE batch = 'day3' GROUP BY domain""",
         "employer_records": with_(EMPLOYERS) + "SELECT * FROM employers",

@@ -36,7 +36,7 @@ from histlake.schema import (
 )
 from histlake.session import configure, cut_lineage, shared_folder
 from histlake.sources.batches import align, batch_dates, list_batches, read_batch, read_log, select_batches
-from histlake.sources.employers import count_issues, parse_employers, read_json_array
+from histlake.sources.employers import count_issues, parse_employers, read_json_array, read_json_records
 from histlake.streaming.folder import load_new_files
 
 from .derive import employer_records, event_log, returns_log, table
@@ -160,6 +160,28 @@ def employer_file(spark: SparkSession, sf: str) -> DataFrame:
     return parse_employers(read_json_array(spark, folder))
 
 
+def employer_json_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Employer records as JSON Lines, of which a tenth is cut off and a tenth in brackets."""
+    folder = work_folder(spark)
+    lines = employer_records(spark, sf).select("pos", F.to_json("record").alias("text"))
+    broken = F.when(F.col("pos") % 10 == 3, F.expr("left(text, length(text) - 5)")).when(
+        F.col("pos") % 10 == 7, F.concat(F.lit("["), "text", F.lit("]"))
+    )
+    lines.select(F.coalesce(broken, "text").alias("value")).write.text(folder)
+    return read_json_records(spark, folder)
+
+
+def employer_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of the lines that can be read; identifiers made from positions are left out."""
+    return parse_employers(employer_json_lines(spark, sf)[0]).drop("employer_id")
+
+
+def employer_lines_refused(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that can't be read, by reason, each still told by its content."""
+    name = F.regexp_extract("line", '"company_name":"([^"]*)"', 1)
+    return employer_json_lines(spark, sf)[1].select("reason", name.alias("company_name"))
+
+
 def one_batch_score(spark: SparkSession, sf: str) -> DataFrame:
     """Score of the one batch a run was asked for."""
     return score(apply_rules(returns_log(spark, sf).where(F.col("batch") == "day3")))
@@ -658,6 +680,8 @@ def _all() -> dict[str, Query]:
         "batch_catalogue_mixed_dates": batch_catalogue_mixed_dates,
         "csv_headers": csv_headers,
         "employer_file": employer_file,
+        "employer_lines": employer_lines,
+        "employer_lines_refused": employer_lines_refused,
         "one_batch_score": one_batch_score,
         "employer_records": employers,
         "employer_issue_count": employer_issue_count,

@@ -31,10 +31,35 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     document = (
         spark.read.option("multiLine", True).option("singleVariantColumn", "doc").json(path)
     )
-    document.createOrReplaceTempView("_histlake_json_document")
-    return spark.sql(
-        "SELECT e.pos AS pos, e.value AS record"
-        " FROM _histlake_json_document, LATERAL variant_explode(doc) AS e"
+    elements = spark.tvf.variant_explode(F.col("doc").outer())
+    return document.lateralJoin(elements).select("pos", F.col("value").alias("record"))
+
+
+# Why a line is refused.
+NOT_JSON, NOT_AN_OBJECT = "not JSON", "not an object"
+
+
+def read_json_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """JSON Lines with broken lines: `(pos, record)` of every line that holds an object,
+    and `(file, start, pos, line, reason)` of every other line that isn't blank.
+
+    No line is fatal and none is lost. Lines are read in parallel; `pos` is unique and
+    follows the file order within a split, which begins at byte `start` of `file`.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.regexp_replace("value", "^\ufeff", "").alias("line"),
+    )
+    read = lines.where(F.regexp_replace("line", _OUTER_SPACE, "") != "").withColumn("record", F.try_parse_json("line"))
+    reason = F.when(F.col("record").isNull(), F.lit(NOT_JSON)).when(
+        ~F.startswith(F.schema_of_variant("record"), F.lit("OBJECT")), F.lit(NOT_AN_OBJECT)
+    )
+    judged = read.withColumn("reason", reason)
+    return (
+        judged.where("reason IS NULL").select("pos", "record"),
+        judged.where("reason IS NOT NULL").select("file", "start", "pos", "line", "reason"),
     )
 
 

@@ -26,6 +26,7 @@ from histlake.sources.employers import (
     parse_employers,
     read_json_array,
     read_json_lines,
+    read_json_records,
 )
 
 from .helpers import CLEAN
@@ -250,3 +251,16 @@ def test_only_files_whose_quotes_span_lines_are_not_split(spark, tmp_path):
     files = list_batches(spark, str(tmp_path))
     assert [h.multi_line for h in read_headers(spark, files)] == [False, True, False]
     assert {r.full_name for r in read_log(spark, files).collect()} == {"a", "two\nlines", 'with "quotes"'}
+
+
+def test_no_json_line_is_fatal_or_lost(spark, tmp_path):
+    lines = ['\ufeff{"employer_id": "E1"}', '{"employer_id": "E2"', "", "  ", "[1]", "null", "7", '{"a": 1, "a": 2}', "{}", 'x{"b": 1}']
+    (tmp_path / "a.jsonl").write_text("\n".join(lines), encoding="utf-8")
+    (tmp_path / "b.jsonl").write_text("")
+    good, bad = read_json_records(spark, str(tmp_path))
+    assert [r.employer_id for r in parse_employers(good).orderBy("employer_id").collect()][0] == "E1" and good.count() == 2
+    assert {r.line: r.reason for r in bad.collect()} == {
+        '{"employer_id": "E2"': "not JSON", "[1]": "not an object", "null": "not an object", "7": "not an object",
+        '{"a": 1, "a": 2}': "not JSON", 'x{"b": 1}': "not JSON",
+    }
+    assert all(r.file.endswith("a.jsonl") and r.start == 0 for r in bad.collect())
