@@ -651,6 +651,34 @@ def test_bundle_is_the_sum_of_bound_permuted_letters():
     assert abs(int(v[a].astype(int) @ v[b])) < 200
 
 
+def test_languages_equal_plain_bundles(spark):
+    """Prototypes and choices from one vector after another, without products or memos."""
+    rng = random.Random(14)
+    sounds = {"aa": ["ba", "lu", "mi"], "bb": ["str", "ko", "ent"], "cc": ["çà", "éo", "un"]}
+    texts = [(k, " ".join("".join(rng.choices(sounds[lang], k=3)) for _ in range(rng.randint(1, 12))), lang) for k, lang in enumerate(sorted(sounds) * 12)]
+    texts += [(90, None, "aa"), (91, "", "bb"), (92, "123 !", None), (93, "bamilu koent", None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(4)
+    letters = language.Letters()
+
+    def bundle(text):
+        keys = language.keys_of(text or "")
+        return sum((letters.trigrams(np.array([k]))[0].astype(np.int64) for k in keys.tolist()), np.zeros(language.DIMENSIONS, np.int64)), Counter(keys.tolist())
+
+    want = {name: sum(bundle(t)[0] for _, t, lang in texts if lang == name) for name in sounds}
+    found = language.fit(df)
+    assert set(found) == set(want) and all(np.array_equal(found[k], want[k]) for k in want)
+    for r in language.predict(df, found).collect():
+        v, counts = bundle(dict((k, t) for k, t, _ in texts)[r.doc_id])
+        if not counts:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        dots = {k: float(v @ want[k]) / math.sqrt(float(want[k] @ want[k])) for k in want}
+        best = max(sorted(dots), key=dots.get)
+        length = math.sqrt(language.DIMENSIONS * sum(n * n for n in counts.values()))
+        assert r.lang_pred == best and 0 <= r.score <= 1
+        assert math.isclose(r.score, min(1, max(0, dots[best] / length)), rel_tol=1e-4, abs_tol=1e-6)
+
+
 # All: awkward rows and empty tables
 
 
