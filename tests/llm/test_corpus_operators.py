@@ -75,6 +75,38 @@ def test_toxicity_score_equals_sum_over_features():
     assert math.isclose(model.scorer()(text), toxicity.sigmoid(0.2 + float(model.weights.astype(np.float32).sum())), rel_tol=1e-6)
 
 
+def plain_ftrl(rows, labels, share):
+    """One coordinate at a time, after the published update rules."""
+    z, n, bias, bias_n = defaultdict(float), defaultdict(float), math.log(share / (1 - share)), 0.0
+
+    def weight(i):
+        if abs(z[i]) <= toxicity.L1:
+            return 0.0
+        return -(z[i] - math.copysign(toxicity.L1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for slots, y in zip(rows, labels):
+            w = {i: weight(i) for i in slots}
+            g = 1 / (1 + math.exp(-(bias + sum(w.values())))) - y
+            for i in slots:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+            bias_n += g * g
+            bias -= 0.05 * g / (1 + math.sqrt(bias_n))
+    return {i: weight(i) for i in z if abs(z[i]) > toxicity.L1}, bias
+
+
+def test_training_equals_plain_ftrl():
+    rng = random.Random(15)
+    labels = [int(rng.random() < 0.4) for _ in range(400)]
+    rows = [sorted({*rng.sample(range(300), 12), *([1000 + rng.randint(0, 3)] if y else [])}) for y in labels]
+    slots, weights, bias = toxicity.train([np.array(r) for r in rows], labels, 0.3)
+    want, want_bias = plain_ftrl(rows, labels, 0.3)
+    assert dict(zip(slots.tolist(), weights.tolist())) == pytest.approx(want) and bias == pytest.approx(want_bias)
+    assert any(w > 0 for k, w in want.items() if k >= 1000) and len(want) < 304
+
+
 # 2 SimHash
 
 
