@@ -509,6 +509,32 @@ SELECT count(*) AS num_facts, count(*) FILTER (WHERE employer_id = 'UNKNOWN') AS
 UNION ALL
 (SELECT o_custkey, o_orderstatus, 'after' FROM orders WHERE o_orderpriority <> '1-URGENT'
  EXCEPT ALL SELECT o_custkey, o_orderstatus, 'after' FROM orders WHERE o_orderpriority <> '5-LOW')""",
+        "check_content_sums": """
+WITH a AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders),
+b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1009 <> 1 THEN o_orderstatus END AS o_orderstatus, o_orderpriority
+      FROM a WHERE o_orderkey % 997 <> 0
+      UNION ALL SELECT * FROM a WHERE o_orderkey % 2003 = 2)
+(SELECT *, 'before' AS side FROM a EXCEPT ALL SELECT *, 'before' FROM b)
+UNION ALL
+(SELECT *, 'after' AS side FROM b EXCEPT ALL SELECT *, 'after' FROM a)""",
+        "check_touched_keys": with_(*FULL) + """,
+touched AS (SELECT DISTINCT taxpayer_id FROM log WHERE batch_seq = 9),
+seeded AS (SELECT *, lead(valid_from) OVER w AS nf, lead(version) OVER w AS nv,
+                  valid_to + CASE WHEN version % 2 = 1 AND NOT is_current THEN 1 ELSE 0 END AS late
+           FROM versions SEMI JOIN touched USING (taxpayer_id)
+           WINDOW w AS (PARTITION BY taxpayer_id ORDER BY version)),
+filed AS (SELECT * FROM facts SEMI JOIN touched USING (taxpayer_id))
+SELECT 'several current' AS "check", taxpayer_id AS value, count(*) AS n FROM seeded
+WHERE is_current OR version = 1 GROUP BY 2 HAVING count(*) > 1
+UNION ALL
+SELECT 'gap between versions', taxpayer_id, count(*) FROM seeded
+WHERE nv IS NOT NULL AND late IS DISTINCT FROM nf GROUP BY 2
+UNION ALL
+SELECT 'repeated grain', taxpayer_id || '|' || assessment_year, count(*) FROM filed
+GROUP BY taxpayer_id, assessment_year HAVING count(*) > 1
+UNION ALL
+SELECT 'dangling link', 'employer_id=' || employer_id, count(*) FROM filed
+WHERE employer_id LIKE '%7' GROUP BY 2""",
         # ---- stored warehouse ----
         "stored_overall_quality": with_(LOG, FLAGS) + f"SELECT domain, {SCORE} FROM long GROUP BY domain",
         "running_summary_by_occupation": summary_sql("occupation", 50, 0),

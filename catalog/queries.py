@@ -548,6 +548,25 @@ def check_content_difference(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def check_content_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against a copy in which few rows changed, were lost or came twice; only
+    parts whose sums of hashes differ are compared row by row."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    changed = orders.where("o_orderkey % 997 <> 0").withColumn("o_orderstatus", F.expr("IF(o_orderkey % 1009 = 1, NULL, o_orderstatus)"))
+    return checks.content_difference_by_sums(orders, changed.unionByName(orders.where("o_orderkey % 2003 = 2")), 64)
+
+
+def check_touched_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """All checks over the taxpayers of one batch, with faults planted among all: first versions
+    made current again, ends a day late, employers lost."""
+    dim = versions(spark, sf).withColumns(
+        {"is_current": F.expr("is_current OR version = 1"), "valid_to": F.expr("date_add(valid_to, IF(version % 2 = 1 AND NOT is_current, 1, 0))"), "taxpayer_sk": F.col("version")}
+    )
+    members = with_unknown_member(employers(spark, sf)).where("employer_id NOT LIKE '%7'")
+    touched = returns_log(spark, sf).where("batch = 'day9'")
+    return checks.violations(checks.on_keys(dim, touched, [KEY]), checks.on_keys(facts(spark, sf), touched, [KEY]), members, order="version")
+
+
 # ---- stored warehouse -------------------------------------------------------
 
 
@@ -726,6 +745,8 @@ def _all() -> dict[str, Query]:
         "check_dangling_suppliers": check_dangling_suppliers,
         "check_unknown_links": check_unknown_links,
         "check_content_difference": check_content_difference,
+        "check_content_sums": check_content_sums,
+        "check_touched_keys": check_touched_keys,
         "warehouse_rebuild": warehouse_rebuild,
         "stored_dimension": stored_dimension,
         "stored_corrections": stored_corrections,

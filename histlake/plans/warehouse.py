@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import lenient_date, load_int
 from ..functions.rules import Rule, domain_flag_column
+from ..operators.checks import on_keys, violations
 from ..operators.dedupe import loadable, rejects
 from ..operators.facts import add_totals, superseded_members, version_totals, with_unknown_member
 from ..operators.quality import apply_rules, latest_per_group, latest_quality, merged_scores, pass_counts, scores_of_counts
@@ -156,6 +157,20 @@ class Warehouse:
             return serving.summary(self.table("fact_tax_returns"), dim, by, limit, offset)
         return serving.summary_of_totals(self._rows(listing, TOTALS), dim, by, limit, offset)
 
+    def check_touched(self, rows: DataFrame) -> DataFrame:
+        """What the integrity checks find among the taxpayers and facts of `rows`, those of a
+        batch, as (check, value, n). Only the storage partitions they fall into are read.
+
+        A link counts as dangling if its version isn't one of these taxpayers.
+        """
+        touched = rows.where(loadable()).select(KEY, load_int(F.col(PERIOD)).alias(PERIOD)).distinct()
+        # Sets bounded by the layout.
+        seen = touched.agg(F.collect_set(self._bucket()).alias("buckets"), F.collect_set(self._fact_part(F.col(PERIOD))).alias("parts")).first()
+        _, listing = self.store.latest()
+        dim = self._rows(listing, CURRENT, seen.buckets).unionByName(self._rows(listing, CLOSED, seen.buckets))
+        facts = on_keys(self._rows(listing, FACTS, seen.parts), touched, [KEY, PERIOD])
+        return violations(on_keys(dim, touched, [KEY]), facts, self.table("dim_employer"))
+
     # ---- writing ------------------------------------------------------------
 
     def load_employers(self, employers: DataFrame) -> DataFrame:

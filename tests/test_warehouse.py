@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from histlake.operators import checks
 from histlake.plans import serving
 from histlake.plans.warehouse import Warehouse
-from histlake.schema import BASE_COLUMNS, CANONICAL_COLUMNS, KEY
+from histlake.schema import BASE_COLUMNS, CANONICAL_COLUMNS, KEY, PERIOD
 from histlake.sources.batches import list_batches, read_log
 from histlake.streaming.folder import load_new_files
 
@@ -166,6 +167,50 @@ def test_integrity(loaded):
     assert checks.content_difference(facts, facts.limit(6)).count() == 1
 
 
+def test_checks_of_touched_keys_find_what_full_checks_find(loaded):
+    t = loaded.tables()
+    dim, facts, employers = t["dim_taxpayer"], t["fact_tax_returns"], t["dim_employer"]
+    batch = loaded.spark.createDataFrame([("P1", "2023"), ("P3", "2023"), ("P5", "x"), (None, "2023")], f"{KEY} string, {PERIOD} string")
+    assert loaded.check_touched(batch).isEmpty()
+    broken = dim.withColumn("valid_to", F.lit("2020-01-01").cast("date")).withColumn("is_current", F.lit(True))
+    twice = facts.unionByName(facts.where(F.col(KEY).isin("P1", "P2")))
+    some = employers.where("employer_id = 'UNKNOWN'")
+    full = checks.violations(broken, twice, some).collect()
+    touched = checks.violations(checks.on_keys(broken, batch, [KEY]), checks.on_keys(twice, batch, [KEY]), some).collect()
+    by_key = {(r.check, r.value, r.n) for r in full if r.value[:2] in ("P1", "P3")}
+    assert by_key and by_key == {(r.check, r.value, r.n) for r in touched if r.check != "dangling link"}
+    assert [(r.value, r.n) for r in touched if r.check == "dangling link"] == [("employer_id=E1", 4)]  # P1 twice, P3, P5
+
+
+def test_checks_of_touched_keys_read_their_partitions_only(spark, folder, tmp_path):
+    w = Warehouse(spark, str(tmp_path), buckets=3)
+    w.load_employers(employer_frame(spark))
+    w.backfill(str(folder), computed_at=AT)
+    w.compact()
+    batch = spark.createDataFrame([("P1", "2023")], f"{KEY} string, {PERIOD} string")
+    found = w.check_touched(batch)
+    assert found.isEmpty()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pruned = re.findall(r"PartitionFilters: \[isnotnull\((bucket|part)#\d+\), \((?:bucket|part)#\d+ = \d+\)", plan)
+    assert {"bucket", "part"} == set(pruned)
+
+
+def test_content_by_sums(spark):
+    rows = [(1, "a", None), (1, "a", None), (2, None, "a"), (2, "a", None), (3, "x", "y")] + [(k, str(k), None) for k in range(10, 400)]
+    before = spark.createDataFrame(rows, "k int, a string, b string").withColumn("s", F.struct("a", "b")).repartition(5)
+    after = spark.createDataFrame([(1, "a", None), (2, "a", None), (2, "a", None), *rows[4:]][::-1], "k int, a string, b string").withColumn("s", F.struct("a", "b"))
+    for parts in (1, 3, 64):
+        found = checks.content_difference_by_sums(before, after, parts).collect()
+        assert sorted(map(str, found)) == sorted(map(str, checks.content_difference(before, after).collect()))
+        assert sorted((r.k, r.a, r.b, r.side) for r in found if r.a) == [(1, "a", None, "before"), (2, "a", None, "after")]
+        assert checks.content_difference_by_sums(before, before.repartition(3), parts).isEmpty()
+    assert checks.content_difference_by_sums(before.limit(0), after.limit(0)).isEmpty()
+    assert checks.content_difference_by_sums(before.limit(0), after).count() == after.count()
+    whole = checks.content_sums(after, 7)
+    halves = checks.merged_sums(checks.content_sums(after.where("k < 50"), 7), checks.content_sums(after.where("k >= 50"), 7))
+    assert sorted(whole.collect()) == sorted(halves.collect())
+
+
 def test_metrics_and_latest(loaded):
     metrics = loaded.table("agg_data_quality_metrics")
     day1 = {r.domain: r.score for r in metrics.where("batch = 'day1'").collect()}
