@@ -1,7 +1,7 @@
 """Personal data: fixed base patterns, and further spans by weak supervision.
 
 The base patterns (email, ip, card, phone) always hold. Further candidates, looser
-shapes of the same kinds and secrets, are judged by labelers that vote for, against, or
+shapes of the same kinds, secrets and bank account numbers (iban), are judged by labelers that vote for, against, or
 abstain: shape (regular expression and checksum), gazetteer (known cue words, endings
 and prefixes) and context (what stands before and after). How often each combination of
 votes occurs is counted over all documents; expectation-maximisation finds per kind how
@@ -15,8 +15,9 @@ driver, has a fixed largest size whatever the input (`MAX_FORMS`).
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import product
+from itertools import accumulate, product
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from histlake.llm.common import map_slices, texts, work_table
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "secret")
+KINDS = (*BASE_KINDS, "secret", "iban")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # A match never starts inside a run of digits; saying so keeps long runs linear.
@@ -36,12 +37,18 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
 # Candidates beyond the base patterns.
+# An address in words starts at its first part: not after another "dot", so that a long
+# row of parts is read once. Parts are of any number and length.
+DOT_WORD = r"(?: ?[\[({] ?(?:dot|DOT) ?[\])}] ?| dot | DOT )"
 LOOSE_EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{2,64}(?: ?[\[({] ?(?:at|AT) ?[\])}] ?| at | AT |＠)[A-Za-z0-9-]{2,63}"
-    r"(?:(?:\.| ?[\[({] ?(?:dot|DOT) ?[\])}] ?| dot | DOT )[A-Za-z0-9-]{2,63}){1,3}(?![A-Za-z0-9@])"
+    r"(?<![A-Za-z0-9._%+@-])(?<! dot )(?<! DOT )(?<!dot[\])}])(?<!DOT[\])}])(?<!dot[\])}] )(?<!DOT[\])}] )"
+    rf"(?:[A-Za-z0-9._%+-]++{DOT_WORD})*+[A-Za-z0-9._%+-]{{2,}}+"
+    r"(?: ?[\[({] ?(?:at|AT) ?[\])}] ?| at | AT |＠)"
+    rf"[A-Za-z0-9-]{{2,}}+(?:(?:\.|{DOT_WORD})[A-Za-z0-9-]{{2,}}+)+(?![A-Za-z0-9@])"
 )
 LOOSE_NUMBER = re.compile(r"(?<![0-9A-Za-z.+])(?:\+[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?(?:[\x20./-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z]|[.][0-9])")
-SECRET = re.compile(r"(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,200}(?![A-Za-z0-9_/+-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,}+(?![A-Za-z0-9_/+-])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 
 # Gazetteers.
 CUES = {
@@ -49,12 +56,16 @@ CUES = {
     "phone": frozenset("tel phone telephone call mobile cell fax whatsapp telefon teléfono téléphone handy anruf".split()),
     "card": frozenset("card visa mastercard amex credit debit iban account karte tarjeta carte konto".split()),
     "ip": frozenset("ip host server address from".split()),
+    "iban": frozenset("iban bic account bank konto kontonummer cuenta compte conto rekening".split()),
     "secret": frozenset("token secret key apikey api_key password passwd pwd bearer auth credential".split()),
 }
 ENDINGS = frozenset("com org net edu gov info io de fr es eu uk us".split())
 AGAINST = frozenset("version v no nr page pages chapter isbn issn doi figure table section year vol ver art".split())
 CARD_PREFIXES = ("4", "51", "52", "53", "54", "55", "34", "37", "6011", "65", "22", "23", "24", "25", "26", "27")
 
+# Country codes of the single euro payments area.
+IBAN_COUNTRIES = frozenset("AD AT BE BG CH CY CZ DE DK EE ES FI FR GB GI GR HR HU IE IS IT LI LT LU LV MC MT NL NO PL PT RO SE SI SK SM VA".split())
+
 VOTES = (-1, 0, 1)
 LABELERS = 3
 LENGTHS = (8, 12, 16, 24, 32, 40)  # bounds of the length classes of the form
@@ -69,6 +80,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def iban_holds(text: str) -> bool:
+    """ISO 13616: the first four characters moved to the end, letters as 10 to 35, leave 1 modulo 97."""
+    plain = text.replace(" ", "")
+    return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Matches of EMAIL, found from each @ on: leftmost, not overlapping.
 
@@ -120,11 +137,14 @@ def votes(kind: str, text: str, start: int, end: int) -> tuple[int, int, int]:
     elif kind == "card":
         shape = 1 if 13 <= len(digits) <= 19 and luhn(digits) else -1
         place = 1 if digits.startswith(CARD_PREFIXES) else 0
+    elif kind == "iban":
+        shape = 1  # others are no candidates
+        place = 1 if found[:2] in IBAN_COUNTRIES else -1
     elif kind == "phone":
         shape = 1 if found[0] == "+" or re.fullmatch(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", found) else -1 if len(set(digits)) < 3 else 0
     else:
         classes = sum(bool(re.search(c, found)) for c in (r"[a-z]", r"[A-Z]", r"[0-9]"))
-        shape = 1 if re.fullmatch(r"[0-9a-f]{32,128}|[0-9A-F]{32,128}", found) or classes == 3 else -1
+        shape = 1 if re.fullmatch(r"[0-9a-f]{32,}|[0-9A-F]{32,}", found) or classes == 3 else -1
     if any(w in CUES[kind] for w in words):
         place = 1
     context = 0
@@ -148,10 +168,12 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
     """
     out = [(k, s, e, False, *votes(k, text, s, e), *form(k, text[s:e])) for k, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
-    finds = []
+    furthest = list(accumulate((e for _, e in taken), max))  # end of the base spans up to each
+    finds, done = [], 0
     if " at " in text or " AT " in text or "＠" in text or re.search(r"[\[({] ?(?:at|AT)", text):
         finds += [("email", *m.span()) for m in LOOSE_EMAIL.finditer(text)]
     if DIGIT.search(text):
+        finds += [("iban", *m.span()) for m in IBAN.finditer(text) if iban_holds(m[0])]
         finds += [("secret", *m.span()) for m in SECRET.finditer(text) if not m[0].isdigit()]
         for m in LOOSE_NUMBER.finditer(text):
             n = sum(c.isdigit() for c in m[0])
@@ -160,9 +182,10 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
             elif 13 <= n <= 19 and luhn("".join(filter(str.isdigit, m[0]))):  # else it can't be one
                 finds.append(("card", *m.span()))
     for kind, s, e in sorted(finds, key=lambda x: (x[1], -x[2])):
-        if all(e <= a or s >= b for a, b in taken):
+        before = bisect_left(taken, (e,))  # base spans that start before the end
+        if s >= done and (not before or furthest[before - 1] <= s):
             out.append((kind, s, e, True, *votes(kind, text, s, e), *form(kind, text[s:e])))
-            taken.append((s, e))
+            done = e
     return out
 
 

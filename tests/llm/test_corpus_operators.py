@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -418,6 +419,38 @@ def test_pii_digests_and_added_spans(spark):
     assert "card:28:44" not in found[83]
 
 
+def test_added_spans_have_no_largest_length(spark):
+    rng = random.Random(9)
+    secret = "".join(rng.choice("abcXYZ0189") for _ in range(2400))
+    texts = [f'token = "{secret[:240 + k]}" end' for k in range(30)] + [f'key: "{secret}"']
+    texts += [f"mail john [dot] doe{k} [at] mail [dot] example [dot] co [dot] uk" for k in range(30)]
+    texts += ["iban: DE89 3704 0044 0532 0130 00", "konto GB82WEST12345698765432.", "iban: DE89 3704 0044 0532 0130 01"]
+    found = {r.doc_id: r.spans for r in pii.digests(frame(spark, texts)).collect()}
+    assert all(found[k] == f"secret:9:{249 + k}" for k in range(30)) and found[30] == "secret:6:2406"
+    words = "mail john dot doe at mail dot example dot co dot uk"
+    assert [c[:3] for c in pii.candidates(words, [])] == [("email", 5, len(words))]
+    assert all(found[31 + k].split(",") == [f"email:5:{len(texts[31 + k])}"] for k in range(30))
+    assert found[61] == "iban:6:33" and found[62] == "iban:6:28" and "iban" not in found[63]
+
+
+def test_candidates_overlap_neither_base_spans_nor_each_other():
+    rng = random.Random(4)
+    parts = ["DE89370400440532013000", "a@b.com", " at ", " dot ", "xy", "12345678", " ", "+1 555 123 4567", "Ab1" * 8, "190.137.223.204", "4539148803436467", "[at]"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))
+        base = pii.base_spans(text)
+        added = [c[1:3] for c in pii.candidates(text, base) if c[3]]
+        spans = [s[1:] for s in base]
+        assert all(e <= a or s >= b for k, (s, e) in enumerate(added) for a, b in spans + added[:k])
+
+
+def test_long_rows_of_candidates_are_read_once():
+    for text in ("x dot " * 60_000, "xy at z dot " * 40_000, "AB12 " * 60_000, "a1_" * 100_000 + "/", "555 123 4567 " * 20_000):
+        start = time.process_time()
+        pii.candidates(text, pii.base_spans(text))
+        assert time.process_time() - start < 20
+
+
 def test_mask_covers_spans_and_keeps_columns(spark):
     df = frame(spark, ["to a@b.org, now", None, "", "plain"]).withColumn("spans", F.lit(1))
     out = pii.mask(df)
