@@ -92,12 +92,17 @@ def write_batches(spark: SparkSession, sf: str, folder: str, months: int, since:
 
     The first batch has the 19 base columns only; the others have all 21 in reverse
     order and one more, so that reading by position would mix up columns.
+
+    The log is derived once into a work table split by batch, so that each batch file
+    reads its own split only, not the whole log again.
     """
-    log = returns_log(spark, sf, months)
+    staged = f"{work_folder(spark)}/log"
+    returns_log(spark, sf, months).write.partitionBy("batch_seq").parquet(staged)
+    log = spark.read.parquet(staged)
     seqs = sorted(r.batch_seq for r in log.select("batch_seq").distinct().collect())
     for seq in (s for s in seqs if since <= s <= (until or s)):
         columns = BASE_COLUMNS if seq == 1 else [*reversed(CANONICAL_COLUMNS), "batch"]
-        rows = log.where(F.col("batch_seq") == seq).orderBy("row_pos").select(*columns)
+        rows = spark.read.parquet(f"{staged}/batch_seq={seq}").orderBy("row_pos").select(*columns)
         rows.write.csv(
             f"{folder}/individual_tax_returns_day{seq}.csv",
             header=True,
